@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionmill.llm import cooccurrence, frequency, leakage, survivorship
+from mentionmill.llm import cooccurrence, frequency, leakage, sentences, survivorship
 from mentionmill.session import table
 
 NORMALIZED = "triples_genetic_disease_chemical_normalized"
@@ -66,5 +66,9 @@ def p7_scrubbed(spark: SparkSession, d: str) -> DataFrame:
     return leakage.scrubbed(table(spark, d, "documents"), "doc_id", "text", _runs(spark, d))
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return sentences.sentences(table(spark, d, "documents"), "doc_id", "text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_pairs, p2_found, p4_found, p4_counts, p7_found, p7_scrubbed)}
+    return {f.__name__: f for f in (p1_found, p1_pairs, p2_found, p4_found, p4_counts, p7_found, p7_scrubbed, p9_found)}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionmill.llm import cooccurrence, frequency, leakage, sentences, survivorship
+from mentionmill.llm import confusables, cooccurrence, frequency, leakage, listed, sentences, survivorship
 from mentionmill.session import table
 
 NORMALIZED = "triples_genetic_disease_chemical_normalized"
@@ -53,6 +53,15 @@ def p4_counts(spark: SparkSession, d: str) -> DataFrame:
     return _surface_counts(spark, d).select("clean_genetic_ne", "total", "records", "mark")
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    genes = listed.gene_names(table(spark, d, "hgnc"), ("symbol", "alias_symbol", "prev_symbol", "name", "alias_name"))
+    names = genes.unionByName(listed.term_names(table(spark, d, "obo_term"), deprecated=True))
+    surfaces = table(spark, d, "clean_genetic_ne").select(F.lit("clean_genetic_ne").alias("field"), F.col("row_id").alias("row_key"), F.lit("GENETIC").alias("kind"), F.col("clean_genetic_ne").alias("text"))
+    end = lambda n: F.struct(F.lit(n).alias("field"), F.col("ord").alias("row_key"), F.col(f"{n}.type").alias("kind"), F.col(f"{n}.text").alias("text"))
+    ends = table(spark, d, "triples").select(F.explode(F.array(end("subject"), end("object"))).alias("e")).select("e.*")
+    return confusables.looks_like(surfaces.unionByName(ends), names).select("field", "row_key", "plain").distinct()
+
+
 def _runs(spark: SparkSession, d: str) -> DataFrame:
     return leakage.shared_runs(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "lang", "text")
 
@@ -71,4 +80,4 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_pairs, p2_found, p4_found, p4_counts, p7_found, p7_scrubbed, p9_found)}
+    return {f.__name__: f for f in (p1_found, p1_pairs, p2_found, p4_found, p4_counts, p6_found, p7_found, p7_scrubbed, p9_found)}

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -77,6 +78,7 @@ def _spans(t: str, a: int, b: int) -> tuple[list[tuple[int, int]], set[int]]:
     """
     out: list[tuple[int, int]] = []
     stack: list[tuple[str, int]] = []
+    wanted: Counter[str] = Counter()
     for m in _BRACKETS.finditer(t, a, b):
         c, i = m.group(), m.start()
         if c == '"':
@@ -84,17 +86,22 @@ def _spans(t: str, a: int, b: int) -> tuple[list[tuple[int, int]], set[int]]:
             before, after = (t[i - 1] if i > a else " "), (t[i + 1] if i + 1 < b else " ")
             opens = at < 0 and (before.isspace() or before in OPEN or before in ":：,，—" or _HAN.match(before) or not after.isspace())
             if at >= 0:
-                del stack[at + 1 :]
-                out.append((stack.pop()[1], i))
+                for o, _ in stack[at:]:
+                    wanted.subtract(_PAIR.get(o, ""))
+                out.append((stack[at][1], i))
+                del stack[at:]
             elif opens:
                 stack.append((c, i))
             continue
-        at = next((k for k in range(len(stack) - 1, -1, -1) if c in _PAIR.get(stack[k][0], "")), -1)
+        at = next((k for k in range(len(stack) - 1, -1, -1) if c in _PAIR.get(stack[k][0], "")), -1) if wanted[c] else -1
         if at >= 0:
-            del stack[at + 1 :]
-            out.append((stack.pop()[1], i))
+            for o, _ in stack[at:]:
+                wanted.subtract(_PAIR.get(o, ""))
+            out.append((stack[at][1], i))
+            del stack[at:]
         elif c in _PAIR:
             stack.append((c, i))
+            wanted.update(_PAIR[c])
     out.sort()
     top: list[tuple[int, int]] = []
     for s in out:

@@ -37,7 +37,9 @@ def survivors(rows: DataFrame, group: Column, order: Column, fields: dict[str, t
     pad = lambda ks: [F.coalesce(k.cast("double"), last) for k in ks] + [F.lit(0.0)] * (3 - len(ks))
     cand = [F.when(ok, F.struct(F.lit(name).alias("field"), *[k.alias(f"k{i}") for i, k in enumerate(pad(keys))])) for name, (ok, keys) in fields.items()]
     cand.append(F.struct(F.lit(None).cast("string").alias("field"), *[F.lit(0.0).alias(f"k{i}") for i in range(3)]))
-    x = rows.select(group.alias("g"), order.alias("o"), F.explode(F.array_compact(F.array(*cand))).alias("c")).where("g is not null")
+    # a filter on the group would be pushed below and repeat the group's expression; no candidates does the same
+    each = F.when(group.isNotNull(), F.array_compact(F.array(*cand)))
+    x = rows.select(group.alias("g"), order.alias("o"), F.explode(each).alias("c"))
     x = x.select("g", "o", F.coalesce("c.field", F.lit("")).alias("field"), "c.k0", "c.k1", "c.k2")
     w = Window.partitionBy("g", "field").orderBy("k0", "k1", "k2", "o")
     top = x.withColumn("r", F.row_number().over(w)).where(F.col("r") <= min_size)
@@ -50,20 +52,24 @@ def survivors(rows: DataFrame, group: Column, order: Column, fields: dict[str, t
     return best.select("group_order", each.alias("s")).select("group_order", "s.field", "s.from_order").where("from_order is not null")
 
 
-def pair_group(pair_id: Column) -> Column:
-    """One key for all spellings of a pair id: article, sentence digest and two spans in either order.
+_PAIR_ID = r"^\W*([a-z]*\d+)(?:\.[a-z.]+)?[\W_]+([0-9a-f]{12})[\W_]+(\d+)\W+(\d+)[\W_]+(\d+)\W+(\d+)\W*$"
+
+
+def with_pair_group(rows: DataFrame, pair_id: str, name: str) -> DataFrame:
+    """``rows`` with one key for all spellings of a pair id: article, sentence digest and two spans in either order.
 
     Case, blanks, the separators and the article's file ending do not matter. What does not read as a pair id is a group by its
-    folded text. Null stays null.
+    folded text. Null stays null. The pattern runs once per row; the spans are compared in a projection of their own, which
+    Catalyst does not merge into the first, as its result is used more than once.
     """
-    flat = F.lower(F.regexp_replace(pair_id, r"(?U)\s+", " "))
-    at = r"^\W*([a-z]*\d+)(?:\.[a-z.]+)?[\W_]+([0-9a-f]{12})[\W_]+(\d+)\W+(\d+)[\W_]+(\d+)\W+(\d+)\W*$"
-    g = lambda i: F.regexp_extract(flat, at, i)
-    span = lambda i: F.struct(g(i).cast("bigint").alias("s"), g(i + 1).cast("bigint").alias("e"))
-    text = lambda s: F.concat_ws("-", s.s, s.e)
-    key = F.concat_ws(":", g(1), g(2), text(F.least(span(3), span(5))), text(F.greatest(span(3), span(5))))
-    key = F.when(flat.rlike(at), key).otherwise(F.trim(flat))
-    return F.when(pair_id.isNotNull(), F.unhex(F.md5(key)))
+    flat = F.lower(F.regexp_replace(F.col(pair_id), r"(?U)\s+", " "))
+    x = rows.withColumn("_parts", F.split(F.regexp_replace(flat, _PAIR_ID, "$1\u0001$2\u0001$3\u0001$4\u0001$5\u0001$6"), "\u0001"))
+    part = lambda i: F.col("_parts")[i].cast("bigint")
+    one, two = [F.concat_ws("-", part(i), part(i + 1)) for i in (2, 4)]
+    swap = (part(2) > part(4)) | ((part(2) == part(4)) & (part(3) > part(5)))
+    ordered = F.concat_ws(":", F.col("_parts")[0], F.col("_parts")[1], F.when(swap, two).otherwise(one), F.when(swap, one).otherwise(two))
+    key = F.when(F.size("_parts") == 6, ordered).otherwise(F.trim(F.col("_parts")[0]))
+    return x.withColumn(name, F.when(F.col(pair_id).isNotNull(), F.unhex(F.md5(key)))).drop("_parts")
 
 
 def model_name(c: Column) -> Column:
@@ -78,7 +84,7 @@ def best_verdicts(scored: DataFrame, models: DataFrame) -> DataFrame:
     A model that is not listed ranks below all listed ones. A null scored_at counts as the earliest.
     """
     trust = models.select(model_name(F.col("model")).alias("_m"), F.col("trust_rank").alias("_trust")).groupBy("_m").agg(F.min("_trust").alias("_trust"))
-    x = scored.select("ord", "pair_id", "score", "polarity", "scored_at", F.col("predicate.text").alias("_predicate"), model_name(F.coalesce("model", "predicate.model")).alias("_m")).join(trust, "_m", "left")
+    x = with_pair_group(scored, "pair_id", "_group").select("ord", "_group", "score", "polarity", "scored_at", F.col("predicate.text").alias("_predicate"), model_name(F.coalesce("model", "predicate.model")).alias("_m")).join(trust, "_m", "left")
     latest = -F.unix_micros("scored_at")
     rank = F.col("_trust")
     fields = {
@@ -86,5 +92,5 @@ def best_verdicts(scored: DataFrame, models: DataFrame) -> DataFrame:
         "predicate": (usable_text(F.col("_predicate")), [rank, latest]),
         "polarity": (usable_text(F.col("polarity")), [latest]),
     }
-    out = survivors(x, pair_group(F.col("pair_id")), F.col("ord"), fields)
+    out = survivors(x, F.col("_group"), F.col("ord"), fields)
     return out.select(F.col("group_order").alias("group_ord"), "field", F.col("from_order").alias("from_ord"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionmill.llm import confusables, cooccurrence, frequency, leakage, listed, sentences, survivorship
+from mentionmill.llm import canonical, confusables, cooccurrence, frequency, leakage, listed, sentences, survivorship
 from mentionmill.session import table
 
 NORMALIZED = "triples_genetic_disease_chemical_normalized"
@@ -40,6 +40,27 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return survivorship.best_verdicts(table(spark, d, "triples_re"), table(spark, d, "relation_models"))
 
 
+def _listed_names(spark: SparkSession, d: str) -> DataFrame:
+    """All names with their entries; those of deprecated terms are blocked."""
+    obo = table(spark, d, "obo_term")
+    dead = F.coalesce("deprecated", F.lit(False))
+    live = listed.gene_names(table(spark, d, "hgnc")).unionByName(listed.term_names(obo)).withColumn("blocked", F.lit(False))
+    return live.unionByName(listed.term_names(obo.where(dead), deprecated=True).withColumn("blocked", F.lit(True)))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, NORMALIZED)
+    own = lambda n: F.when(F.col(f"{n}.type") == "GENETIC", F.col(f"{n}.hgnc_symbol")).when(F.col(f"{n}.type") == "DISEASE", F.col(f"{n}.mondo_label")).when(F.col(f"{n}.type") == "CHEMICAL", F.col(f"{n}.chebi_label"))
+    end = lambda n: F.struct(F.lit(n).alias("role"), F.col(f"{n}.type").alias("kind"), F.col(f"{n}.text").alias("text"), own(n).alias("labels"))
+    ends = t.select("ord", F.explode(F.array(end("subject"), end("object"))).alias("e")).select("ord", "e.*")
+    names = _listed_names(spark, d)
+    main = names.where("field_rank = 0 and not blocked").select("kind", "ref_id", F.col("name").alias("label"))
+    meant = ends.select("kind", F.explode("labels").alias("label")).groupBy("kind", "label").agg(F.count("*").alias("n"))
+    frequency = meant.join(main, ["kind", "label"]).groupBy("ref_id").agg(F.sum("n").alias("n"))
+    open_ends = ends.where(F.coalesce(F.size("labels"), F.lit(0)) < 1)
+    return canonical.closest_entries(open_ends, ["ord", "role"], names, frequency).select("ord", "role", "ref_id")
+
+
 def _surface_counts(spark: SparkSession, d: str) -> DataFrame:
     return frequency.marked_frequencies(table(spark, d, "clean_genetic_ne"), article(), "clean_genetic_ne", "occurrences", "counted_at", "row_id").withColumnRenamed("value", "clean_genetic_ne")
 
@@ -80,4 +101,4 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_pairs, p2_found, p4_found, p4_counts, p6_found, p7_found, p7_scrubbed, p9_found)}
+    return {f.__name__: f for f in (p1_found, p1_pairs, p2_found, p3_found, p4_found, p4_counts, p6_found, p7_found, p7_scrubbed, p9_found)}

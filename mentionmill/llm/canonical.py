@@ -30,6 +30,8 @@ UNMATCHED = "unmatched"
 MAX_NAMES = 50_000
 #: Letters from which a word may be corrected by one edit and by two.
 ONE_EDIT, TWO_EDITS = 4, 8
+#: Texts without a word longer than this are symbols and codes, which are never corrected.
+SHORT = 6
 
 # Greek letters with their English names.
 _GREEK = "α alpha β beta γ gamma δ delta ε epsilon ζ zeta η eta θ theta ι iota κ kappa λ lambda μ mu ν nu ξ xi ο omicron π pi ρ rho σ sigma ς sigma τ tau υ upsilon φ phi χ chi ψ psi ω omega".split()
@@ -174,7 +176,10 @@ class Names:
     def corrected(self, text: str) -> tuple | None:
         """(distance, entry) after correcting words that no name has."""
         options: list[list[tuple[float, int, str]]] = []
-        for w in fold(text).split():
+        words = fold(text).split()
+        if all(len(w) <= SHORT for w in words):
+            return None  # a symbol or code: another letter means another thing
+        for w in words:
             if w in SMALL_WORDS:
                 continue
             a = american(w)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionmill.llm import canonical, confusables, cooccurrence, frequency, leakage, listed, sentences, survivorship
+from mentionmill.llm import canonical, confusables, cooccurrence, frequency, leakage, listed, mixing, sentences, survivorship
 from mentionmill.session import table
 
 NORMALIZED = "triples_genetic_disease_chemical_normalized"
@@ -96,9 +96,18 @@ def p7_scrubbed(spark: SparkSession, d: str) -> DataFrame:
     return leakage.scrubbed(table(spark, d, "documents"), "doc_id", "text", _runs(spark, d))
 
 
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mixture(table(spark, d, "documents"), "doc_id", "text", "source", table(spark, d, "mix_targets"))
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    """The shares that the mix really reaches."""
+    return mixing.reached(p8_mix(spark, d), table(spark, d, "mix_targets"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return sentences.sentences(table(spark, d, "documents"), "doc_id", "text")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_pairs, p2_found, p3_found, p4_found, p4_counts, p6_found, p7_found, p7_scrubbed, p9_found)}
+    return {f.__name__: f for f in (p1_found, p1_pairs, p2_found, p3_found, p4_found, p4_counts, p6_found, p7_found, p7_scrubbed, p8_mix, p8_shares, p9_found)}

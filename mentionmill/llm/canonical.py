@@ -274,12 +274,14 @@ def closest_entries(values: DataFrame, key: list[str], names: DataFrame, frequen
     blocks: list[dict[str, list]] = [defaultdict(list)]
     size = 0
     for kind, rows in kinds.items():
-        for row in sorted(rows):
-            if size == max_names:
+        last = None
+        for row in sorted(rows, key=lambda r: r[1][-1]):
+            if size >= max_names and row[1][-1] != last:  # the names of one entry stay together
                 blocks.append(defaultdict(list))
                 size = 0
             blocks[-1][kind].append(row)
             size += 1
+            last = row[1][-1]
     types = dict(values.dtypes)
     schema = ", ".join(f"`{k}` {types[k]}" for k in key) + ", rank int, distance double, blocked boolean, field_rank int, minus bigint, ref_id string"
     found = None

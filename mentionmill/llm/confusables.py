@@ -83,12 +83,14 @@ def looks_like(texts: DataFrame, names: DataFrame) -> DataFrame:
     """(all columns of ``texts``, plain): listed names that a text looks like but does not equal.
 
     ``texts`` has ``kind`` and ``text``, ``names`` has ``kind`` and ``name``. Null and blank texts look like nothing; a text that
-    looks like several listed names gives a row for each; repeated texts give repeated rows. Only texts with characters beyond
+    looks like several listed names gives a row for each; repeated texts give repeated rows; a column ``plain`` of ``texts`` is
+    replaced, other columns pass through whatever their names. Only texts with characters beyond
     plain printable ones go through Python, unless some listed name has such characters in an unstable form.
     """
     listed = names.where("name is not null").select("kind", "name").distinct().withColumn("_form", canonical_column(F.col("name")))
     odd_names = listed.where(F.col("name") != F.col("_form")).limit(1).count() > 0
-    x = texts.where("text is not null")
-    x = (x if odd_names else x.where(unstable(F.col("text")))).withColumn("_form", canonical_column(F.col("text")))
-    x = x.where("_form <> ''").join(listed, ["kind", "_form"]).where(F.col("name") != F.col("text"))
-    return x.drop("_form").withColumnRenamed("name", "plain")
+    x = texts.drop("plain").where("text is not null")
+    x = x if odd_names else x.where(unstable(F.col("text")))
+    x = x.select(F.struct("*").alias("_row"), "kind", canonical_column(F.col("text")).alias("_form")).where("_form <> ''")
+    x = x.join(listed, ["kind", "_form"]).where(F.col("name") != F.col("_row.text"))
+    return x.select("_row.*", F.col("name").alias("plain"))

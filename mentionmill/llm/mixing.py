@@ -150,4 +150,4 @@ def reached(mix: DataFrame, targets: DataFrame) -> DataFrame:
     zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
     t = t.select("source", "target_share", zero("tokens"), zero("texts"), zero("most"))
     all_tokens = F.sum("tokens").over(Window.partitionBy(F.lit(0)))  # one row per source of the mix
-    return t.withColumn("reached_share", F.coalesce(F.col("tokens") / all_tokens, F.lit(0.0)))
+    return t.withColumn("reached_share", F.coalesce(F.try_divide("tokens", all_tokens), F.lit(0.0)))

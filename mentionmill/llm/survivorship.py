@@ -64,11 +64,11 @@ def with_pair_group(rows: DataFrame, pair_id: str, name: str) -> DataFrame:
     """
     flat = F.lower(F.regexp_replace(F.col(pair_id), r"(?U)\s+", " "))
     x = rows.withColumn("_parts", F.split(F.regexp_replace(flat, _PAIR_ID, "$1\u0001$2\u0001$3\u0001$4\u0001$5\u0001$6"), "\u0001"))
-    part = lambda i: F.col("_parts")[i].cast("bigint")
+    part = lambda i: F.get("_parts", F.lit(i)).try_cast("bigint")
     one, two = [F.concat_ws("-", part(i), part(i + 1)) for i in (2, 4)]
     swap = (part(2) > part(4)) | ((part(2) == part(4)) & (part(3) > part(5)))
-    ordered = F.concat_ws(":", F.col("_parts")[0], F.col("_parts")[1], F.when(swap, two).otherwise(one), F.when(swap, one).otherwise(two))
-    key = F.when(F.size("_parts") == 6, ordered).otherwise(F.trim(F.col("_parts")[0]))
+    ordered = F.concat_ws(":", F.get("_parts", F.lit(0)), F.get("_parts", F.lit(1)), F.when(swap, two).otherwise(one), F.when(swap, one).otherwise(two))
+    key = F.when(F.size("_parts") == 6, ordered).otherwise(F.trim(F.get("_parts", F.lit(0))))
     return x.withColumn(name, F.when(F.col(pair_id).isNotNull(), F.unhex(F.md5(key)))).drop("_parts")
 
 

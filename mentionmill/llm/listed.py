@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Gene fields in the order of their weight.
 GENE_FIELDS = ("symbol", "alias_symbol", "prev_symbol", "name", "alias_name", "prev_name")
 
 
+def _ranked(values: Column, rank: int) -> Column:
+    return F.transform(values, lambda v: F.struct(v.alias("name"), F.lit(rank).alias("field_rank")))
+
+
 def gene_names(hgnc: DataFrame, fields=GENE_FIELDS) -> DataFrame:
     """(kind, ref_id, name, field_rank); scalar and array fields alike, null names left out."""
     kinds = dict(hgnc.dtypes)
     each = []
     for rank, f in enumerate(fields):
         values = F.col(f) if kinds[f].startswith("array") else F.array(f)
-        each.append(F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda v, r=rank: F.struct(v.alias("name"), F.lit(r).alias("field_rank"))))
+        each.append(_ranked(F.coalesce(values, F.array().cast("array<string>")), rank))
     x = hgnc.select(F.lit("GENETIC").alias("kind"), F.col("hgnc_id").alias("ref_id"), F.explode(F.flatten(F.array(*each))).alias("n"))
     return x.select("kind", "ref_id", "n.name", "n.field_rank").where("name is not null")
 

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mentionmill.plans import records
+from mentionmill.plans import graphs, links, mentions, records
 
-_MODULES = (records,)
+_MODULES = (mentions, links, graphs, records)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values of the scoring rule.
@@ -75,6 +75,12 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
 
 
+def centroid(rows: DataFrame, vector: str) -> Column:
+    """The mean vector as a literal: one number per dimension comes back, whatever the number of rows."""
+    mean = rows.select(F.posexplode(vector).alias("i", "v")).groupBy("i").agg(F.avg(F.col("v").cast("double")).alias("m"))
+    return F.array(*[F.lit(r.m) for r in sorted(mean.collect(), key=lambda r: r.i)])
+
+
 def unit(a: Column) -> Column:
     """A vector at length 1; the zero vector stays."""
     n = F.sqrt(dot(a, a))

@@ -31,9 +31,9 @@ def verdict_compare(spark: SparkSession, d: str) -> DataFrame:
 
 
 def label_crosstab(spark: SparkSession, d: str) -> DataFrame:
-    """Labels of one model against the other's on shared pairs, with mean scores."""
+    """Labels of one model against the other's on shared pairs, with the sums of their scores in ten-thousandths."""
     x = verdict_compare(spark, d).where("side = 'both'")
-    return x.groupBy("label_a", "label_b").agg(F.count("*").alias("n"), F.round(F.avg("score_a"), 6).alias("mean_a"), F.round(F.avg("score_b"), 6).alias("mean_b"))
+    return x.groupBy("label_a", "label_b").agg(F.count("*").alias("n"), F.sum(F.round(F.col("score_a") * 10000).cast("bigint")).alias("sum_a"), F.sum(F.round(F.col("score_b") * 10000).cast("bigint")).alias("sum_b"))
 
 
 def threshold_stats(spark: SparkSession, d: str) -> DataFrame:
@@ -209,7 +209,7 @@ SQL = {
     "merge_gate": _merge_sql("gate"),
     "merge_typed": _merge_sql("typed"),
     "verdict_compare": _COMPARE,
-    "label_crosstab": f"select label_a, label_b, count(*) as n, round(avg(score_a), 6) as mean_a, round(avg(score_b), 6) as mean_b from ({_COMPARE}) where side = 'both' group by all",
+    "label_crosstab": f"select label_a, label_b, count(*) as n, sum(round(score_a * 10000)::bigint)::bigint as sum_a, sum(round(score_b * 10000)::bigint)::bigint as sum_b from ({_COMPARE}) where side = 'both' group by all",
     "threshold_stats": f"select threshold, count(*) as triples, count(distinct sentence) as sentences, count(*) filter (where free) as kept, count(distinct sentence) filter (where free) as kept_sentences from (select score, sentence, {_FREE} as free from triples_re where score >= 0 and not isnan(score)) join (values (0.5::double), (0.8::double), (0.95::double), (0.99::double)) v(threshold) on score >= threshold group by threshold",
     "node_drops": f"""
 select coalesce(case when {_node_sql('e')} is not null then null when (case e.type when 'GENETIC' then case when len(e.symbols) = 1 then nullif(trim(e.symbols[1]), '') end else case when len(e.labels) = 1 then nullif(trim(e.labels[1]), '') end end) is null then lower(e.type) || ': no single id'

@@ -182,5 +182,5 @@ SQL = {
     "link_summary": f"select status, match_mode, grouping(status, match_mode) as level, count(*) as surfaces, sum(occurrences)::bigint as occurrences from (select * from ({_DISEASES}) union all select * from ({_CHEMICALS})) group by grouping sets ((status, match_mode), (status))",
     "link_credit": f"select id, sum(occurrences)::bigint as occurrences, count(*) as surfaces from (select unnest(string_split(ids, '|')) as id, occurrences from ({_DISEASES}) where status <> 'unmatched') group by id",
     "word_cosine": _COSINE,
-    "greek_surfaces": f"select surface, occurrences from ({_surface_sql('GENETIC')}) where regexp_matches(surface, '[Ͱ-Ͽἀ-῿]') or len(list_filter(regexp_extract_all(surface, '(?i)\\b({'|'.join(T.GREEK_NAMES)})\\b'), lambda w: w <> upper(w) and (lower(w) not in ('mu', 'nu', 'xi', 'pi', 'psi', 'eta', 'phi', 'chi') or w = lower(w)))) > 0",
+    "greek_surfaces": f"select surface, occurrences from ({_surface_sql('GENETIC')}) where regexp_matches(surface, '[Ͱ-Ͽἀ-῿]') or len(list_filter(regexp_extract_all(regexp_replace(surface, '[À-ÖØ-öø-ɏ０-９Ａ-Ｚａ-ｚ\\p{{Cyrillic}}]', 'q', 'g'), '(?i)\\b({'|'.join(T.GREEK_NAMES)})\\b'), lambda w: w <> upper(w) and (lower(w) not in ('mu', 'nu', 'xi', 'pi', 'psi', 'eta', 'phi', 'chi') or w = lower(w)))) > 0",
 }

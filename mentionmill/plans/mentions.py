@@ -204,11 +204,12 @@ select {_entity_text('elabel', 'etext')} as subject_text, elabel as subject_type
 from pred where predicate <> '' and length(predicate) <= 120 and regexp_matches(predicate, '[A-Za-z]') and regexp_matches(predicate, '{_CUE}')"""
 
 _NEG, _SPEC = ["(?i)" + x.replace("'", "''") for x in (R.NEGATION, R.SPECULATION)]
+# word boundaries in RE2 know ASCII letters only, so other letters are made some letter first
 _PAIRS = f"""
 with {_ORDERED},
 both_ends as (
   select a.pmid, a.sentence, a.etext as ax, a.elabel as al, a.s as as_, a.t as at_, b.etext as bx, b.elabel as bl, b.s as bs, b.t as bt,
-    case when b.t + 30 > greatest(0, a.s - 40) then substr(a.sentence, greatest(0, a.s - 40) + 1, b.t + 30 - greatest(0, a.s - 40)) else '' end as region
+    case when b.t + 30 > greatest(0, a.s - 40) then regexp_replace(substr(a.sentence, greatest(0, a.s - 40) + 1, b.t + 30 - greatest(0, a.s - 40)), '[\\p{{Greek}}\\p{{Cyrillic}}À-ÖØ-öø-ɏ０-９Ａ-Ｚａ-ｚ]', 'q', 'g') else '' end as region
   from placed a join placed b on a.rid = b.rid and (a.s < b.s or (a.s = b.s and a.pos < b.pos)) and b.s >= a.t and b.s - a.t <= 300),
 cues as (select *, list_transform(regexp_extract_all(region, '{_NEG}'), lambda x: lower(x)) as neg, list_transform(regexp_extract_all(region, '{_SPEC}'), lambda x: lower(x)) as spec from both_ends)
 select concat_ws(':', pmid, left(md5(sentence), 8), as_ || '-' || at_, bs || '-' || bt) as pair_id, {_entity_text('al', 'ax')} as subject_text, {_entity_text('bl', 'bx')} as object_text,

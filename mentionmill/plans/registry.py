@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mentionmill.plans import graphs, links, mentions, records
+from mentionmill.plans import corpus, graphs, links, mentions, records
 
-_MODULES = (mentions, links, graphs, records)
+_MODULES = (mentions, links, graphs, corpus, records)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

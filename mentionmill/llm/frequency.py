@@ -66,7 +66,7 @@ def latest_counts(rows: DataFrame, article: Column, value: str, count: str, at:
 
     Rows with a null or non-positive count, a null value or a null article do not count. A null ``at`` is the earliest.
     """
-    x = rows.select(article.alias("article"), F.col(value).alias("value"), F.col(count).cast("bigint").alias("n"), F.coalesce(F.unix_micros(at), F.lit(-(2**62))).alias("at"), F.col(order).alias("o"))
+    x = rows.select(article.alias("article"), F.col(value).alias("value"), F.col(count).cast("bigint").alias("n"), F.coalesce(F.unix_micros(F.col(at).cast("timestamp")), F.lit(-(2**62))).alias("at"), F.col(order).alias("o"))
     x = x.where("n > 0 and value is not null and article is not null")
     return x.groupBy("article", "value").agg(F.max_by("n", F.struct("at", "o")).alias("n"))
 

@@ -85,7 +85,7 @@ def best_verdicts(scored: DataFrame, models: DataFrame) -> DataFrame:
     """
     trust = models.select(model_name(F.col("model")).alias("_m"), F.col("trust_rank").alias("_trust")).groupBy("_m").agg(F.min("_trust").alias("_trust"))
     x = with_pair_group(scored, "pair_id", "_group").select("ord", "_group", "score", "polarity", "scored_at", F.col("predicate.text").alias("_predicate"), model_name(F.coalesce("model", "predicate.model")).alias("_m")).join(trust, "_m", "left")
-    latest = -F.unix_micros("scored_at")
+    latest = -F.unix_micros(F.col("scored_at").cast("timestamp"))
     rank = F.col("_trust")
     fields = {
         "score": (usable_share(F.col("score")), [-F.col("score"), rank, latest]),

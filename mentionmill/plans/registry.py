@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mentionmill.plans import corpus, graphs, links, mentions, records
+from mentionmill.plans import corpus, events, graphs, links, mentions, records
 
-_MODULES = (mentions, links, graphs, corpus, records)
+_MODULES = (mentions, links, graphs, corpus, events, records)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,4 +20,5 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
-    return queries()["p5_found"](spark, d)
+    """The typed entity graph: qualifying relations of all models, one edge per pair of entities."""
+    return graphs.typed_edges(spark, d)

@@ -27,6 +27,15 @@ def complete_json(text: Column) -> Column:
     return F.when(closed & (F.size(only) == 1), only[0])
 
 
+def parsed(rows: DataFrame, key: str, payload: str) -> DataFrame:
+    """(_key, d): ``complete_json`` of a column, parsed once; the parse is a projection of its own as its result is used twice."""
+    bare = F.regexp_replace(payload, r"^\s+|\s+$", "")
+    x = rows.select(F.col(key).alias("_key"), bare.alias("_p"))
+    boxed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), F.col("_p"), F.lit("]"))), "$", "array<variant>")
+    x = x.select("_key", (~F.col("_p").startswith("{") | F.col("_p").endswith("}")).alias("_closed"), boxed.alias("_only"))
+    return x.select("_key", F.when(F.col("_closed") & (F.size("_only") == 1), F.get("_only", F.lit(0))).alias("d"))
+
+
 def as_list(v: Column) -> Column:
     return F.try_variant_get(v, "$", "array<variant>")
 
@@ -47,8 +56,9 @@ def members(v: Column) -> Column:
     obj = as_object(v)
     keys = F.map_keys(obj)
     numbered = F.forall(keys, lambda k: k.rlike("^[0-9]+$"))
-    order = F.array_sort(F.transform(keys, lambda k: F.struct(k.cast("decimal(38,0)").alias("n"), k.alias("k"))))
-    in_order = F.transform(order, lambda o: F.element_at(obj, o["k"]))
+    entries = F.transform(F.map_entries(obj), lambda e: F.struct(e["key"].try_cast("decimal(38,0)").alias("n"), e["value"].alias("v")))
+    order = F.array_sort(entries, lambda a, b: F.when(a["n"] < b["n"], -1).when(a["n"] > b["n"], 1).otherwise(0))
+    in_order = F.transform(order, lambda o: o["v"])
     single = F.when(v.isNotNull() & ~F.is_variant_null(v), F.array(v))
     return F.coalesce(as_list(v), F.when(numbered, in_order), single, F.array().cast("array<variant>"))
 
@@ -128,19 +138,19 @@ def record_nodes(rows: DataFrame, key: str, payload: str) -> DataFrame:
     Only objects give rows. Null, empty and unreadable payloads and payloads without sentences give none; repeated records give
     repeated rows under their own keys. One pass over the payloads, without a shuffle.
     """
-    doc = rows.select(F.col(key).alias("_key"), complete_json(F.col(payload)).alias("d")).where("d is not null")
-    doc = doc.select("_key", decoded(field("d", "sentences")).alias("top"), decoded(field("d", "body", "sections")).alias("sec"))
+    # no filters on what is computed here: they would be pushed below the projections and parse everything again
+    doc = parsed(rows, key, payload).select("_key", decoded(field("d", "sentences")).alias("top"), decoded(field("d", "body", "sections")).alias("sec"))
     doc = doc.select("_key", "top", F.transform(members(F.col("sec")), lambda s: decoded(field(decoded(s), "sentences"))).alias("secs"))
     everywhere = F.concat(members(F.col("top")), F.flatten(F.transform("secs", members)))
     sent = doc.select("_key", F.posexplode(everywhere).alias("sent_no", "s")).select("_key", "sent_no", decoded(F.col("s")).alias("s"))
     part = lambda n: F.struct(F.lit(n).alias("kind"), decoded(field("s", n)).alias("l"))
-    lists = sent.select("_key", "sent_no", F.explode(F.array(part("entities"), part("triples"))).alias("p")).select("_key", "sent_no", "p.kind", "p.l").where("l is not null")
+    lists = sent.select("_key", "sent_no", F.explode(F.array(part("entities"), part("triples"))).alias("p")).select("_key", "sent_no", "p.kind", "p.l")
     item = lists.select("_key", "sent_no", "kind", F.posexplode(members(F.col("l"))).alias("item_no", "m")).select("_key", "sent_no", "kind", "item_no", decoded(F.col("m")).alias("m"))
-    item = item.where(as_object(F.col("m")).isNotNull())
     item = item.withColumn("t", F.when(F.col("kind") == "entities", decoded(field("m", "hgnc_targets"))))
     node = lambda n, sub, v: F.struct(F.lit(n).alias("node"), sub.cast("int").alias("sub_no"), v.alias("v"))
     ends = F.array(*[node(n, F.lit(-1), decoded(field("m", n))) for n in ("subject", "object")])
     targets = F.transform(members(F.col("t")), lambda t, j: node("target", j, decoded(t)))
     nodes = F.when(F.col("kind") == "triples", ends).otherwise(F.concat(F.array(node("entity", F.lit(-1), F.col("m"))), targets))
+    nodes = F.when(as_object(F.col("m")).isNotNull(), nodes)
     x = item.select("_key", "sent_no", "item_no", F.explode(nodes).alias("n")).where(as_object(F.col("n.v")).isNotNull())
     return x.select(F.col("_key").alias(key), "n.node", "sent_no", "item_no", "n.sub_no")

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from mentionmill.session import ship
+
 MIN_POINTS = 20
 
 
@@ -99,5 +101,6 @@ def fitted(rows: DataFrame, group: str, p: str, hit: str, method: str = "isotoni
         bx, by = isotonic(x, y)
         return pd.DataFrame([(key[0], method, bx, by, math.nan, math.nan)], columns=cols)
 
+    ship(rows.sparkSession)
     c = rows.groupBy(F.col(group).alias("group"), F.round(F.col(p), 6).alias("p"), F.col(hit).cast("int").alias("hit")).agg(F.count("*").alias("n")).where("p is not null and hit is not null")
     return c.groupBy("group").applyInPandas(fit, "group string, method string, x array<double>, y array<double>, a double, b double")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mentionmill.functions import scores
+from mentionmill.session import ship
 
 
 class Provider(Protocol):
@@ -36,6 +37,7 @@ class Batched:
         self.load, self.score, self.column, self.kind, self.inputs = load, score, column, kind, inputs
 
     def apply(self, rows: DataFrame) -> DataFrame:
+        ship(rows.sparkSession)
         load, score, inputs, column = self.load, self.score, self.inputs, self.column
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

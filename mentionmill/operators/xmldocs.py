@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mentionmill.session import ship
+
 _BLANK = re.compile(r"\s+")
 _PARTS = re.compile(r"\s*(?:\band\b|&|/|\+|\||,)\s*")
 #: What is no running text of its section in either scheme.
@@ -181,6 +183,7 @@ def _run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def article_paragraphs(docs: DataFrame, doc: str, xml: str) -> DataFrame:
     """(doc, scheme, para_ord, section_type, section_title, text, parse_error). Null and blank records give nothing."""
+    ship(docs.sparkSession)
     x = docs.select(F.col(doc).cast("string").alias("doc"), F.col(xml).alias("xml")).where(F.length(F.trim("xml")) > 0)
     schema = "doc string, scheme string, para_ord int, section_type string, section_title string, text string, parse_error string"
     return x.mapInPandas(_run, schema).withColumnRenamed("doc", doc)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 #: Settings that only matter where the cluster has not chosen its own.
@@ -24,6 +28,25 @@ def build(app: str = "mentionmill", master: str | None = None, **conf: str) -> S
     return b.getOrCreate()
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package's code to the executors, once per application, so that Python steps find it wherever they run."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    _shipped.add(app)
+    root = Path(__file__).resolve().parent
+    with tempfile.TemporaryDirectory() as tmp:
+        path = Path(tmp, f"{root.name}.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, str(f.relative_to(root.parent)))
+        spark.sparkContext.addPyFile(str(path))
+
+
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """One table of a directory of Parquet tables."""
+    ship(spark)
     return spark.read.parquet(f"{base}/{name}.parquet")

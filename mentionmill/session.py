@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -38,12 +40,13 @@ def ship(spark: SparkSession) -> None:
         return
     _shipped.add(app)
     root = Path(__file__).resolve().parent
-    with tempfile.TemporaryDirectory() as tmp:
-        path = Path(tmp, f"{root.name}.zip")
-        with zipfile.ZipFile(path, "w") as z:
-            for f in sorted(root.rglob("*.py")):
-                z.write(f, str(f.relative_to(root.parent)))
-        spark.sparkContext.addPyFile(str(path))
+    tmp = tempfile.mkdtemp(prefix="mentionmill-code-")  # the driver serves the file from here until it ends
+    atexit.register(shutil.rmtree, tmp, True)
+    path = Path(tmp, f"{root.name}.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, str(f.relative_to(root.parent)))
+    spark.sparkContext.addPyFile(str(path))
 
 
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mentionmill.llm.confusables import canonical
+from mentionmill.session import ship
 
 UNMATCHED = "unmatched"
 #: Names in one dictionary: about 3 kB each with all their deletes, so at most some 150 MB per task.
@@ -262,6 +263,7 @@ def closest_entries(values: DataFrame, key: list[str], names: DataFrame, frequen
     blank and unknown-kind values are unmatched; repeated values are answered alike; an empty list leaves all unmatched.
     """
     spark = values.sparkSession
+    ship(spark)
     x = names.groupBy("kind", "name", "ref_id").agg(F.min("field_rank").alias("field_rank"), F.min("blocked").alias("blocked"))
     if frequency is not None:
         x = x.join(frequency, "ref_id", "left")

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from mentionmill.session import ship
+
 # Letters of other scripts that look like a Latin letter, each followed by that letter.
 _GREEK = "ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX οo νv ρp ιi υu χx ϲc ϳj ϹC ͿJ"
 _CYRILLIC = "АA ВB ЕE ІI ЈJ КK МM НH ОO РP СC ТT УY ҮY ХX ЅS ԚQ ԜW ӀI аa сc еe һh іi јj оo рp ԛq ѕs уy хx ѵv ԝw ԁd ӏl"
@@ -87,6 +89,7 @@ def looks_like(texts: DataFrame, names: DataFrame) -> DataFrame:
     replaced, other columns pass through whatever their names. Only texts with characters beyond
     plain printable ones go through Python, unless some listed name has such characters in an unstable form.
     """
+    ship(texts.sparkSession)
     listed = names.where("name is not null").select("kind", "name").distinct().withColumn("_form", canonical_column(F.col("name")))
     odd_names = listed.where(F.col("name") != F.col("_form")).limit(1).count() > 0
     x = texts.drop("plain").where("text is not null")

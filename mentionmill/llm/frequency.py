@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mentionmill.session import ship
 from mentionmill.staging import staged
 
 #: Most heavy values (this bounds what is broadcast and each task's counter array) and the sketch's size.
@@ -46,6 +47,7 @@ def frequencies(rows: DataFrame, value: str, weight: str, k: int = HEAVY) -> Dat
     Empty input gives no rows.
     """
     spark = rows.sparkSession
+    ship(spark)
     x = rows.select(F.col(value).alias("value"), F.col(weight).cast("bigint").alias("weight"))
     heavy = heavy_values(x, "value", k)
     light = x

@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mentionmill.session import ship
+
 #: Shared units that make a case, in words and in letters.
 MIN_WORDS, MIN_LETTERS = 12, 24
 #: Languages whose items are compared letter by letter.
@@ -226,6 +228,7 @@ def shared_runs(docs: DataFrame, doc: str, text: str, items: DataFrame, item: st
     cannot be found. Whole texts are read. One pass over the documents per block of items and no shuffle.
     """
     spark = docs.sparkSession
+    ship(spark)
     rows = items.select(F.col(item).cast("bigint"), F.lower(F.coalesce(F.col(lang), F.lit(""))), F.col(item_text)).where(F.col(item_text).isNotNull())
     kind = docs.schema[doc].dataType.simpleString()
     read = docs.select(F.col(doc).alias("doc"), F.col(text).alias("text")).where("text is not null")

@@ -26,7 +26,7 @@ from mentionmill.session import ship
 ABBREVIATIONS = frozenset(
     "chr suppl est cf fig figs eq eqs ref refs vs approx no nos dr drs mr mrs ms prof st e.g i.e viz resp ca tab vol p pp sec ch art ed eds dept "
     "z.b u.a d.h i.d.r vgl abb bzw evtl ggf inkl nr o.ä s.o s.u med bsp zzt sog "
-    "m mm mme mlle env p.ex c.-à-d chap art "
+    "m mme mlle env p.ex c.-à-d chap art "
     "ee sr sra srta dra ud uds p.ej aprox pág núm "
     "рис табл см т.е проф др-р акад стр напр гл "
     "डॉ सं श्री मि.ग्रा मि.ली कि.ग्रा प्रो द.म".split()
@@ -63,8 +63,13 @@ _ITEM = re.compile(r"(?:\d{1,3}[.)]|[A-Za-z]\)|[ivxIVX]{1,4}\)|\(\w{1,3}\)|[-*\u
 _CITED = re.compile(r"\[\d+(?:\s*[,;–-]\s*\d+)*\]")
 _HAN = re.compile(r"[぀-ヿ㐀-鿿豈-﫿\U00020000-\U0003ffff]")
 _THAI_GAP = re.compile(r"(?<=[฀-๿])[ \t \n\r]+(?=[฀-๿])|(?<=[^\s฀-๿])[ \t \n\r]+(?=[฀-๿])|(?<=[฀-๿])[ \t \n\r]+(?=[A-Za-z«“\"(])")
+_NAME = re.compile(r"[^\s,;:()\[\]\"“”«»„]+")
 _WORD_BEFORE = re.compile(r"[^\s()\[\]{}«»“”„\"'‘’,;:/（）、，；：]*$")
 HEADING_WORDS = 6
+#: Abbreviations before a number that are also words.
+NUMBERED = frozenset("no nos art sec ch cap".split())
+#: Letters that are words of their own in some language.
+ONE_LETTER_WORDS = "aeouyаиоуя"
 #: Fixed values, lower case: titles that stand on a line of their own above running text.
 TITLES = frozenset(
     "abstract background introduction methods results discussion conclusion conclusions findings summary materials dosing objective objectives references limitations "
@@ -147,7 +152,10 @@ def _begins(t: str, i: int, b: int) -> bool | None:
         return _begins(t, _skip(t, i + 1, b), b)
     if c.isupper() or c.isdigit():
         return True
-    return None if c.islower() else True
+    if not c.islower():
+        return True
+    word = _NAME.match(t, i, b).group()  # p53, mTOR, alpha-GENE2: a name keeps its small letter at the start
+    return True if any(k.isdigit() or k.isupper() for k in word) else None
 
 
 def _inside_bracket(t: str, a: int, s: int, e: int) -> bool:
@@ -215,13 +223,18 @@ def _is_end(t: str, a: int, m: re.Match, b: int, closes: set[int], start: int) -
     if _script(prev) == "dev" and low != "":
         return low not in ABBREVIATIONS and "." not in low and len(low) > 2 and here.isascii() and here.isupper()
     dotted = low
-    tail = re.search(r"(?:\w\.[  ]?)+$", t[max(a, s - len(before) - 8) : s - len(before)])
+    lead = t[max(a, s - len(before) - 8) : s - len(before)]
+    tail = re.search(r"(?:\w\.\s?)+$", lead)
     if tail and len(before) <= 2:
-        dotted = tail.group().replace(" ", "").replace(" ", "").lower() + low
-    pair = re.search(r"(\w{1,2})\.[  ]?$", t[max(a, s - len(before) - 4) : s - len(before)])
+        dotted = re.sub(r"\s", "", tail.group()).lower() + low
+    pair = re.search(r"(\w{1,2})\.\s?$", lead)
     two = f"{pair.group(1).lower()}.{low}" if pair else ""
     if dotted in EITHER or two in EITHER or low in EITHER:
         return begins is True and not (here == "(" and not _own(t, nxt, b)) and not (here.isdigit() and low not in ("etc", "др", "al"))
+    if before == "MM":
+        return False
+    if low in NUMBERED and not pair:
+        return begins is True and not here.isdigit()
     if dotted in ABBREVIATIONS or two in ABBREVIATIONS or low in ABBREVIATIONS:
         return False
     if low.isdigit():
@@ -234,7 +247,7 @@ def _is_end(t: str, a: int, m: re.Match, b: int, closes: set[int], start: int) -
     if len(before) == 1 and before.isalpha() and not _script(before):
         w = _WORD_BEFORE.search(t, a, max(a, s - 2)).group().lower()
         if before.islower():
-            return False
+            return begins is True and low in ONE_LETTER_WORDS and not pair and bool(w)
         return begins is True and w in LABELLED
     if _script(prev) == "arab" and len(low) == 1:
         return False
@@ -273,7 +286,8 @@ def _closes(t: str, a: int, s: int, e: int, start: int, b: int, closes: set[int]
         return 0
     if t[s] not in _QUOTES:
         return after if start == s and _inside_bracket(t, a, s, e) else 0
-    if _begins(t, nxt, b) is not True:
+    begins = _begins(t, nxt, b)
+    if begins is not True and not (begins is None and t[k] == "。" and t[start:s].strip()):
         return 0
     if _script(t[nxt]):
         lead = t[start:s].strip()

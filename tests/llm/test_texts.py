@@ -148,6 +148,8 @@ CASES = [
     ["Am 3. Mai kam die 2. Gruppe, z. B. Wasser, usw.", "Die Werte lagen bei 9,2 mg, d. h. tief.", "Es stand: „Es ist zu meiden.“", "„Nichts. Dann Ende“, heißt es."],
     ["« Rien n'a changé. C'est fini », dit-il.", "Env. 88 % des cas, c.-à-d. peu.", "Il conclut : « C'est à éviter. »", "M. Yostrel lit."],
     ["«No hubo cambios. Fin», dice.", "¡Se detuvo!", "¿Por qué?", "Vive en EE. UU. durante 3 meses."],
+    ["It was held in the arm.", "alpha-PVFR5 was not detected.", "The dose was 5 mM.", "p43-like signals were absent, e.g. p53.", "None were under 18 yr.", "p9-like signals rose."],
+    ["It left a residue of a.", "Growth stopped.", 'It said: "No."', "mTOR rose."],
     ["В 2011 г. было собрано, т. е. взято.", "Вода, соль и т. д.", "Рост прекратился!", "«Нет. Конец», — сказано."],
     ["डॉ. वेलमा ने 3 मि.ग्रा. दिया।", "क्या हुआ?"],
     ["فحص د. فيلما 19 عينة، ثم سجل.", "هل هو؟", "سأل: «هل هو؟» ثم أعاد."],
@@ -163,6 +165,7 @@ def test_sentences_of_spaced_scripts(parts):
 @pytest.mark.parametrize(
     "parts",
     [
+        ["报告写道：“不应混用。”", "finusstutic carcinoma患者接受了水。", "kenan降低了水平。"],
         ["“没有变化。实验随后停止。”报告如此写道。", "报告写道：“不应混用。”", "剂量为5.3毫克；结果稳定。", "研究者问道：“是否必要？”随后重复了实验。", "效果消失……但37天后恢复。"],
         ["「変化はない。終了した。」と報告書は記す。", "v2.26の手順に従い調べた。", "「必要か？」という問いが残る。", "止まった！"],
     ],

@@ -393,7 +393,8 @@ def _block(t: str, a: int, b: int, out: list[tuple[int, int]]) -> None:
     events: list[tuple[int, int, object]] = [(m.start(), 1, m) for m in _MARKS.finditer(t, a, b)]
     events += [(c, 0, None) for c in cuts]
     events += [(e, 2, (s, e)) for s, e in spans]
-    events += [(m.start(), 3, m) for m in _THAI_GAP.finditer(t, a, b)]
+    if _THAI_RUN.search(t, a, b):
+        events += [(m.start(), 3, m) for m in _THAI_GAP.finditer(t, a, b)]
     events.sort(key=lambda x: (x[0], x[1]))
 
     def emit(end: int) -> None:

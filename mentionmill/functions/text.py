@@ -128,6 +128,14 @@ def greek_spelled(c: Column) -> Column:
     return x
 
 
+def greek_words(c: Column) -> Column:
+    """Greek letters as their English names, the rest as it is."""
+    x = F.translate(c, "ς", "σ")
+    for letter, name in _GREEK_LETTERS.items():
+        x = F.replace(F.replace(x, F.lit(letter), F.lit(name)), F.lit(letter.upper()), F.lit(name))
+    return x
+
+
 def is_greek(c: Column) -> Column:
     """Holds a Greek letter, or a letter's name that is not in capitals and, for short names that mean other things, in lower case."""
     words = F.regexp_extract_all(c, F.lit(r"(?i)\b(" + "|".join(GREEK_NAMES) + r")\b"), F.lit(1))

@@ -44,24 +44,34 @@ def classified(surface: Column, name: Column) -> Column:
     return F.when(surface == name, "case-sensitive").when(T.casefold(surface) == T.casefold(name), "case-insensitive").otherwise("hyphen vs white space")
 
 
+def _try(rank: Column, p: Pass, value: Column, mode: Column | None = None) -> Column:
+    named = mode if mode is not None else F.lit(p.mode).cast("string")
+    fields = F.array(*[F.lit(f) for f in sorted(p.fields)])
+    return F.struct(rank.alias("rank"), named.alias("mode"), F.lit(p.guard).alias("guard"), F.lit(p.fold).alias("fold"), p.key(value).alias("key"), fields.alias("fields"))
+
+
 def link(surfaces: DataFrame, surface: str, index: DataFrame, passes: Sequence[Pass], main_field: str) -> DataFrame:
     """All columns of ``surfaces`` with rank, match_mode, match_field, ids and labels (sorted) and status.
 
     status is matched, ambiguous or unmatched. A null surface is unmatched; repeated surfaces are linked alike.
     """
-    tries = [F.struct(F.lit(i).alias("rank"), F.lit(p.fold).alias("fold"), p.key(F.col("_s")).alias("key"), F.array(*[F.lit(f) for f in sorted(p.fields)]).alias("fields")) for i, p in enumerate(passes, 1)]
     once = surfaces.select(F.col(surface).alias("_s")).where("_s is not null").distinct()
-    c = once.select("_s", F.explode(F.array(*tries)).alias("t")).select("_s", "t.*").where("key is not null and key <> ''")
-    hit = c.join(index, ["fold", "key"]).where(F.array_contains("fields", F.col("field")))
-    hits = hit.groupBy("_s").agg(F.collect_set(F.struct("rank", "field_rank", "name", "field", "id", "label")).alias("h"))
+    tries = F.array(*[_try(F.lit(i), p, F.col("_s")) for i, p in enumerate(passes, 1)])
+    return resolve(surfaces, surface, once.select("_s", F.explode(tries).alias("t")).select("_s", "t.*"), index, main_field)
+
+
+def resolve(surfaces: DataFrame, surface: str, tries: DataFrame, index: DataFrame, main_field: str) -> DataFrame:
+    """``link`` for tries that are already made: _s, rank, mode, guard, fold, key, fields."""
+    hit = tries.where("key is not null and key <> ''").join(index, ["fold", "key"]).where(F.array_contains("fields", F.col("field")))
+    hits = hit.groupBy("_s").agg(F.collect_set(F.struct("rank", "field_rank", "name", "field", "id", "label", "mode", "guard")).alias("h"))
     hits = hits.withColumn("rank", F.array_min(F.transform("h", lambda s: s["rank"])))
     hits = hits.withColumn("w", F.array_sort(F.filter("h", lambda s: s["rank"] == F.col("rank"))))
-    main = F.array_distinct(F.transform(F.filter("w", lambda s: s["field"] == main_field), lambda s: F.struct(s["id"].alias("id"), s["label"].alias("label"))))
-    every = F.array_distinct(F.transform("w", lambda s: F.struct(s["id"].alias("id"), s["label"].alias("label"))))
-    guarded = F.col("rank").isin(*[i for i, p in enumerate(passes, 1) if p.guard])
-    hits = hits.withColumn("picked", F.when(guarded & (F.size(main) == 1), main).otherwise(every)).withColumn("best", F.get("w", F.lit(0)))
-    modes = F.create_map(*[F.lit(v) for i, p in enumerate(passes, 1) for v in (i, p.mode or "")])
-    mode = F.coalesce(F.nullif(F.try_element_at(modes, F.col("rank")), F.lit("")), classified(F.col("_s"), F.col("best.name")))
+    named = lambda s: F.struct(s["id"].alias("id"), s["label"].alias("label"))
+    main = F.array_distinct(F.transform(F.filter("w", lambda s: s["field"] == main_field), named))
+    every = F.array_distinct(F.transform("w", named))
+    hits = hits.withColumn("best", F.get("w", F.lit(0)))
+    hits = hits.withColumn("picked", F.when(F.col("best.guard") & (F.size(main) == 1), main).otherwise(every))
+    mode = F.coalesce("best.mode", classified(F.col("_s"), F.col("best.name")))
     ids = F.array_sort(F.transform("picked", lambda s: s["id"]))
     labels = F.array_sort(F.transform("picked", lambda s: s["label"]))
     found = hits.select("_s", "rank", mode.alias("match_mode"), F.col("best.field").alias("match_field"), ids.alias("ids"), labels.alias("labels"))
@@ -174,6 +184,73 @@ def link_genes(surfaces: DataFrame, surface: str, hgnc: DataFrame, curated: Data
     return link(surfaces, surface, index, gene_passes(), "symbol")
 
 
+# ---------------------------------------------------------------- gene surfaces with Greek letters
+_WORDS = "|".join(sorted(T.GREEK_NAMES, key=len, reverse=True))
+# Remainders that must not be linked without their Greek letter, and words of state and of molecule.
+KEEPS_LETTER = ("sma", "gc", "b7", "cat", "syn", "arrestin", "arrestin 1", "arrestin 2", "gal", "ar")
+STATES = "nuclear cytoplasmic cytosolic membrane mutant wild-type wildtype wt serum total active cleaved soluble recombinant endogenous secreted mature"
+MOLECULES = "proteins? mrna genes? antibody antibodies mab isoforms? promoter reporter constructs? staining expression levels? mutants? deletion fragment sirna shrna cdna peptide targets?"
+RESIDUES = "ala|arg|asn|asp|cys|gln|glu|gly|his|ile|leu|lys|met|phe|pro|ser|thr|trp|tyr|val"
+
+
+def _changed(pattern: str, rest: str = "", least: int = 1) -> Key:
+    """The value after a replacement, or null where nothing changed or too little is left."""
+    def f(c: Column) -> Column:
+        x = F.trim(F.regexp_replace(c, pattern, rest))
+        return F.when((x != c) & (F.length(x) >= least), x)
+
+    return f
+
+
+def _unless_kept(f: Key) -> Key:
+    return lambda c: F.when(~T.casefold(f(c)).isin(*KEEPS_LETTER), f(c))
+
+
+_split = _changed(rf"(?i)([a-z0-9])({_WORDS})$", "$1 $2")
+_regroup = _changed(rf"^([A-Z]+)-(\d+)({_WORDS})$", "$1$2 $3")
+_regroup_any = _changed(rf"(?i)^([a-z]+)-(\d+)({_WORDS})$", "$1$2 $3")
+_interferon = _changed(rf"^IFN-?({_WORDS})$", "interferon $1")
+_no_alpha = _unless_kept(_changed("^alpha(?=[A-Za-z])"))
+_no_letter = _unless_kept(_changed(rf"(?i)^(?:{'|'.join(w for w in T.GREEK_NAMES if w != 'alpha')})[- ]?(?=[A-Za-z])", least=2))
+_no_state = _changed(rf"(?i)^(?:(?:{STATES.replace(' ', '|')})\s+)+|(?:\s+(?:{MOLECULES.replace(' ', '|')}))+$")
+_no_residue = _changed(rf"(?i)\s*\(\s*(?:{RESIDUES}|[sty])-?\d*\s*\)|\s+(?:(?:{RESIDUES})\d+[a-z]?|[acdefghiklmnpqrstvwy]\d+[acdefghiklmnpqrstvwy]|serine|threonine|tyrosine)(?=\s|$)|-(?:(?:{RESIDUES})\d+[a-z]?|[acdefghiklmnpqrstvwy]\d+[acdefghiklmnpqrstvwy])$")
+
+
+def greek_passes() -> list[Pass]:
+    """What is tried on one value, in order; names are folded in the same three ways."""
+    three = [("as is", "case-sensitive"), ("case", "case-insensitive"), ("hyphen", "hyphen/whitespace")]
+    then = lambda f, fold: lambda c: FOLDS[fold](f(c))
+    out = [Pass(mode, EVERY, FOLDS[fold], fold, True) for fold, mode in three]
+    out += [Pass("greek-letter split", EVERY, then(_split, fold), fold, True) for fold, _ in three]
+    out += [Pass("letter-number split", EVERY, then(_regroup, fold), fold, True) for fold, _ in three]
+    out.append(Pass("letter-number split (ci)", EVERY, then(_regroup_any, "hyphen"), "hyphen", True))
+    out += [Pass("IFN expansion", EVERY, then(_interferon, "case"), "case", True), Pass("alpha-stripped", EVERY, then(_no_alpha, "case"), "case", True), Pass("leading-greek strip", EVERY, then(_no_letter, "case"), "case", True), Pass("separator-deletion", EVERY, T.no_separators, "joined", True)]
+    return out
+
+
+def link_greek_genes(surfaces: DataFrame, surface: str, hgnc: DataFrame, curated: DataFrame | None = None) -> DataFrame:
+    """Surfaces with Greek letters through their own cascade.
+
+    The raw surface comes first, then curated names, then the passes on the surface with its letters spelled out. Removing a
+    reagent prefix or a phospho mark starts the passes over on the rest, once; so do removing words of state or molecule and
+    removing residues. The restarts are unrolled: rank = 10,000 * cleaning + 100 * restart + pass, with each step exploded
+    before the next, so the plan stays one join.
+    """
+    index = name_index(gene_names(hgnc, curated), ["as is", "case", "hyphen", "joined"])
+    once = surfaces.select(F.col(surface).alias("_s")).where("_s is not null").distinct().withColumn("e", T.greek_words(F.col("_s")))
+    variant = lambda at, mode, v: F.struct(F.lit(at).alias("at"), F.lit(mode).cast("string").alias("m"), v.alias("v"))
+    e = F.col("e")
+    cleaned = once.select("_s", F.explode(F.array(variant(0, None, e), variant(1, "qualifier-stripped", _no_state(e)), variant(2, "residue-stripped", _no_residue(e)))).alias("a")).where("a.v is not null")
+    v = F.col("a.v")
+    starts = F.array(variant(0, None, v), variant(50, "prefix-stripped", _changed("^(?:pro|sh|si|p)(?=[A-Z])")(v)), variant(60, "phospho-stripped", _changed("(?i)^phospho-")(v)), variant(70, "p- stripped", _changed("^p-")(v)))
+    restarted = cleaned.select("_s", "a", F.explode(starts).alias("b")).where("b.v is not null")
+    at = F.col("a.at") * 10_000 + F.col("b.at") * 100
+    tries = F.array(*[_try(at + i + 10, p, F.col("b.v"), F.coalesce("a.m", "b.m", F.lit(p.mode))) for i, p in enumerate(greek_passes())])
+    first = [Pass("key case-insensitive", EVERY, T.casefold, "case", True), Pass("curated synonym", frozenset({"curated"}), T.casefold, "case")]
+    raw = once.select("_s", F.explode(F.array(*[_try(F.lit(i), p, F.col("_s") if i == 1 else e) for i, p in enumerate(first, 1)])).alias("t")).select("_s", "t.*")
+    return resolve(surfaces, surface, raw.unionByName(restarted.select("_s", F.explode(tries).alias("t")).select("_s", "t.*")), index, "symbol")
+
+
 # ---------------------------------------------------------------- ontology terms
 def term_passes() -> list[Pass]:
     """The ontology cascade: curated, as is, case, hyphen, American singulars, joined. Several keys of one step are passes in order."""

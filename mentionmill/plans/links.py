@@ -53,12 +53,17 @@ def word_cosine(spark: SparkSession, d: str) -> DataFrame:
     return x.select("surface", "id", "name", F.round("cosine", 6).alias("cosine"))
 
 
+def greek_links(spark: SparkSession, d: str) -> DataFrame:
+    """Gene surfaces with Greek letters through the Greek cascade."""
+    return _shown(L.link_greek_genes(greek_surfaces(spark, d), "surface", table(spark, d, "hgnc")))
+
+
 def greek_surfaces(spark: SparkSession, d: str) -> DataFrame:
     """Gene surfaces with Greek letters, as symbol or word."""
     return _surfaces(spark, d, "GENETIC").where(T.is_greek(F.col("surface")))
 
 
-QUERIES = {f.__name__: f for f in (gene_links, disease_links, chemical_links, link_summary, link_credit, word_cosine, greek_surfaces)}
+QUERIES = {f.__name__: f for f in (gene_links, disease_links, chemical_links, link_summary, link_credit, word_cosine, greek_surfaces, greek_links)}
 
 _FOLD = "replace(translate(lower({0}), 'ςµİ', 'σμi'), 'ß', 'ss')"
 

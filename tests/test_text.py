@@ -105,3 +105,23 @@ def test_gene_cascade(spark, surface, ids, mode):
     r = linking.link_genes(spark.createDataFrame([(surface,)], "surface string"), "surface", hgnc).first()
     assert ("|".join(r.ids or []), r.match_mode) == (ids, mode)
     assert r.status == ("unmatched" if not ids else "ambiguous" if "|" in ids else "matched")
+
+
+GREEK = [
+    ("HGNC:1", "HIF1A", ["HIF-1alpha", "HIF1 alpha"], [], ["hypoxia inducible factor 1 subunit alpha"]), ("HGNC:2", "IFNG", [], [], ["interferon gamma"]), ("HGNC:3", "H2AX", [], [], ["h"]), ("HGNC:4", "PDCD1", ["PD-1"], [], ["p"]), ("HGNC:5", "IL1B", ["IL1 beta"], [], ["i"]),
+    ("HGNC:6", "GSK3B", ["GSK3beta"], [], ["g"]), ("HGNC:7", "MAPT", ["tau"], [], ["m"]), ("HGNC:8", "CTNNB1", ["beta-catenin"], [], ["c"]), ("HGNC:9", "CAT", [], [], ["catalase"]),
+]
+
+
+@pytest.mark.parametrize(
+    ("surface", "ids", "mode"),
+    [
+        ("tau", "HGNC:7", "key case-insensitive"), ("HIF-1α", "HGNC:1", "case-sensitive"), ("HIF1α", "HGNC:1", "greek-letter split"), ("IL-1β", "HGNC:5", "letter-number split"), ("Il-1β", "HGNC:5", "letter-number split (ci)"), ("shHIF-1α", "HGNC:1", "prefix-stripped"), ("IFN-γ", "HGNC:2", "IFN expansion"),
+        ("αPD-1", "HGNC:4", "alpha-stripped"), ("phospho-tau", "HGNC:7", "phospho-stripped"), ("p-tau", "HGNC:7", "p- stripped"), ("γH2AX", "HGNC:3", "leading-greek strip"), ("HIF-1-α", "HGNC:1", "separator-deletion"), ("nuclear β-catenin", "HGNC:8", "qualifier-stripped"), ("GSK3β S9A", "HGNC:6", "residue-stripped"),
+        ("αcat", "", None), ("ω-nothing", "", None),
+    ],
+)
+def test_greek_cascade(spark, surface, ids, mode):
+    hgnc = spark.createDataFrame([(*g, None, None) for g in GREEK], "hgnc_id string, symbol string, alias_symbol array<string>, prev_symbol array<string>, name array<string>, alias_name array<string>, prev_name array<string>")
+    r = linking.link_greek_genes(spark.createDataFrame([(surface,)], "surface string"), "surface", hgnc).first()
+    assert ("|".join(r.ids or []), r.match_mode) == (ids, mode)

@@ -48,11 +48,14 @@ def selected(pubs: DataFrame, p: float = 0.9, override: float | None = None) ->
 
 def with_fallback(rows: DataFrame, keys: list[Column], lookup: DataFrame, key: str, value: str, name: str) -> DataFrame:
     """Rows with the value of the first key that the lookup holds, even where that value is null; one join for all keys."""
-    tries = F.array(*[F.struct(F.lit(i).alias("i"), k.alias("_k")) for i, k in enumerate(keys)])
-    x = rows.withColumn("_row", F.monotonically_increasing_id())
-    hit = x.select("_row", F.explode(tries).alias("t")).select("_row", "t.*").join(lookup.select(F.col(key).alias("_k"), F.col(value).alias("_v")), "_k")
-    best = hit.groupBy("_row").agg(F.min_by(F.struct("_v"), "i").alias("b")).select("_row", F.col("b._v").alias(name))
-    return x.join(best, "_row", "left").drop("_row")
+    ks = [f"_k{i}" for i in range(len(keys))]
+    whole = F.concat_ws("\u0001", *[F.coalesce(F.concat(F.lit("s"), F.col(k)), F.lit("n")) for k in ks])  # nulls are equal here
+    x = rows.withColumns(dict(zip(ks, keys, strict=True))).withColumn("_keys", whole)
+    tries = F.array(*[F.struct(F.lit(i).alias("i"), F.col(k).alias("_k")) for i, k in enumerate(ks)])
+    hit = x.select("_keys", *ks).distinct().select("_keys", F.explode(tries).alias("t")).select("_keys", "t.*")
+    hit = hit.join(lookup.select(F.col(key).alias("_k"), F.col(value).alias("_v")), "_k")
+    best = hit.groupBy("_keys").agg(F.min_by(F.struct("_v"), "i").alias("b")).select("_keys", F.col("b._v").alias(name))
+    return x.drop(*ks).join(best, "_keys", "left").drop("_keys")
 
 
 def preferred_union(preferred: DataFrame, other: DataFrame, key: str) -> DataFrame:
@@ -129,3 +132,41 @@ def structure(xml: Column) -> Column:
         (title != "").alias("has_title"), xml.rlike(r"<abstract\b").alias("has_abstract"), xml.rlike(r"<ref-list\b").alias("has_reflist"), F.regexp_count(xml, F.lit(r"<ref\b")).alias("n_refs"), shape.alias("shape"),
         F.array_sort(F.array_distinct(F.flatten(parts))).alias("sections"), F.regexp_count(xml, F.lit(r"<fig\b")).alias("n_figures"), F.regexp_count(xml, F.lit(r"<table-wrap\b")).alias("n_tables"),
     )
+
+
+def tei_structure(xml: Column) -> Column:
+    """Facts of one TEI record: title, abstract, divisions, references, and the canonical parts its heads stand for."""
+    body = F.regexp_extract(xml, r"(?s)<body\b[^>]*>(.*?)</body>", 1)
+    plain = lambda p: T.squeeze(F.regexp_replace(F.regexp_extract(xml, p, 1), "<[^>]+>", " "))
+    heads = F.transform(F.regexp_extract_all(body, F.lit(r"(?s)<head\b[^>]*>(.*?)</head>"), F.lit(1)), lambda h: F.lower(T.heading(h)))
+    return F.struct(
+        (plain(r"(?s)<title\b[^>]*>(.*?)</title>") != "").alias("has_title"), (plain(r"(?s)<abstract\b[^>]*>(.*?)</abstract>") != "").alias("has_abstract"), F.regexp_count(body, F.lit(r"<div\b")).alias("n_divs"),
+        F.regexp_count(xml, F.lit(r"<biblStruct\b")).alias("n_refs"), F.array_sort(F.array_distinct(F.flatten(F.transform(heads, lambda h: section_buckets(h, F.lit("")))))).alias("sections"),
+    )
+
+
+def section_titles(docs: DataFrame, doc: str, xml: str) -> DataFrame:
+    """(doc, title, kind): the section headings of each record, captions of figures and tables left out."""
+    x = F.col(xml)
+    tei = F.left(x, F.lit(800)).rlike("www.tei-c.org|<TEI")
+    bare = F.regexp_replace(x, r"(?is)<figure\b[^>]*>.*?</figure>|<fig\b[^>]*>.*?</fig>|<table-wrap\b[^>]*>.*?</table-wrap>", " ")
+    heads = F.transform(F.regexp_extract_all(bare, F.lit(r"(?is)<head\b[^>]*>(.*?)</head>"), F.lit(1)), lambda h: F.struct(h.alias("title"), F.lit("").alias("kind")))
+    secs = F.transform(F.regexp_extract_all(bare, F.lit(r"(?is)<sec\b[^>]*>\s*(?:<label[^>]*>.*?</label>\s*)?<title[^>]*>.*?</title>"), F.lit(0)), lambda s: F.struct(F.regexp_extract(s, r"(?is)<title[^>]*>(.*?)</title>", 1).alias("title"), F.lower(F.regexp_extract(s, r'(?i)sec-type="([^"]*)"', 1)).alias("kind")))
+    y = docs.where(x.isNotNull()).select(F.col(doc).alias("doc"), F.explode(F.when(tei, heads).otherwise(secs)).alias("h"))
+    return y.select("doc", T.heading(F.col("h.title")).alias("title"), F.col("h.kind").alias("kind")).where("title <> ''")
+
+
+def coverage(facts: DataFrame) -> DataFrame:
+    """(part, articles, share) over a ``structure`` column s: documents' parts, body shapes, sections, and how complete the four main sections are.
+
+    One pass: each article yields its marks, and the marks are counted.
+    """
+    s = F.col("s")
+    four = F.size(F.array_intersect(s["sections"], F.array(*[F.lit(v) for v in ("Introduction", "Methods", "Results", "Discussion")])))
+    marks = F.array_compact(F.concat(
+        F.array(F.lit("all"), F.when(s["has_title"], "title"), F.when(s["has_abstract"], "abstract"), F.when(s["has_reflist"], "references"), F.when(s["n_figures"] > 0, "figures"), F.when(s["n_tables"] > 0, "tables"), F.concat(F.lit("shape: "), s["shape"]), F.concat(F.lit("main sections: "), four.cast("string")), F.when(~s["has_abstract"], F.concat(F.lit("no abstract, shape: "), s["shape"]))),
+        F.transform(s["sections"], lambda v: F.concat(F.lit("section: "), v)),
+    ))
+    n = facts.select(F.explode(marks).alias("part")).groupBy("part").agg(F.count("*").alias("articles"))
+    total = n.where("part = 'all'").select(F.col("articles").alias("t"))
+    return n.withColumn("share", F.try_divide("articles", total.scalar()))

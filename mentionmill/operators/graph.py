@@ -243,3 +243,19 @@ def balance(d: DataFrame) -> DataFrame:
     s = n.join(total, "step").select("step", "id", "degree_1", "degree_2", F.try_divide("degree_1", "t1").alias("share_1"), F.try_divide("degree_2", "t2").alias("share_2"))
     a, b = F.coalesce("share_1", F.lit(0.0)), F.coalesce("share_2", F.lit(0.0))
     return s.withColumn("balance", F.try_divide(a - b, a + b))
+
+
+def with_targets(nodes_: DataFrame, targets: DataFrame) -> DataFrame:
+    """Nodes with what is known of a gene as a drug target: n_chemicals, chemicals and tier; other nodes and genes have none.
+
+    ``targets`` is the inverse view (gene, chemicals, n_chemicals, in_corpus, tier); only corpus genes count.
+    """
+    t = targets.where("in_corpus").select(F.col("gene").alias("id"), F.lit("gene").alias("kind"), "chemicals", "n_chemicals", "tier")
+    x = nodes_.join(t, ["id", "kind"], "left")
+    return x.withColumns({"n_chemicals": F.coalesce("n_chemicals", F.lit(0)), "chemicals": F.coalesce("chemicals", F.array().cast("array<string>")), "tier": F.coalesce("tier", F.lit("other"))})
+
+
+def polarity_edges(rel: DataFrame) -> DataFrame:
+    """(src, dst, negative, sentences): directed edges split by polarity instead of relation."""
+    negative = F.col("cat").startswith("not ")
+    return rel.groupBy(F.col("a").alias("src"), F.col("b").alias("dst"), negative.alias("negative")).agg(F.countDistinct("sentence").alias("sentences"))

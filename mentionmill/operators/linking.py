@@ -293,11 +293,13 @@ def lookup_cascade(rows: DataFrame, key: Column, libraries: Sequence[tuple[str,
     for i, (route, df, _) in enumerate(libraries):
         one = df.groupBy("key").agg(F.min_by("value", "ord").alias("value")).select(F.lit(i).alias("_i"), F.lit(route).alias("via"), "key", "value")
         lib = one if lib is None else lib.unionByName(one)
-    tries = F.array(*[F.struct(F.lit(i).alias("_i"), fold(key).alias("key")) for i, (_, _, fold) in enumerate(libraries)])
-    x = rows.withColumn("_row", F.monotonically_increasing_id())
-    hit = x.select("_row", F.explode(tries).alias("t")).select("_row", "t.*").join(lib, ["_i", "key"])
-    best = hit.groupBy("_row").agg(F.min_by(F.struct("value", "via"), "_i").alias("b")).select("_row", "b.*")
-    return x.join(best, "_row", "left").drop("_row")
+    # what a key finds depends on the key only, so distinct keys are looked up and joined back by their value
+    x = rows.withColumn("_key", key)
+    once = x.select("_key").where("_key is not null").distinct()
+    tries = F.array(*[F.struct(F.lit(i).alias("_i"), fold(F.col("_key")).alias("key")) for i, (_, _, fold) in enumerate(libraries)])
+    hit = once.select("_key", F.explode(tries).alias("t")).select("_key", "t.*").join(lib, ["_i", "key"])
+    best = hit.groupBy("_key").agg(F.min_by(F.struct("value", "via"), "_i").alias("b")).select("_key", "b.*")
+    return x.join(best, "_key", "left").drop("_key")
 
 
 def bag_cosine(surfaces: DataFrame, surface: str, names: DataFrame, threshold: float = 0.99, rare: int = 2) -> DataFrame:

@@ -34,6 +34,16 @@ def test_structure(spark):
     assert (r.s.has_title, r.s.has_abstract, r.s.has_reflist, r.s.n_refs, r.s.shape, r.s.sections, r.s.n_figures, r.t, r.c) == (True, True, True, 3, "structured", ["Results"], 1, "research-article", "fulltext")
 
 
+def test_tei_titles_and_coverage(spark):
+    df = spark.createDataFrame([("a", JATS), ("b", TEI), ("c", None)], "pmid string, xml string")
+    r = df.where("pmid = 'b'").select(corpus.tei_structure(F.col("xml")).alias("s")).first().s
+    assert (r.has_title, r.has_abstract, r.n_divs, r.sections) == (False, True, 1, ["Methods"])
+    titles = {(x.doc, x.title) for x in corpus.section_titles(df, "pmid", "xml").collect()}
+    assert {("a", "Results"), ("a", "Inner"), ("b", "Materials and Methods")} <= titles and ("b", "Table 1") not in titles
+    c = {x.part: (x.articles, x.share) for x in corpus.coverage(df.where("xml is not null").select(corpus.structure(F.col("xml")).alias("s"))).collect()}
+    assert c["all"] == (2, 1.0) and c["shape: structured"] == (1, 0.5) and c["section: Results"] == (1, 0.5) and c["main sections: 1"] == (1, 0.5)
+
+
 @pytest.mark.parametrize("p", [0.0, 0.3, 0.9, 1.0])
 def test_percentile_by_index(spark, p):
     values = [5.0, 1.0, 1.0, 9.5, 3.25, 3.25, 3.25, 1e9, -2.0, 0.1]
@@ -167,6 +177,9 @@ def test_targets(spark):
     g = targets.by_gene(targets.drug_targets(chem, known), spark.createDataFrame([("EGFR",)], "gene string")).collect()
     assert [(r.gene, r.chemicals, r.in_corpus, r.tier) for r in g] == [("EGFR", ["C1"], True, "approved anti-neoplastic")]
     assert [r.gene for r in targets.uncovered_drugs(known, chem).collect()] == ["TP53"]
+    nodes_ = spark.createDataFrame([("EGFR", "gene"), ("EGFR", "disease")], "id string, kind string")
+    view = targets.by_gene(targets.drug_targets(chem, known), spark.createDataFrame([("EGFR",)], "gene string"))
+    assert {(r.kind, r.n_chemicals, r.tier) for r in graph.with_targets(nodes_, view).collect()} == {("gene", 1, "approved anti-neoplastic"), ("disease", 0, "other")}
 
 
 def test_calibrators(spark):

@@ -90,21 +90,27 @@ GENES = [
 ]
 
 
-@pytest.mark.parametrize(
-    ("surface", "ids", "mode"),
-    [
+GENE_CASES = [
         ("AKT1", "HGNC:1", "case-sensitive"), ("akt1", "HGNC:1", "case-insensitive"), ("PD L1", "HGNC:3", "hyphen vs white space"), ("Matrix metallopeptidase-9", "HGNC:2", "hyphen vs white space"), ("p-AKT1", "HGNC:1", "phospho stripped"),
         ("anti-PD-L1 antibody", "HGNC:3", "anti- stripped"), ("p53 protein", "HGNC:4", "protein stripped"), ("TP53 mRNA", "HGNC:4", "transcript/mRNA stripped"), ("mutant p53", "HGNC:4", "variant/mutant stripped"), ("TP53R248L", "HGNC:4", "missense stripped"),
         ("TP53 R248L", "HGNC:4", "missense stripped"), ("PARPi", "HGNC:11", "inhibitor-i stripped"), ("miR-21-5p", "HGNC:5", "miR mature→gene"), ("miR-124", "HGNC:6|HGNC:7", "miR mature→gene"), ("TP53 promoter", "HGNC:4", "promoter stripped"), ("MMP-9", "HGNC:2", "hyphen-removed"),
         ("pAKT1", "HGNC:1", "p-prefix stripped"), ("WT TP53", "HGNC:4", "WT stripped"), ("nuclear AKT1", "HGNC:1", "nuclear stripped"), ("AKT1 target genes", "HGNC:1", "regulatory target-set (not the gene)"), ("NF-kB", "HGNC:10", "greek-letter spelled out"),
         ("NF-κB", "HGNC:10", "greek letters spelled out"), ("PDL1", "HGNC:3", "separator-removed"), ("SHARED", "HGNC:8|HGNC:9", "case-sensitive"), ("nothing", "", None),
-    ],
-)
-def test_gene_cascade(spark, surface, ids, mode):
-    hgnc = spark.createDataFrame([(*g, None, None) for g in GENES], "hgnc_id string, symbol string, alias_symbol array<string>, prev_symbol array<string>, name array<string>, alias_name array<string>, prev_name array<string>")
-    r = linking.link_genes(spark.createDataFrame([(surface,)], "surface string"), "surface", hgnc).first()
-    assert ("|".join(r.ids or []), r.match_mode) == (ids, mode)
-    assert r.status == ("unmatched" if not ids else "ambiguous" if "|" in ids else "matched")
+]
+
+
+def _linked(spark, link, genes, cases):
+    """What all surfaces of the cases give, from one query."""
+    hgnc = spark.createDataFrame([(*g, None, None) for g in genes], "hgnc_id string, symbol string, alias_symbol array<string>, prev_symbol array<string>, name array<string>, alias_name array<string>, prev_name array<string>")
+    got = link(spark.createDataFrame([(c[0],) for c in cases] + [(None,)], "surface string"), "surface", hgnc).collect()
+    for r in got:
+        n = len(r.ids or [])
+        assert r.status == ("unmatched" if not n else "ambiguous" if n > 1 else "matched")
+    return {(r.surface, "|".join(r.ids or []), r.match_mode) for r in got}
+
+
+def test_gene_cascade(spark):
+    assert _linked(spark, linking.link_genes, GENES, GENE_CASES) == {*GENE_CASES, (None, "", None)}
 
 
 GREEK = [
@@ -113,15 +119,12 @@ GREEK = [
 ]
 
 
-@pytest.mark.parametrize(
-    ("surface", "ids", "mode"),
-    [
+GREEK_CASES = [
         ("tau", "HGNC:7", "key case-insensitive"), ("HIF-1α", "HGNC:1", "case-sensitive"), ("HIF1α", "HGNC:1", "greek-letter split"), ("IL-1β", "HGNC:5", "letter-number split"), ("Il-1β", "HGNC:5", "letter-number split (ci)"), ("shHIF-1α", "HGNC:1", "prefix-stripped"), ("IFN-γ", "HGNC:2", "IFN expansion"),
         ("αPD-1", "HGNC:4", "alpha-stripped"), ("phospho-tau", "HGNC:7", "phospho-stripped"), ("p-tau", "HGNC:7", "p- stripped"), ("γH2AX", "HGNC:3", "leading-greek strip"), ("HIF-1-α", "HGNC:1", "separator-deletion"), ("nuclear β-catenin", "HGNC:8", "qualifier-stripped"), ("GSK3β S9A", "HGNC:6", "residue-stripped"),
         ("αcat", "", None), ("ω-nothing", "", None),
-    ],
-)
-def test_greek_cascade(spark, surface, ids, mode):
-    hgnc = spark.createDataFrame([(*g, None, None) for g in GREEK], "hgnc_id string, symbol string, alias_symbol array<string>, prev_symbol array<string>, name array<string>, alias_name array<string>, prev_name array<string>")
-    r = linking.link_greek_genes(spark.createDataFrame([(surface,)], "surface string"), "surface", hgnc).first()
-    assert ("|".join(r.ids or []), r.match_mode) == (ids, mode)
+]
+
+
+def test_greek_cascade(spark):
+    assert _linked(spark, linking.link_greek_genes, GREEK, GREEK_CASES) == {*GREEK_CASES, (None, "", None)}

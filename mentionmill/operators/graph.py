@@ -16,6 +16,9 @@ CATEGORIES = {
 #: Genes that are only ever laboratory controls, and disease names too general for a node.
 CONTROL_SYMBOLS = ("MKI67",)
 GENERIC_DISEASES = ("neoplasm", "cancer", "os")
+#: Surfaces whose linked label is wrong for a corpus, and labels that name one disease.
+DISEASE_SURFACES = {"lcc": "lung large cell carcinoma"}
+DISEASE_MERGES = {"lung carcinoma": "lung cancer", "lung neoplasm": "lung cancer", "breast carcinoma": "breast cancer"}
 
 
 def pair_key(pair_id: Column, pmid: Column, sentence: Column, a: Column, b: Column) -> Column:
@@ -35,6 +38,8 @@ def merged_verdicts(scored: DataFrame, typed: str, gate: str, policy: str = "uni
     x = scored.select(key.alias("key"), "ord", F.col("predicate.model").alias("model"), F.coalesce(F.nanvl("score", F.lit(0.0)), F.lit(0.0)).alias("score"))
     per = x.groupBy("key", "model").agg(F.max(F.struct("score", (-F.col("ord")).alias("m"))).alias("b"), F.min("ord").alias("first"))
     per = per.select("key", "model", "b.score", (-F.col("b.m")).alias("ord"), "first")
+    if policy not in ("union", "gate", "typed"):
+        raise ValueError(f"no such policy: {policy}")
     if policy == "typed":
         per = per.where(F.col("model") == typed)
     rank = F.when(F.col("model") == typed, 0).when(F.col("model") == gate, 1).otherwise(2)
@@ -73,16 +78,33 @@ def control_free(subject: Column, obj: Column) -> Column:
     return no & ~yes & ~marked
 
 
-def node(end: Column, generic: tuple[str, ...] = GENERIC_DISEASES, flagged: DataFrame | None = None) -> Column:
-    """(kind, id) of an end of a triple, or null if it cannot be a node: no single id, a control, or too general."""
+def _looked_up(table: dict[str, str], key: Column) -> Column:
+    return F.try_element_at(F.create_map(*[F.lit(v) for kv in table.items() for v in kv]), key)
+
+
+def node(end: Column, generic: tuple[str, ...] = GENERIC_DISEASES) -> Column:
+    """(kind, id) of an end of a triple, or null if it cannot be a node: no single id, a control, or too general.
+
+    A disease surface may override its label, and labels of one disease are one node.
+    """
     gene, other = T.single(end["symbols"]), T.single(end["labels"])
     gene = F.when(~gene.isin(*CONTROL_SYMBOLS) & ~F.coalesce(end["control"] == "yes", F.lit(False)), gene)
     text = F.lower(F.trim(end["text"]))
-    disease = F.when(~F.lower(other).isin(*generic) & ~text.isin(*generic), other)
+    label = F.coalesce(_looked_up(DISEASE_SURFACES, text), other)
+    disease = F.when(~F.lower(label).isin(*generic) & ~text.isin(*generic), F.coalesce(_looked_up(DISEASE_MERGES, F.lower(label)), label))
     of = lambda kind, v: F.when(v.isNotNull(), F.struct(F.lit(kind).alias("kind"), v.alias("id")))
     return F.when(end["type"] == "GENETIC", of("gene", gene)).when(end["type"] == "DISEASE", of("disease", disease)).when(end["type"] == "CHEMICAL", of("chemical", other))
 
 
+def without_flagged(triples: DataFrame, flagged: DataFrame) -> DataFrame:
+    """Triples of which no end's surface is flagged. ``flagged`` has (type, surface); surfaces compare trimmed, in lower case."""
+    key = lambda kind, text: F.concat_ws("\u0001", kind, F.lower(F.trim(text)))
+    f = flagged.select(key(F.col("type"), F.col("surface")).alias("_f")).distinct()
+    for end in ("subject", "object"):
+        triples = triples.join(f, key(F.col(f"{end}.type"), F.col(f"{end}.text")) == F.col("_f"), "left_anti")
+    return triples
+
+
 def drop_reason(end: Column) -> Column:
     """Why an end is no node, or null if it is one."""
     n = node(end)
@@ -94,16 +116,16 @@ def drop_reason(end: Column) -> Column:
 def relations(triples: DataFrame, min_score: float, genes_only: bool) -> DataFrame:
     """Qualifying relations between two different nodes: a, a_kind, b, b_kind (as stated), cat, sc, sentence, pmid, spec, role, ord."""
     sc = F.coalesce(F.nanvl("score", F.lit(None).cast("double")), F.lit(-1.0))
-    x = triples.where(sc >= min_score).withColumn("_a", node(F.col("subject"))).withColumn("_b", node(F.col("object"))).where("_a is not null and _b is not null")
-    x = x.where((F.col("_a.id") != F.col("_b.id")) | (F.col("_a.kind") != F.col("_b.kind")))
-    any_gene = (F.col("_a.kind") == "gene") | (F.col("_b.kind") == "gene")
-    if genes_only:
-        x = x.where((F.col("_a.kind") == "gene") & (F.col("_b.kind") == "gene"))
-    x = x.where(~any_gene | control_free(F.col("subject"), F.col("object")))
-    return x.select(
-        F.col("_a.id").alias("a"), F.col("_a.kind").alias("a_kind"), F.col("_b.id").alias("b"), F.col("_b.kind").alias("b_kind"), category(F.col("predicate.text"), F.col("polarity")).alias("cat"), F.col("score").alias("sc"),
+    x = triples.where(sc >= min_score).select(
+        node(F.col("subject")).alias("_a"), node(F.col("object")).alias("_b"), control_free(F.col("subject"), F.col("object")).alias("_free"), category(F.col("predicate.text"), F.col("polarity")).alias("cat"), F.col("score").alias("sc"),
         "sentence", T.accession(F.col("pmid")).alias("pmid"), (F.coalesce("modality", F.lit("")) == "speculated").alias("spec"), F.col("predicate.model").alias("role"), "ord",
     )
+    a, b = F.col("_a"), F.col("_b")
+    gene = lambda n: n["kind"] == "gene"
+    ok = a.isNotNull() & b.isNotNull() & ((a["id"] != b["id"]) | (a["kind"] != b["kind"])) & (gene(a) & gene(b) if genes_only else F.lit(True)) & ((~gene(a) & ~gene(b)) | F.col("_free"))
+    # an explode keeps the rows: a filter would be pushed below the projection and work out the nodes again
+    x = x.withColumn("_kept", F.explode(F.when(ok, F.array(F.lit(True)))))
+    return x.select(F.col("_a.id").alias("a"), F.col("_a.kind").alias("a_kind"), F.col("_b.id").alias("b"), F.col("_b.kind").alias("b_kind"), "cat", "sc", "sentence", "pmid", "spec", "role", "ord")
 
 
 def edge_sentences(rel: DataFrame) -> DataFrame:
@@ -117,12 +139,16 @@ def edge_sentences(rel: DataFrame) -> DataFrame:
 def edges(rel: DataFrame) -> DataFrame:
     """One edge per unordered pair: src, dst, cat of the best-supported direction and relation, sentences, roles.
 
-    Support is the number of distinct sentences of (from, to, category); ties go to the larger names and category.
+    Support is the number of distinct sentences of (from, to, category); ties go to the larger names and category. One pass over
+    the relations: statements are gathered per sentence, counted per direction and category, then per pair, each step smaller.
     """
-    stated = rel.select("a", "b", "cat", "sentence").distinct().groupBy("a", "b", "cat").agg(F.count("*").alias("n"))
-    best = stated.groupBy(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).agg(F.max(F.struct("n", "a", "b", "cat")).alias("t"))
-    per = rel.groupBy(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).agg(F.countDistinct("sentence").alias("sentences"), F.array_sort(F.collect_set("role")).alias("roles"), F.max("sc").alias("best"))
-    return best.join(per, ["lo", "hi"]).select(F.col("t.a").alias("src"), F.col("t.b").alias("dst"), "t.cat", F.col("t.n").alias("support"), "sentences", "roles", "best", F.col("t.cat").startswith("not ").alias("negative"))
+    lo, hi = F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")
+    one = rel.groupBy(lo, hi, "sentence").agg(F.collect_set(F.struct("a", "b", "cat")).alias("said"), F.max("sc").alias("best"), F.collect_set("role").alias("roles"))
+    said = one.select("lo", "hi", "best", "roles", F.posexplode("said").alias("i", "s")).select("lo", "hi", "best", "roles", "i", "s.*")
+    merged = F.array_distinct(F.flatten(F.collect_set("roles"))).alias("roles")
+    stated = said.groupBy("lo", "hi", "a", "b", "cat").agg(F.count("*").alias("n"), F.count_if(F.col("i") == 0).alias("first"), F.max("best").alias("best"), merged)
+    pair = stated.groupBy("lo", "hi").agg(F.max(F.struct("n", "a", "b", "cat")).alias("t"), F.sum("first").alias("sentences"), F.max("best").alias("best"), merged)
+    return pair.select(F.col("t.a").alias("src"), F.col("t.b").alias("dst"), "t.cat", F.col("t.n").alias("support"), "sentences", F.array_sort("roles").alias("roles"), "best", F.col("t.cat").startswith("not ").alias("negative"))
 
 
 def nodes(rel: DataFrame, strong: float = 0.99) -> DataFrame:

@@ -199,3 +199,14 @@ def test_graph_chain_and_neighbourhood(spark):
     assert graph.min_cluster(p, 3).count() == 60 and graph.min_degree(p, 2).count() == 58
     assert graph.components(p.limit(0)).count() == 0
     assert spark.range(1).select(graph.text_matches(F.lit("A (b"), "/(b/").alias("x"), graph.text_matches(F.lit("abc"), "/A.C/").alias("y"), graph.text_matches(F.lit("abc"), "BC").alias("z")).first() == (False, True, True)
+
+
+def test_nodes_of_odd_ends(spark):
+    end = "struct<text: string, type: string, score: double, symbols: array<string>, control: string, labels: array<string>>"
+    ends = [("LCC", "DISEASE", 1.0, None, None, ["x"]), ("tumour", "DISEASE", 1.0, None, None, ["lung neoplasm"]), ("OS", "DISEASE", 1.0, None, None, ["y"]), ("a", "GENETIC", 1.0, ["A", "B"], "no", None), ("a", "GENETIC", 1.0, ["MKI67"], "no", None), ("a", "GENETIC", 1.0, ["A"], "yes", None), ("c", "CHEMICAL", 1.0, None, None, [" c "])]
+    df = spark.createDataFrame([(i, e) for i, e in enumerate(ends)], f"i int, e {end}")
+    got = [tuple(r.n) if r.n else None for r in df.select("i", graph.node(F.col("e")).alias("n")).orderBy("i").collect()]
+    assert got == [("disease", "lung large cell carcinoma"), ("disease", "lung cancer"), None, None, None, None, ("chemical", "c")]
+    t = df.select("i", F.col("e").alias("subject"), F.col("e").alias("object"))
+    flagged = spark.createDataFrame([("DISEASE", "lcc"), ("CHEMICAL", "a")], "type string, surface string")
+    assert graph.without_flagged(t, flagged).count() == 6

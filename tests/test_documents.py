@@ -210,3 +210,16 @@ def test_nodes_of_odd_ends(spark):
     t = df.select("i", F.col("e").alias("subject"), F.col("e").alias("object"))
     flagged = spark.createDataFrame([("DISEASE", "lcc"), ("CHEMICAL", "a")], "type string, surface string")
     assert graph.without_flagged(t, flagged).count() == 6
+
+
+def test_staged_tables_are_released(spark):
+    import os
+
+    from mentionmill import staging
+
+    df = staging.staged(spark.range(5), "t")
+    assert df.count() == 5
+    path = staging._written[spark.sparkContext.applicationId][-1].removeprefix("file://")
+    assert os.path.isdir(path)
+    staging.release(spark)
+    assert not os.path.isdir(path)

@@ -102,8 +102,8 @@ def cue_tags(spark: SparkSession, d: str) -> DataFrame:
 
 
 def sentence_split(spark: SparkSession, d: str) -> DataFrame:
-    """English documents through the simple splitter."""
-    x = table(spark, d, "documents").where("lang = 'en'").select("doc_id", F.posexplode(S.split(F.col("text"))).alias("place", "sentence"))
+    """Documents through the simple splitter, which is made for English but takes any text."""
+    x = table(spark, d, "documents").select("doc_id", F.posexplode(S.split(F.col("text"))).alias("place", "sentence"))
     return x.select("doc_id", "place", F.md5("sentence").alias("digest"), F.length("sentence").alias("n_chars"))
 
 
@@ -190,7 +190,11 @@ per as (select * from (select *, row_number() over (partition by key, model orde
 judged as (select a.key, a.label as gold, b.label as pred, b.score as p from per a join per b on a.key = b.key and a.model = '{TYPED}' and b.model = '{GATE}' where b.score between 0 and 1),
 agreed as (select p, gold <> 'no_relation' as hit, gold <> 'no_relation' and pred <> 'no_relation' as right_ from judged)
 """
-_SPLIT = f"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(trim(regexp_replace(text, '{_SPACE}', ' ', 'g')), '([0-9])\\.([0-9])', '\\1\x02\\2', 'g'), '([0-9])\\.([0-9])', '\\1\x02\\2', 'g'), '(?i)\\b({S.ABBREVIATIONS})\\.', '\\1\x02', 'g'), '\\b([A-Z])\\.', '\\1\x02', 'g')"""
+_START = "(^|[^\\p{L}\\p{N}_])"  # a word's start; RE2's own knows ASCII letters only
+_SPLIT = f"trim(regexp_replace(text, '{_SPACE}', ' ', 'g'))"
+for _p, _r, _n in (("([0-9])\\.([0-9])", "\\1\x02\\2", 2), (f"(?i){_START}({S.ABBREVIATIONS})\\.", "\\1\\2\x02", 2), (f"{_START}([A-Z])\\.", "\\1\\2\x02", 2)):
+    for _ in range(_n):  # twice, as one match may take the start of the next
+        _SPLIT = f"regexp_replace({_SPLIT}, '{_p}', '{_r}', 'g')"
 _MEANS = "select label, i, avg(v::double) as m from (select label, unnest(embedding) as v, generate_subscripts(embedding, 1) as i from embeddings where label in (0, 1)) group by label, i"
 
 SQL = {
@@ -220,7 +224,7 @@ select pmid, sent_ord, md5(text) as digest, coalesce(length(s) >= 25 and len(lis
   coalesce(regexp_matches(text, '(?i){_q(S.REFERENCE)}') or regexp_matches(text, '(?i){_q(S.PRIOR_WORK)}'), false) as is_prior from (select *, {_TRIMMED} as s from sentences)""",
     "cue_tags": "select * from (select pmid, sent_ord, md5(text) as digest, concat_ws('|', " + ", ".join(f"case when regexp_matches(text, '(?i){_q(p)}') then '{n}' end" for n, p in S.CUES.items()) + ") as cues from sentences) where cues <> ''",
     "sentence_split": f"""
-with cut as (select doc_id, string_split(regexp_replace(regexp_replace({_SPLIT}, '([.!?]) (["“(\\[]?[A-Z0-9])', '\\1\x03\\2', 'g'), '([.!?]) (["“(\\[]?[A-Z0-9])', '\\1\x03\\2', 'g'), '\x03') as parts from documents where lang = 'en'),
+with cut as (select doc_id, string_split(regexp_replace(regexp_replace({_SPLIT}, '([.!?]) (["“(\\[]?[A-Z0-9])', '\\1\x03\\2', 'g'), '([.!?]) (["“(\\[]?[A-Z0-9])', '\\1\x03\\2', 'g'), '\x03') as parts from documents),
 kept as (select doc_id, list_filter(list_transform(parts, lambda p: trim(replace(p, '\x02', '.'))), lambda p: p <> '') as parts from cut)
 select doc_id, place - 1 as place, md5(sentence) as digest, length(sentence) as n_chars from (select doc_id, unnest(parts) as sentence, generate_subscripts(parts, 1) as place from kept)""",
     "centroid_margin": f"""

@@ -92,9 +92,9 @@ def _strong(spark, d, score):
 
 
 def k_hop(spark: SparkSession, d: str) -> DataFrame:
-    """Nodes within two steps of the genes whose name begins with the smallest letter pair in the graph."""
+    """Nodes within two steps of the node with the most neighbours."""
     p = _strong(spark, d, 0.9)
-    seeds = G.undirected(p).where(F.col("u").startswith("BR")).select(F.col("u").alias("id"))
+    seeds = G.undirected(p).groupBy(F.col("u").alias("id")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "id").limit(1)
     return G.neighbourhood(p, seeds, 2)
 
 
@@ -220,7 +220,7 @@ select coalesce(case when {_node_sql('e')} is not null then null when (case e.ty
     "edge_sentences": f"with {_rel()} select lo, hi, md5(sentence) as digest, sc, pmid, cat, spec, role from es",
     "view_edges": f"with {_rel()} select lo, hi, count(distinct sentence) as sentences, count(distinct pmid) as papers from dated where sc >= 0.6 and year between 2012 and 2024 and regexp_matches(sentence, '(?i)(increas|reduc|inhibit)') and cat not like 'not %' group by all",
     "node_sizes": f"with {_rel()} select id, count(distinct sentence) as sentences from (select unnest([lo, hi]) as id, sentence from dated where sc >= 0.6 and year between 2012 and 2024) group by id",
-    "k_hop": f"""with {_pairs_sql(0.9)}, h0 as (select distinct u as id, 0 as hop from both_ways where u like 'BR%'),
+    "k_hop": f"""with {_pairs_sql(0.9)}, h0 as (select u as id, 0 as hop from both_ways group by u order by count(*) desc, u limit 1),
 h1 as (select id, min(hop) as hop from (select * from h0 union all select v, 1 from both_ways join h0 on id = u) group by id), h2 as (select id, min(hop) as hop from (select * from h1 union all select v, 2 from both_ways join h1 on id = u where hop = 1) group by id) select * from h2""",
     "components": f"{_COMPONENTS} select id, component from comp",
     "min_degree_pairs": f"with {_pairs_sql(0.9)}, ok as (select u from both_ways group by u having count(*) >= 3) select lo, hi from p where lo in (select u from ok) and hi in (select u from ok)",

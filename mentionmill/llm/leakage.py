@@ -198,25 +198,51 @@ def _blocks(items: list, size: int) -> list[list]:
     return out
 
 
+def _found(a: dict, number, of: _Letters, full: bytes, text: str) -> Iterator[tuple[int, int, int, int]]:
+    """(item, units, start, end) of every shared run of a text."""
+    ids, starts, ends = words(text, number)
+    if full in bytes([k >= 0 for k in ids]):
+        for k, spans in a["words"].runs(ids).items():
+            yield from ((a["word_ids"][k], q - p, starts[p], ends[q - 1]) for p, q in spans)
+    if len(_HAN.findall(text)) >= a["least"]:
+        flat, at = letters(text, of)
+        for k, spans in a["letters"].runs(flat).items():
+            yield from ((a["letter_ids"][k], q - p, at[p], at[q - 1] + 1) for p, q in spans)
+
+
 def _scan(shared):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a = shared.value
-        number, of = _Words(a["known"]).__getitem__, _Letters()
-        full = b"\1" * a["words"].minimum
+        number, of, full = _Words(a["known"]).__getitem__, _Letters(), b"\1" * a["words"].minimum
+        for b in batches:
+            rows = [(doc, *r) for doc, text in zip(b["doc"], b["text"], strict=True) if text for r in _found(a, number, of, full, text)]
+            yield pd.DataFrame(rows, columns=["doc", "item", "units", "start_pos", "end_pos"])
+
+    return run
+
+
+def cut(text: str, spans: set[tuple[int, int]], max_share: float) -> tuple[int, int, str | None, bool]:
+    """(spans, removed, clean, dropped): a text without its spans; overlapping ones count once."""
+    out, at, gone = [], 0, 0
+    for start, end in sorted(spans):
+        start, end = max(start, at), max(end, at)
+        out.append(text[at:start])
+        gone += end - start
+        at = end
+    drop = gone > len(text) * max_share
+    return len(spans), gone, None if drop else "".join(out) + text[at:], drop
+
+
+def _scrub(shared, max_share: float):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        a = shared.value
+        number, of, full = _Words(a["known"]).__getitem__, _Letters(), b"\1" * a["words"].minimum
         for b in batches:
             rows = []
             for doc, text in zip(b["doc"], b["text"], strict=True):
-                if not text:
-                    continue
-                ids, starts, ends = words(text, number)
-                if full in bytes([k >= 0 for k in ids]):
-                    for k, spans in a["words"].runs(ids).items():
-                        rows += [(doc, a["word_ids"][k], q - p, starts[p], ends[q - 1]) for p, q in spans]
-                if len(_HAN.findall(text)) >= a["least"]:
-                    flat, at = letters(text, of)
-                    for k, spans in a["letters"].runs(flat).items():
-                        rows += [(doc, a["letter_ids"][k], q - p, at[p], at[q - 1] + 1) for p, q in spans]
-            yield pd.DataFrame(rows, columns=["doc", "item", "units", "start_pos", "end_pos"])
+                if text and (spans := {r[2:] for r in _found(a, number, of, full, text)}):
+                    rows.append((doc, *cut(text, spans, max_share)))
+            yield pd.DataFrame(rows, columns=["doc", "runs", "removed", "clean", "dropped"])
 
     return run
 
@@ -229,40 +255,49 @@ def shared_runs(docs: DataFrame, doc: str, text: str, items: DataFrame, item: st
     """
     spark = docs.sparkSession
     ship(spark)
-    rows = items.select(F.col(item).cast("bigint"), F.lower(F.coalesce(F.col(lang), F.lit(""))), F.col(item_text)).where(F.col(item_text).isNotNull())
     kind = docs.schema[doc].dataType.simpleString()
     read = docs.select(F.col(doc).alias("doc"), F.col(text).alias("text")).where("text is not null")
     out = None
-    for block in _blocks([tuple(r) for r in rows.toLocalIterator()], MAX_UNITS):
+    for block in _read_blocks(items, item, lang, item_text):
         shared = spark.sparkContext.broadcast(build(block, min_words, min_letters))
         x = read.mapInPandas(_scan(shared), f"doc {kind}, item bigint, units int, start_pos int, end_pos int")
         out = x if out is None else out.unionByName(x)
     return out.withColumnsRenamed({"doc": doc, "item": item})
 
 
+def _read_blocks(items: DataFrame, item: str, lang: str, text: str) -> list[list]:
+    """The items, which are few, in blocks of at most MAX_UNITS characters."""
+    rows = items.select(F.col(item).cast("bigint"), F.lower(F.coalesce(F.col(lang), F.lit(""))), F.col(text)).where(F.col(text).isNotNull())
+    return _blocks([tuple(r) for r in rows.toLocalIterator()], MAX_UNITS)
+
+
 def leaks(*args, **kwargs) -> DataFrame:
     """(doc, item), each once."""
     x = shared_runs(*args, **kwargs)
     return x.select(x.columns[:2]).distinct()
 
 
-def scrubbed(docs: DataFrame, doc: str, text: str, runs: DataFrame, max_share: float = 0.5) -> DataFrame:
+def scrubbed(docs: DataFrame, doc: str, text: str, items: DataFrame, item: str, lang: str, item_text: str, max_share: float = 0.5, min_words: int = MIN_WORDS, min_letters: int = MIN_LETTERS) -> DataFrame:
     """(doc, runs, removed, clean, dropped): documents with leaks, their leaked spans taken out.
 
     ``removed`` counts code points; overlapping spans count once. A document of which more than ``max_share`` leaked is dropped:
-    its clean text is null.
+    its clean text is null. Cutting is part of the one pass over the documents; only items beyond one block need a join.
     """
-    spans = runs.groupBy(doc).agg(F.array_sort(F.collect_set(F.struct("start_pos", "end_pos"))).alias("spans"))
-    x = docs.select(doc, F.col(text).alias("_t")).join(spans, doc)
-    keep = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"), F.lit(0).alias("gone"))
-
-    def cut(acc, s):
-        start = F.greatest(s.start_pos, acc.at)
-        end = F.greatest(s.end_pos, acc.at)
-        piece = F.col("_t").substr(acc.at + 1, F.greatest(start - acc.at, F.lit(0)))
-        return F.struct(F.concat(acc.out, piece).alias("out"), end.alias("at"), (acc.gone + end - start).alias("gone"))
-
-    x = x.withColumn("a", F.aggregate("spans", keep, cut))
-    clean = F.concat(F.col("a.out"), F.col("_t").substr(F.col("a.at") + 1, F.length("_t")))
-    drop = F.col("a.gone") > F.length("_t") * max_share
-    return x.select(doc, F.size("spans").alias("runs"), F.col("a.gone").alias("removed"), F.when(~drop, clean).alias("clean"), drop.alias("dropped"))
+    spark = docs.sparkSession
+    ship(spark)
+    kind = docs.schema[doc].dataType.simpleString()
+    read = docs.select(F.col(doc).alias("doc"), F.col(text).alias("text")).where("text is not null")
+    schema = f"doc {kind}, runs int, removed int, clean string, dropped boolean"
+    blocks = _read_blocks(items, item, lang, item_text)
+    if len(blocks) == 1:
+        shared = spark.sparkContext.broadcast(build(blocks[0], min_words, min_letters))
+        return read.mapInPandas(_scrub(shared, max_share), schema).withColumnRenamed("doc", doc)
+    runs = shared_runs(docs, doc, text, items, item, lang, item_text, min_words, min_letters)
+    spans = runs.groupBy(F.col(doc).alias("doc")).agg(F.collect_set(F.struct("start_pos", "end_pos")).alias("spans"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(d, *cut(t, {(x["start_pos"], x["end_pos"]) for x in s}, max_share)) for d, t, s in zip(b["doc"], b["text"], b["spans"], strict=True)]
+            yield pd.DataFrame(rows, columns=["doc", "runs", "removed", "clean", "dropped"])
+
+    return read.join(spans, "doc").mapInPandas(run, schema).withColumnRenamed("doc", doc)

@@ -83,17 +83,17 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return confusables.looks_like(surfaces.unionByName(ends), names).select("field", "row_key", "plain").distinct()
 
 
-def _runs(spark: SparkSession, d: str) -> DataFrame:
-    return leakage.shared_runs(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "lang", "text")
+def _leaking(spark: SparkSession, d: str, f) -> DataFrame:
+    return f(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "lang", "text")
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    return _runs(spark, d).select("doc_id", "item_id").distinct()
+    return _leaking(spark, d, leakage.leaks)
 
 
 def p7_scrubbed(spark: SparkSession, d: str) -> DataFrame:
     """Documents with leaks after their leaked spans were taken out."""
-    return leakage.scrubbed(table(spark, d, "documents"), "doc_id", "text", _runs(spark, d))
+    return _leaking(spark, d, leakage.scrubbed)
 
 
 def p8_mix(spark: SparkSession, d: str) -> DataFrame:

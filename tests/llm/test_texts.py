@@ -130,12 +130,15 @@ def test_leaks_equal_ngram_brute_force(spark, sf):
     assert got == want and got
 
 
-def test_scrubbed(spark):
-    d = spark.createDataFrame([(1, "keep this. " + ITEM + " and this, which is a good deal longer than what goes, so that it stays, indeed it does"), (2, ITEM), (3, "clean")], "doc_id long, text string")
-    runs = L.shared_runs(d, "doc_id", "text", spark.createDataFrame([(1, "en", ITEM), (2, "en", ITEM)], "item_id long, lang string, text string"), "item_id", "lang", "text")
-    got = {r.doc_id: (r.removed, r.clean, r.dropped) for r in L.scrubbed(d, "doc_id", "text", runs).collect()}
-    assert got[2] == (len(ITEM), None, True) and 3 not in got
+@pytest.mark.parametrize("block", [60, 500_000])
+def test_scrubbed(spark, monkeypatch, block):
+    monkeypatch.setattr(L, "MAX_UNITS", block)
+    d = spark.createDataFrame([(1, "keep this. " + ITEM + " and this, which is a good deal longer than what goes, so that it stays, indeed it does", 1), (2, ITEM, 1), (3, "clean", 1), (4, None, 1), (5, ZH[:30] + "。" + "水" * 100, 1)], "doc_id long, text string, runs int")
+    items = spark.createDataFrame([(1, "en", ITEM), (2, "en", ITEM), (3, "zh", ZH)], "item_id long, lang string, text string")
+    got = {r.doc_id: (r.removed, r.clean, r.dropped) for r in L.scrubbed(d, "doc_id", "text", items, "item_id", "lang", "text").collect()}
+    assert set(got) == {1, 2, 5} and got[2] == (len(ITEM), None, True)
     assert got[1][0] == len(ITEM) and got[1][1].startswith("keep this.  and this") and not got[1][2]
+    assert got[5] == (30, "。" + "水" * 100, False)
 
 
 CASES = [

@@ -17,7 +17,7 @@ import re
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import islice, product
+from itertools import product
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -177,6 +177,7 @@ class Names:
     def corrected(self, text: str) -> tuple | None:
         """(distance, entry) after correcting words that no name has."""
         options: list[list[tuple[float, int, str]]] = []
+        wrong = 0
         words = fold(text).split()
         if all(len(w) <= SHORT for w in words):
             return None  # a symbol or code: another letter means another thing
@@ -194,11 +195,12 @@ class Names:
                 for v in {v for x in deletes(form, edits) for v in self.near.get(x, ())}:
                     if (k := _edits(form, v)) <= edits:
                         found[v] = min(found.get(v, (9.0, 9)), (distance(form, v), k))
-            if not found:
-                return None
+            wrong += 1
+            if not found or wrong > 2:
+                return None  # every wrong word takes an edit, and two are all
             options.append(sorted((d, k, v) for v, (d, k) in found.items()))
         best = None
-        for combo in islice(product(*options), 10_000):
+        for combo in product(*options):
             d = sum(c[0] for c in combo)
             if sum(c[1] for c in combo) <= 2 and (e := self.sets.get(" ".join(sorted(c[2] for c in combo)))) and (best is None or (d, e) < best):
                 best = d, e

@@ -209,7 +209,7 @@ def _is_end(t: str, a: int, m: re.Match, b: int, closes: set[int], start: int) -
     if not gap and after == e:
         if not (here.isupper() or here in "¿¡«“„\"(" or _script(here) == "han"):
             return False
-        prev = t[s - 1] if s > a else ""
+        prev = t[s - 1] if s > a else " "
         if here in "(«“„\"":
             return low not in ABBREVIATIONS and prev.isalnum()
         if _script(here) == "han":
@@ -219,7 +219,7 @@ def _is_end(t: str, a: int, m: re.Match, b: int, closes: set[int], start: int) -
         return prev.islower() or prev.isdigit() or prev in ")]%" or (prev.isupper() and nxt + 1 < b and t[nxt + 1].islower() and any(k.isdigit() for k in before))
     if begins is False:
         return False
-    prev = t[s - 1] if s > a else ""
+    prev = t[s - 1] if s > a else " "
     if _script(prev) == "dev" and low != "":
         return low not in ABBREVIATIONS and "." not in low and len(low) > 2 and here.isascii() and here.isupper()
     dotted = low
@@ -245,8 +245,9 @@ def _is_end(t: str, a: int, m: re.Match, b: int, closes: set[int], start: int) -
             return False  # a list number
         return begins is True
     if len(before) == 1 and before.isalpha() and not _script(before):
-        w = _WORD_BEFORE.search(t, a, max(a, s - 2)).group().lower()
-        if before.islower():
+        word = _WORD_BEFORE.search(t, a, max(a, s - 2)).group()
+        w = word.lower()
+        if before.islower() or (len(word) > 2 and word.isupper() and word.isalpha()):  # in capitals, one letter is a word alike
             return begins is True and low in ONE_LETTER_WORDS and not pair and bool(w)
         return begins is True and w in LABELLED
     if _script(prev) == "arab" and len(low) == 1:

@@ -13,4 +13,39 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {"p5_found": p5_found}
-SQL: dict[str, str] = {}
+
+
+def _unpacked(x: str) -> str:
+    """A JSON value, or what a text holds if that is a JSON list or object."""
+    return f"case when json_type({x}) = 'VARCHAR' and left(ltrim({x} ->> '$'), 1) in ('[', '{{') and json_valid({x} ->> '$') then ({x} ->> '$')::json else {x} end"
+
+
+def _members(x: str) -> str:
+    """The members of an unpacked value where a list is expected."""
+    numbered = f"len(json_keys({x})) = len(list_filter(json_keys({x}), lambda k: regexp_full_match(k, '[0-9]+')))"
+    in_order = f"list_transform(list_sort(list_transform(json_keys({x}), lambda k: k::hugeint)), lambda k: json_extract({x}, '$.\"' || k || '\"'))"
+    return f"case json_type({x}) when 'ARRAY' then ({x})::json[] when 'OBJECT' then case when {numbered} then {in_order} else [{x}] end when 'NULL' then [] else case when {x} is null then [] else [{x}] end end"
+
+
+_P5 = f"""
+with d as (select record_id, payload::json as j from ner_records where payload <> '' and json_valid(payload)),
+parts as (select record_id, {_unpacked("(j -> 'sentences')")} as top, {_unpacked("(j -> 'body' -> 'sections')")} as sec from d),
+secs as (select record_id, top, list_transform({_members("sec")}, lambda s: {_unpacked("s")}) as secs from parts),
+loose as (select record_id, top, list_transform(secs, lambda s: {_unpacked("(s -> 'sentences')")}) as inner_ from secs),
+every as (select record_id, list_concat({_members("top")}, flatten(list_transform(inner_, lambda l: {_members("l")}))) as ss from loose),
+sent as (select record_id, sent_no, {_unpacked("s")} as s from (select record_id, unnest(ss) as s, generate_subscripts(ss, 1) - 1 as sent_no from every)),
+lists as (
+  select record_id, sent_no, 'entities' as kind, {_unpacked("(s -> 'entities')")} as l from sent where json_type(s) = 'OBJECT'
+  union all select record_id, sent_no, 'triples', {_unpacked("(s -> 'triples')")} from sent where json_type(s) = 'OBJECT'),
+member as (select record_id, sent_no, kind, {_members("l")} as ms from lists),
+item as (select record_id, sent_no, kind, item_no, {_unpacked("m")} as m from (select record_id, sent_no, kind, unnest(ms) as m, generate_subscripts(ms, 1) - 1 as item_no from member)),
+obj as (select * from item where json_type(m) = 'OBJECT'),
+goal as (select record_id, sent_no, item_no, {_unpacked("(m -> 'hgnc_targets')")} as l from obj where kind = 'entities'),
+goals as (select record_id, sent_no, item_no, {_members("l")} as ms from goal),
+target as (select record_id, sent_no, item_no, {_unpacked("m")} as m, sub_no from (select record_id, sent_no, item_no, unnest(ms) as m, generate_subscripts(ms, 1) - 1 as sub_no from goals))
+select record_id, 'entity' as node, sent_no, item_no, -1 as sub_no from obj where kind = 'entities'
+union all select record_id, 'target', sent_no, item_no, sub_no from target where json_type(m) = 'OBJECT'
+union all select record_id, 'subject', sent_no, item_no, -1 from obj where kind = 'triples' and json_type({_unpacked("(m -> 'subject')")}) = 'OBJECT'
+union all select record_id, 'object', sent_no, item_no, -1 from obj where kind = 'triples' and json_type({_unpacked("(m -> 'object')")}) = 'OBJECT'"""
+
+SQL: dict[str, str] = {"p5_found": _P5}

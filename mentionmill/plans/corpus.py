@@ -197,6 +197,9 @@ for _p, _r, _n in (("([0-9])\\.([0-9])", "\\1\x02\\2", 2), (f"(?i){_START}({S.AB
         _SPLIT = f"regexp_replace({_SPLIT}, '{_p}', '{_r}', 'g')"
 _MEANS = "select label, i, avg(v::double) as m from (select label, unnest(embedding) as v, generate_subscripts(embedding, 1) as i from embeddings where label in (0, 1)) group by label, i"
 
+# word boundaries in RE2 know ASCII letters only, so other letters are made some letter first
+_LETTERS = "regexp_replace(text, '[\\p{Greek}\\p{Cyrillic}À-ÖØ-öø-ɏ０-９Ａ-Ｚａ-ｚ]', 'q', 'g')"
+
 SQL = {
     "selected_articles": "select pmid, pmc_id, journal, impact_factor, year from pubs where pmc_id is not null and trim(pmc_id) <> '' and impact_factor >= (select impact_factor from (select impact_factor, row_number() over (order by impact_factor) as r, count(*) over () as n from pubs where impact_factor is not null) where r = least(n - 1, floor(0.9::double * n)) + 1)",
     "impact_percentiles": "select p, impact_factor as impact from (select impact_factor, row_number() over (order by impact_factor) as r, count(*) over () as n from pubs where impact_factor is not null) join (values (0.0::double), (0.25), (0.5), (0.75), (0.9), (0.99), (1.0)) v(p) on r = least(n - 1, floor(p * n)) + 1",
@@ -222,7 +225,7 @@ select key, min_by(shown, {'small': not regexp_matches(left(shown, 1), '\\p{Lu}'
 select pmid, sent_ord, md5(text) as digest, coalesce(length(s) >= 25 and len(list_filter(regexp_split_to_array(s, '{_SPACE}'), lambda w: w <> '')) >= 4 and {_ALPHA} >= 0.5 and len(regexp_extract_all(s, '[A-Za-z]{{2,}}')) >= 2
   and regexp_matches(s, '[.!?]["’”)\\]]*$') and regexp_matches(s, '^["“(\\[A-Z0-9]') and regexp_matches(s, '\\p{{Ll}}'), false) as is_sentence,
   coalesce(regexp_matches(text, '(?i){_q(S.REFERENCE)}') or regexp_matches(text, '(?i){_q(S.PRIOR_WORK)}'), false) as is_prior from (select *, {_TRIMMED} as s from sentences)""",
-    "cue_tags": "select * from (select pmid, sent_ord, md5(text) as digest, concat_ws('|', " + ", ".join(f"case when regexp_matches(text, '(?i){_q(p)}') then '{n}' end" for n, p in S.CUES.items()) + ") as cues from sentences) where cues <> ''",
+    "cue_tags": "select * from (select pmid, sent_ord, md5(text) as digest, concat_ws('|', " + ", ".join(f"case when regexp_matches({_LETTERS}, '(?i){_q(p)}') then '{n}' end" for n, p in S.CUES.items()) + ") as cues from sentences) where cues <> ''",
     "sentence_split": f"""
 with cut as (select doc_id, string_split(regexp_replace(regexp_replace({_SPLIT}, '([.!?]) (["“(\\[]?[A-Z0-9])', '\\1\x03\\2', 'g'), '([.!?]) (["“(\\[]?[A-Z0-9])', '\\1\x03\\2', 'g'), '\x03') as parts from documents),
 kept as (select doc_id, list_filter(list_transform(parts, lambda p: trim(replace(p, '\x02', '.'))), lambda p: p <> '') as parts from cut)

@@ -47,7 +47,8 @@ _CORE = _FOLD.format(f"trim(regexp_replace(regexp_replace(regexp_replace(trim(s)
 _in = lambda xs: ", ".join(f"'{x}'" for x in xs)
 _SCRAMBLE = r"(?i)(^|[^A-Za-z])(sh|si|sg)-?(control|ctrl|scrambled|scramble|scr|ntc|nc)($|[^A-Za-z])|^(scramble|scrambled|ntc)$|^(ntc|nc)\s*sirna$"
 _TYPED = "(select distinct e.text as surface from (select unnest([subject, \"object\"]) as e from triples) where e.type = '{0}')"
-_SF = _FOLD.format("trim(surface)")
+_BLANKS = "[\\s\\x{a0}\\x{2000}-\\x{200a}\\x{202f}\\x{205f}\\x{3000}]+"
+_SF = _FOLD.format(f"regexp_replace(surface, '^{_BLANKS}|{_BLANKS}$', '', 'g')")
 
 SQL = {
     "control_flags": f"""select s as clean_genetic_ne, case when {_FOLD.format('s')} like '%cas9%' then 'editing nuclease' when regexp_matches(s, '{_SCRAMBLE}') then 'scramble control' when regexp_matches(s, '{flags.REPORTER_KNOCKDOWN}') then 'reporter knockdown'

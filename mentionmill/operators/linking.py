@@ -302,11 +302,12 @@ def lookup_cascade(rows: DataFrame, key: Column, libraries: Sequence[tuple[str,
     return x.join(best, "_key", "left").drop("_key")
 
 
-def bag_cosine(surfaces: DataFrame, surface: str, names: DataFrame, threshold: float = 0.99, rare: int = 2) -> DataFrame:
+def bag_cosine(surfaces: DataFrame, surface: str, names: DataFrame, threshold: float = 0.99, rare: int | None = 2) -> DataFrame:
     """(surface, id, name, cosine): multi-word surfaces and names whose word counts point the same way.
 
     Only pairs that share one of the surface's ``rare`` rarest words are compared; rarity counts the names that hold a word,
-    ties go to the first word of the surface. Surfaces that equal the name in folded case are left out.
+    ties go to the first word of the surface. That loses pairs, and the more the lower the threshold. With ``rare`` None every
+    pair that reaches the threshold, above 0, is found. Surfaces that equal the name in folded case are left out.
     """
     words = lambda c: F.filter(F.split(T.casefold(c), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     s = surfaces.select(F.col(surface).alias("surface")).distinct().withColumn("w", words(F.col("surface"))).where(F.size("w") > 1)
@@ -315,11 +316,35 @@ def bag_cosine(surfaces: DataFrame, surface: str, names: DataFrame, threshold: f
     df = n_words.groupBy("word").agg(F.count("*").alias("df"))
     s_words = s.select("surface", F.posexplode("w").alias("at", "word")).groupBy("surface", "word").agg(F.min("at").alias("at"), F.count("*").alias("k"))
     ranked = s_words.join(df, "word", "left").withColumn("df", F.coalesce("df", F.lit(0)))
-    rarest = ranked.withColumn("r", F.row_number().over(Window.partitionBy("surface").orderBy("df", "at"))).where(F.col("r") <= rare)
-    cand = rarest.join(n_words.select("id", "name", "word"), "word").select("surface", "id", "name").distinct()
+    if rare is None:
+        cand = _reaching(ranked, n_words.join(df, "word"), threshold)
+    else:
+        rarest = ranked.withColumn("r", F.row_number().over(Window.partitionBy("surface").orderBy("df", "at"))).where(F.col("r") <= rare)
+        cand = rarest.join(n_words.select("id", "name", "word"), "word").select("surface", "id", "name").distinct()
     square = lambda c: F.aggregate(F.transform(F.array_distinct(c), lambda u: F.size(F.filter(c, lambda v: v == u)).cast("double")), F.lit(0.0), lambda t, k: t + k * k)
     both = cand.join(s.select("surface", F.col("w").alias("a")), "surface").join(n.select("id", "name", F.col("w").alias("b")), ["id", "name"])
     dot = F.aggregate(F.transform(F.array_intersect("a", "b"), lambda u: (F.size(F.filter("a", lambda v: v == u)) * F.size(F.filter("b", lambda v: v == u))).cast("double")), F.lit(0.0), lambda t, k: t + k)
     both = both.withColumn("cosine", dot / F.sqrt(square(F.col("a")) * square(F.col("b"))))
     keep = (F.col("cosine") >= threshold) & (T.casefold(F.col("surface")) != T.casefold(F.col("name")))
     return both.where(keep).select("surface", "id", "name", "cosine")
+
+
+def _reaching(s_words: DataFrame, n_words: DataFrame, threshold: float) -> DataFrame:
+    """(surface, id, name) of a superset of the pairs with a cosine of ``threshold`` or more; both sides have word, k and df.
+
+    Both sides order their words alike, rarest first. All common words of a pair stand at or behind its first common word, so its
+    dot product is at most the product of the lengths of the two rests from there. A word is a key only where that rest can
+    reach the threshold: in each side's own prefix, and then in the pair.
+    """
+    least = threshold * threshold * (1 - 1e-9)
+
+    def prefix(words: DataFrame, key: list[str], side: str) -> DataFrame:
+        # frames over rows: the words of a surface or name are distinct
+        behind = Window.partitionBy(*key).orderBy("df", "word").rowsBetween(0, Window.unboundedFollowing)
+        square = F.col("k") * F.col("k")
+        x = words.select(*key, "word", F.sum(square).over(behind).alias(f"rest_{side}"), F.sum(square).over(Window.partitionBy(*key)).alias(f"all_{side}"))
+        return x.where(F.col(f"rest_{side}") >= least * F.col(f"all_{side}"))
+
+    pair = prefix(s_words, ["surface"], "s").join(prefix(n_words, ["id", "name"], "n"), "word")
+    able = F.col("rest_s").cast("double") * F.col("rest_n") >= least * F.col("all_s").cast("double") * F.col("all_n")
+    return pair.where(able).select("surface", "id", "name").distinct()

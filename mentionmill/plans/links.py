@@ -53,6 +53,13 @@ def word_cosine(spark: SparkSession, d: str) -> DataFrame:
     return x.select("surface", "id", "name", F.round("cosine", 6).alias("cosine"))
 
 
+def word_cosine_all(spark: SparkSession, d: str) -> DataFrame:
+    """All surfaces and term names with a word cosine of 0.6 or more; ``word_cosine`` sees those that share a rare word."""
+    names = L.term_names(table(spark, d, "obo_term"), "MONDO:").select("id", "name")
+    x = L.bag_cosine(_surfaces(spark, d, "DISEASE"), "surface", names, 0.6, None)
+    return x.select("surface", "id", "name", F.round("cosine", 6).alias("cosine"))
+
+
 def greek_links(spark: SparkSession, d: str) -> DataFrame:
     """Gene surfaces with Greek letters through the Greek cascade."""
     return _shown(L.link_greek_genes(greek_surfaces(spark, d), "surface", table(spark, d, "hgnc")))
@@ -63,7 +70,7 @@ def greek_surfaces(spark: SparkSession, d: str) -> DataFrame:
     return _surfaces(spark, d, "GENETIC").where(T.is_greek(F.col("surface")))
 
 
-QUERIES = {f.__name__: f for f in (gene_links, disease_links, chemical_links, link_summary, link_credit, word_cosine, greek_surfaces, greek_links)}
+QUERIES = {f.__name__: f for f in (gene_links, disease_links, chemical_links, link_summary, link_credit, word_cosine, word_cosine_all, greek_surfaces, greek_links)}
 
 _FOLD = "replace(translate(lower({0}), 'ςµİ', 'σμi'), 'ß', 'ss')"
 
@@ -179,6 +186,15 @@ dots as (select c.surface, c.id, c.name, sum(sw.k * nw.k) as dot from cand c joi
 sn as (select surface, sum(k * k) as q from sw group by surface), nn as (select id, name, sum(k * k) as q from nw group by all)
 select surface, id, name, round(dot / sqrt((sn.q * nn.q)::double), 6) as cosine from dots join sn using (surface) join nn using (id, name)
 where dot / sqrt((sn.q * nn.q)::double) >= 0.6::double and {_fold('surface')} <> {_fold('name')}"""
+_COSINE_ALL = f"""
+with s as (select surface, {_WORDS.format(_fold('surface'))} as w from ({_surface_sql('DISEASE')})), s2 as (select * from s where len(w) > 1),
+n as (select id, name, {_WORDS.format(_fold('name'))} as w from (select distinct id, name from ({_terms_sql('MONDO:')}))), n2 as (select * from n where len(w) > 1),
+nw as (select id, name, word, count(*) as k from (select id, name, unnest(w) as word from n2) group by all),
+sw as (select surface, word, count(*) as k from (select surface, unnest(w) as word from s2) group by all),
+dots as (select surface, id, name, sum(sw.k * nw.k) as dot from sw join nw using (word) group by all),
+sn as (select surface, sum(k * k) as q from sw group by surface), nn as (select id, name, sum(k * k) as q from nw group by all)
+select surface, id, name, round(dot / sqrt((sn.q * nn.q)::double), 6) as cosine from dots join sn using (surface) join nn using (id, name)
+where dot / sqrt((sn.q * nn.q)::double) >= 0.6::double and {_fold('surface')} <> {_fold('name')}"""
 
 SQL = {
     "gene_links": _gene_cascade(),
@@ -187,5 +203,6 @@ SQL = {
     "link_summary": f"select status, match_mode, grouping(status, match_mode) as level, count(*) as surfaces, sum(occurrences)::bigint as occurrences from (select * from ({_DISEASES}) union all select * from ({_CHEMICALS})) group by grouping sets ((status, match_mode), (status))",
     "link_credit": f"select id, sum(occurrences)::bigint as occurrences, count(*) as surfaces from (select unnest(string_split(ids, '|')) as id, occurrences from ({_DISEASES}) where status <> 'unmatched') group by id",
     "word_cosine": _COSINE,
+    "word_cosine_all": _COSINE_ALL,
     "greek_surfaces": f"select surface, occurrences from ({_surface_sql('GENETIC')}) where regexp_matches(surface, '[Ͱ-Ͽἀ-῿]') or len(list_filter(regexp_extract_all(regexp_replace(surface, '[À-ÖØ-öø-ɏ０-９Ａ-Ｚａ-ｚ\\p{{Cyrillic}}]', 'q', 'g'), '(?i)\\b({'|'.join(T.GREEK_NAMES)})\\b'), lambda w: w <> upper(w) and (lower(w) not in ('mu', 'nu', 'xi', 'pi', 'psi', 'eta', 'phi', 'chi') or w = lower(w)))) > 0",
 }

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,3 +130,17 @@ GREEK_CASES = [
 
 def test_greek_cascade(spark):
     assert _linked(spark, linking.link_greek_genes, GREEK, GREEK_CASES) == {*GREEK_CASES, (None, "", None)}
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.6, 0.99])
+def test_every_pair_of_alike_word_bags(spark, threshold):
+    names = ["edema of the lung", "anemia of the lung", "lung of the anemia", "of of the the", "rare of lung", "the lung", "kidney stone", "stone stone kidney"]
+    surfaces = ["edema of the lung with tejulhir deposits", "newone newtwo of the lung", "lung anemia", "the of the of", "stone kidney kidney", "nothing here", "Edema of the lung"]
+    bags = {x: Counter(x.lower().split()) for x in [*names, *surfaces]}
+    cosine = lambda a, b: sum(k * b[w] for w, k in a.items()) / sum(k * k for k in a.values()) ** 0.5 / sum(k * k for k in b.values()) ** 0.5
+    want = {(s, n) for s in surfaces for n in names if cosine(bags[s], bags[n]) >= threshold and s.lower() != n}
+    s = spark.createDataFrame([(x,) for x in surfaces], "text string")
+    n = spark.createDataFrame([(x, x) for x in names], "id string, name string")
+    assert {(r.surface, r.name) for r in linking.bag_cosine(s, "text", n, threshold, None).collect()} == want
+    if threshold == 0.6:
+        assert len(linking.bag_cosine(s, "text", n, threshold).collect()) < len(want)

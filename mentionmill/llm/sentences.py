@@ -1,10 +1,12 @@
 """Sentence boundaries across languages and scripts.
 
-Scripts with blanks between words: every end mark outside quotations and brackets is a node of a terminator lattice with the two
-readings *end* and *inside*; abbreviations, numbers, initials and what follows decide. End marks inside a quotation or bracket
-only count at its close. Scripts without blanks: Han and kana have their own end marks; Thai has none, so its runs are cut into
-dictionary words by the cheapest path through the word lattice, and each gap is a boundary or not by the final particle before
-it and the opening word behind it. Line ends count as blanks, except around blank lines, headings and list items.
+Scripts with blanks between words: a cascade of rules decides every end mark outside quotations and brackets by itself, in one
+pass from left to right; abbreviations, numbers, initials and what follows decide. There is no scored lattice of end marks. End
+marks inside a quotation or bracket only count at its close. Scripts without blanks: Han and kana have their own end marks; Thai
+has none, so its gaps are classed by rules. Between Thai letters, fixed openings, final particles and the length of what follows
+decide. Next to a Latin name, number or sign, runs are cut into words of a small list by the cheapest path, and a gap is a
+boundary where a clause with a predicate stands before it and the words around the gap can end and begin one; else it is none.
+Line ends count as blanks, except around blank lines, headings and list items.
 
 Rules look at the text itself, never at a language column, so mixed documents work.
 """
@@ -51,6 +53,30 @@ THAI_WORDS = (
     "คงที่ ตลอด ช่วง เวลา ที่ ศึกษา ระดับ เฉลี่ย เท่ากับ มิลลิกรัม ซึ่ง ต่ำกว่า สูงกว่า เกณฑ์ พบ ความ แตกต่าง ระหว่าง สอง โรค ได้รับ ยา ทุก วัน ตาม แผน และ หรือ แต่ โดย เพื่อ เพราะ จึง จาก กับ เป็น คือ ถูก จะ ต้อง "
     "ควร อาจ ได้ ให้ ไป มา อยู่ แล้ว ยัง ว่า นี้ นั้น เมื่อ ถ้า หาก ด้วย ถึง วิธี นัก งาน ข้อมูล ครับ ค่ะ คะ นะ เลย ไหม อีก เท่านั้น มาก น้อย กว่า ปี เดือน คน ราย หนึ่ง สาม"
 ).split()
+#: More words, for the gaps next to Latin letters, digits and signs.
+THAI_MORE = (
+    "โปรตีน เอนไซม์ ไวรัส เชื้อ แบคทีเรีย ตัวรับ ตำแหน่ง สายพันธุ์ ชนิด ค่า เทคนิค เครื่อง อาการ เลือด เนื้อเยื่อ มะเร็ง ตับ ปอด หัวใจ หนู สัตว์ มนุษย์ เด็ก ผู้หญิง ผู้ชาย แพทย์ โรงพยาบาล ปริมาณ จำนวน อัตรา ร้อยละ ความเสี่ยง "
+    "ยับยั้ง กระตุ้น แสดง แสดงออก เกิด ช่วย ลด เพิ่ม รักษา วิเคราะห์ ใช้ ตรวจพบ สามารถ เกี่ยวข้อง สัมพันธ์ จับ สร้าง ทำงาน ตาย หาย ดีขึ้น แย่ลง สูงขึ้น ต่ำลง ตอบสนอง ควบคุม วัด ให้ผล รายงาน เริ่ม เปลี่ยนแปลง เปลี่ยน "
+    "ทั้งหมด เช่น แก่ รวมทั้ง ได้แก่ หลังจาก ก่อนหน้านี้ ตาม ภายใน สำหรับ ร่วม ร่วมกับ ปกติ ชัดเจน รุนแรง สำคัญ อย่างมี นัยสำคัญ ทางสถิติ ดี สูง ต่ำ ใหม่ เดิม ที่สุด เสมอ วันนี้ สี่ ห้า หก เจ็ด แปด เก้า สิบ"
+).split()
+#: Words that say something of a subject, unless a noun is made of them.
+THAI_PREDICATES = frozenset(
+    "ทำให้ เพิ่มขึ้น ลดลง พบ ตรวจ ตรวจพบ ได้รับ มี เป็น คือ ถูก ไม่ เท่ากับ หยุด คงที่ ต่ำกว่า สูงกว่า จะ ต้อง ควร อาจ ยับยั้ง กระตุ้น แสดง เกิด ช่วย ลด เพิ่ม รักษา วิเคราะห์ ใช้ สามารถ เกี่ยวข้อง สัมพันธ์ จับ สร้าง ทำงาน "
+    "ตาย หาย ดีขึ้น แย่ลง สูงขึ้น ต่ำลง ตอบสนอง ควบคุม วัด ให้ผล รายงาน เริ่ม เปลี่ยนแปลง เปลี่ยน สรุป ขาด ศึกษา".split()
+)
+THAI_MAKES_NOUN = frozenset("การ ความ ผู้ นัก กลุ่ม ที่ ซึ่ง".split())
+#: Words that end no clause: a name or number behind them belongs to them. Most verbs and all nouns that names label are among them.
+THAI_TAKES = THAI_MAKES_NOUN | frozenset(
+    "ยีน สาร โรค ยา เซลล์ โปรตีน เอนไซม์ ไวรัส เชื้อ แบคทีเรีย ตัวรับ ตำแหน่ง สายพันธุ์ ชนิด ค่า เทคนิค เครื่อง วิธี มะเร็ง ระดับ จำนวน ปริมาณ อัตรา ร้อยละ ป่วย ตัวอย่าง ทั้งหมด ของ ใน กับ และ หรือ แต่ โดย เพื่อ เพราะ จึง ด้วย จาก "
+    "ต่อ ระหว่าง ว่า เช่น แก่ รวมทั้ง ได้แก่ หลังจาก หลัง ก่อน ตาม ภายใน สำหรับ ร่วม ร่วมกับ ถึง เมื่อ ถ้า หาก กว่า ต่ำกว่า สูงกว่า เท่ากับ คือ เป็น มี พบ ตรวจ ตรวจพบ ใช้ ได้รับ ได้ ให้ ทำให้ ถูก จะ ต้อง ควร อาจ ไม่ ยับยั้ง กระตุ้น "
+    "แสดง ช่วย ลด เพิ่ม รักษา วิเคราะห์ สามารถ เกี่ยวข้อง สัมพันธ์ จับ สร้าง ควบคุม วัด ศึกษา ขาด ช่วง เวลา ทุก ปี เดือน วัน อีก".split()
+)
+THAI_NUMERALS = frozenset("หนึ่ง สอง สาม สี่ ห้า หก เจ็ด แปด เก้า สิบ".split())
+#: What opens a sentence behind a name or sign; what also counts or qualifies, so that it needs a predicate in its run; what opens one behind a number.
+THAI_AFTER_NAME = ("การ", "ผู้", "ผล", "ไม่พบ", "พบว่า", "จากการ", "นักวิจัย", "เรา", "อย่างไรก็ตาม", "นอกจากนี้", "ดังนั้น", "สรุป", "งานวิจัย", "ข้อมูล")
+THAI_AFTER_NAME_IF_SAID = ("ระดับ", "ความ", "กลุ่ม", "ตัวอย่าง", "สาร", "เซลล์", "ยีน", "โรค", "วิธี")
+THAI_AFTER_NUMBER = ("การ", "ผู้", "ไม่พบ", "จากการ", "นักวิจัย", "เรา", "อย่างไรก็ตาม", "นอกจากนี้", "ดังนั้น", "สรุปได้", "งานวิจัย")
+THAI_POLITE = ("ครับ", "ค่ะ", "นะคะ")
 
 OPEN, CLOSE = "([{（【〔「『《〈«“„‘‹", ")]}）】〕」』》〉»”“’›"
 _PAIR = {"(": ")", "[": "]", "{": "}", "（": "）", "【": "】", "〔": "〕", "「": "」", "『": "』", "《": "》", "〈": "〉", "«": "»", "“": "”", "„": "“”", "‹": "›"}
@@ -62,7 +88,7 @@ _BLOCK = re.compile(r"[ \t\r 　]*\n(?:[ \t\r 　]*\n)+[\s​﻿]*| ")
 _ITEM = re.compile(r"(?:\d{1,3}[.)]|[A-Za-z]\)|[ivxIVX]{1,4}\)|\(\w{1,3}\)|[-*\u2022\u2023\u25e6\u2013\u00b7])\s+(?=\S)")
 _CITED = re.compile(r"\[\d+(?:\s*[,;–-]\s*\d+)*\]")
 _HAN = re.compile(r"[぀-ヿ㐀-鿿豈-﫿\U00020000-\U0003ffff]")
-_THAI_GAP = re.compile(r"(?<=[฀-๿])[ \t \n\r]+(?=[฀-๿])|(?<=[^\s฀-๿])[ \t \n\r]+(?=[฀-๿])|(?<=[฀-๿])[ \t \n\r]+(?=[A-Za-z«“\"(])")
+_THAI_GAP = re.compile(r"(?<=[฀-๿])[ \t \n\r]+(?=[฀-๿])|(?<=[^\s฀-๿])[ \t \n\r]+(?=[฀-๿])|(?<=[฀-๿])[ \t \n\r]+(?=[^\s฀-๿])")
 _NAME = re.compile(r"[^\s,;:()\[\]\"“”«»„]+")
 _WORD_BEFORE = re.compile(r"[^\s()\[\]{}«»“”„\"'‘’,;:/（）、，；：]*$")
 HEADING_WORDS = 6
@@ -300,8 +326,9 @@ def _closes(t: str, a: int, s: int, e: int, start: int, b: int, closes: set[int]
     return after
 
 
-_TRIE: dict[str, int] = {w: 1 for w in THAI_WORDS}
-_LONGEST = max(map(len, THAI_WORDS))
+_STARTS = frozenset(THAI_WORDS)
+_TRIE: dict[str, int] = {w: 1 for w in [*THAI_WORDS, *THAI_MORE]}
+_LONGEST = max(map(len, _TRIE))
 
 
 def thai_words(x: str) -> list[str]:
@@ -324,33 +351,72 @@ def thai_words(x: str) -> list[str]:
 
 
 _THAI_RUN = re.compile(r"[฀-๿]+")
-_known: dict[str, tuple[str, str]] = {}
+_LATIN_RUN = re.compile(r"[^\s\u0e00-\u0e7f]+(?:[ \t\u00a0][^\s\u0e00-\u0e7f]+){0,3}[ \t\u00a0\n\r]*")
+_known: dict[str, tuple[str, ...]] = {}
+#: Letters before a gap that are looked at for a predicate.
+THAI_CLAUSE = 400
 
 
-def _thai_edges(run: str) -> tuple[str, str]:
+def _thai_run(run: str) -> tuple[str, ...]:
     if run not in _known:
         if len(_known) > 50_000:
             _known.clear()
-        w = thai_words(run)
-        _known[run] = (w[0], w[-1])
+        _known[run] = tuple(thai_words(run))
     return _known[run]
 
 
-def _thai_boundary(t: str, a: int, m: re.Match, b: int) -> bool:
-    """Whether the gap m in Thai text lies between two sentences."""
-    left, right = t[m.start() - 1], t[m.end()]
-    if not _script(right):
+def _predicate(words: tuple[str, ...]) -> bool:
+    return any(w in THAI_PREDICATES and (not i or words[i - 1] not in THAI_MAKES_NOUN) for i, w in enumerate(words))
+
+
+def _thai_behind_name(t: str, m: re.Match, b: int, start: int) -> bool:
+    """The gap m between a Latin name, number or sign and Thai lies between two sentences; the last one began at start."""
+    left = t[m.start() - 1]
+    if left in ",;:，；：" or left in OPEN or unicodedata.category(left) == "Pd":
         return False
     run = _THAI_RUN.match(t, m.end(), b).group()
-    first, _ = _thai_edges(run)
-    opening = run.startswith(THAI_OPENING)
-    if _script(left) != "thai":
+    if left.isdigit() and _WORD_BEFORE.search(t, max(start, m.start() - 40), m.start()).group().replace(".", "").isdigit():
+        opens = run.startswith(THAI_AFTER_NUMBER)
+    else:
+        opens = run.startswith(THAI_AFTER_NAME) or (run.startswith(THAI_AFTER_NAME_IF_SAID) and _predicate(_thai_run(run)))
+    if not opens:
         return False
+    clause = [_thai_run(x) for x in _THAI_RUN.findall(t, max(start, m.start() - THAI_CLAUSE), m.start())]
+    return bool(clause) and clause[-1][-1] not in ("ว่า", "ที่", "ซึ่ง") and any(map(_predicate, clause))
+
+
+def _thai_before_name(t: str, m: re.Match, b: int, start: int) -> bool:
+    """The gap m between Thai and a Latin name, number or sign lies between two sentences; the last one began at start."""
+    if _begins(t, m.end(), b) is False:
+        return False
+    clause = _THAI_RUN.findall(t, max(start, m.start() - THAI_CLAUSE), m.start())
+    if clause[-1].endswith(THAI_POLITE):
+        return True
+    if not t[m.end()].isalpha():
+        return False  # a number counts, a bracket or quotation belongs to what stands before it
+    *_, before, last = "", *_thai_run(clause[-1])
+    name = _LATIN_RUN.match(t, m.end(), b)
+    said = _THAI_RUN.match(t, name.end(), b)
+    if last not in _TRIE or (last in THAI_TAKES and before not in THAI_NUMERALS) or len(name.group().strip()) < 2 or not said:
+        return False
+    return _predicate(_thai_run(said.group())[:1]) and any(_predicate(_thai_run(x)) for x in clause)
+
+
+def _thai_boundary(t: str, a: int, m: re.Match, b: int, start: int) -> bool:
+    """Whether the gap m next to Thai text lies between two sentences; the last one began at start."""
+    left, right = t[m.start() - 1], t[m.end()]
+    if _script(right) != "thai":
+        return _thai_before_name(t, m, b, start)
+    if _script(left) != "thai":
+        return _thai_behind_name(t, m, b, start)
+    run = _THAI_RUN.match(t, m.end(), b).group()
+    first = _thai_run(run)[0]
+    opening = run.startswith(THAI_OPENING)
     if run.startswith(RUNS_ON["thai"]) and not opening:
         return False
     before = re.search(r"[฀-๿]+$", t[max(a, m.start() - 200) : m.start()]).group()
-    _, last = _thai_edges(before)
-    return opening or last in THAI_FINAL or before.endswith(THAI_FINAL) or first in _TRIE or len(run) >= 8
+    last = _thai_run(before)[-1]
+    return opening or last in THAI_FINAL or before.endswith(THAI_FINAL) or first in _STARTS or len(run) >= 8
 
 
 def _item_after(prior: str, sign: str, previous: bool) -> bool:
@@ -427,7 +493,7 @@ def _block(t: str, a: int, b: int, out: list[tuple[int, int]]) -> None:
         elif kind == 1:
             if _is_end(t, a, x, b, closes, start):
                 emit(_end_of(t, x.end(), b, closes))
-        elif _thai_boundary(t, a, x, b):
+        elif _thai_boundary(t, a, x, b, start):
             emit(x.start())
     if start < b:
         emit(b)

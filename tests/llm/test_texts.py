@@ -185,6 +185,27 @@ def test_sentences_of_thai():
     assert S.thai_words("ไม่พบความแตกต่าง") == ["ไม่", "พบ", "ความ", "แตกต่าง"]
 
 
+@pytest.mark.parametrize(
+    "parts",
+    [
+        ["ไม่พบความแตกต่างระหว่างสองกลุ่ม", "PXZV2 ทำให้เซลล์หยุดแบ่งตัว"],
+        ["การขาดยีน PXZV2 ทำให้เซลล์ตาย", "β-catenin ลดลงในกลุ่มทดลอง"],
+        ["การเติบโตของเซลล์ถูกยับยั้งโดย PXZV2", "ผู้วิจัยตรวจตัวอย่างทั้งหมด 6 ครั้งก่อนสรุปผล"],
+        ["ระดับเฉลี่ยเท่ากับ 2.5", "การขาดยีน PXZV2 ทำให้เซลล์หยุดแบ่งตัว"],
+        ["ผู้ป่วยได้รับยา (aspirin)", "ผลการทดลองคงที่ตลอดช่วงเวลาที่ศึกษา"],
+        ["ผู้ป่วยได้รับยาแล้วครับ", "12 คนหายดี"],
+        ["การแสดงออกของยีน MLPK4 เพิ่มขึ้นอย่างชัดเจนในกลุ่มทดลอง"],
+        ["ผู้ป่วยโรค hatfitdexic lung anemia ได้รับยาทุกวันตามแผน"],
+        ["ผู้ป่วยได้รับยา aspirin ทุกวันตามแผน"],
+        ["พบว่า ABC1 ระดับสูงในกลุ่มทดลอง"],
+        ["ผู้วิจัยตรวจ 6 ตัวอย่างก่อนสรุปผล (PXZV2)"],
+    ],
+)
+def test_thai_gaps_next_to_names_and_numbers(parts):
+    text = " ".join(parts)
+    assert [text[a:b] for a, b in S.split(text)] == parts
+
+
 def test_lines_headings_and_lists():
     text = "Main findings\n\nThe effect\nwas\nlost.The next held.\n\n1. Wash it.\n2. Add 3 mL\nof it.\n"
     assert [text[a:b] for a, b in S.split(text)] == ["Main findings", "The effect\nwas\nlost.", "The next held.", "1. Wash it.", "2. Add 3 mL\nof it."]

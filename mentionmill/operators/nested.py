@@ -131,6 +131,15 @@ def _holds_json(level: DataFrame, name: str) -> bool:
     return level.where(F.ltrim(v).rlike(r"^[\[{]") & complete_json(v).isNotNull()).limit(1).count() > 0
 
 
+def levels(rows: DataFrame, key: str, payload: str, max_depth: int = 6) -> DataFrame:
+    """(path, key, parent, id, ordinal): the rows of all of ``tables`` as one table."""
+    out = None
+    for path, t in tables(rows, key, payload, max_depth).items():
+        x = t.select(F.lit(path).alias("path"), key, "parent", "id", "ordinal")
+        out = x if out is None else out.unionByName(x)
+    return out
+
+
 def record_nodes(rows: DataFrame, key: str, payload: str) -> DataFrame:
     """(key, node, sent_no, item_no, sub_no): the place of each entity, target, subject and object of article records.
 

@@ -12,7 +12,12 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return nested.record_nodes(table(spark, d, "ner_records"), "record_id", "payload")
 
 
-QUERIES = {"p5_found": p5_found}
+def p5_levels(spark: SparkSession, d: str) -> DataFrame:
+    """Every level of the article records, wherever their keys stand, with the parent's key and the place."""
+    return nested.levels(table(spark, d, "ner_records"), "record_id", "payload")
+
+
+QUERIES = {"p5_found": p5_found, "p5_levels": p5_levels}
 
 
 def _unpacked(x: str) -> str:

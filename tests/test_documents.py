@@ -61,6 +61,14 @@ def test_nested_tables(spark):
     assert {"$.a.b", "$.a.c"} <= set(t)
 
 
+def test_levels_at_any_path(spark):
+    payload = json.dumps({"other": {"parts": [{"sentences": [{"entities": [{"text": "x"}]}, {"entities": []}]}]}})
+    df = spark.createDataFrame([(1, payload)], "record_id int, payload string")
+    got = {(r.path, r.parent, r.id, r.ordinal) for r in nested.levels(df, "record_id", "payload").collect()}
+    s = "r1/other[0]/parts[0]/sentences"
+    assert {("$.other.parts.sentences", "r1/other[0]/parts[0]", f"{s}[1]", 1), ("$.other.parts.sentences.entities", f"{s}[0]", f"{s}[0]/entities[0]", 0)} <= got
+
+
 def test_record_nodes_of_odd_payloads(spark):
     e = {"text": "x"}
     rows = [

@@ -140,6 +140,23 @@ def levels(rows: DataFrame, key: str, payload: str, max_depth: int = 6) -> DataF
     return out
 
 
+def key_report(rows: DataFrame, key: str, payload: str, max_depth: int = 6) -> DataFrame:
+    """(path, key, kind, n, objects, coverage, example): the keys of the objects of every level and the kinds of their values.
+
+    ``n`` objects of the level's ``objects`` hold the key with a value of this kind; ``example`` is the least of their values, cut.
+    """
+    out = None
+    for path, t in tables(rows, key, payload, max_depth).items():
+        x = t.select(as_object(F.col("value")).alias("m")).where("m is not null").select(F.lit(path).alias("path"), "m")
+        out = x if out is None else out.unionByName(x)
+    each = out.select("path", F.explode("m").alias("key", "value"))
+    shape = F.schema_of_variant(F.col("value"))
+    kind = F.when(F.is_variant_null("value"), "null").when(shape.startswith("ARRAY"), "array").when(shape.startswith("OBJECT"), "object").when(shape == "STRING", "string").when(shape == "BOOLEAN", "boolean").otherwise("number")
+    found = each.groupBy("path", "key", kind.alias("kind")).agg(F.count("*").alias("n"), F.min(F.substring(F.to_json("value"), 1, 80)).alias("example"))
+    total = out.groupBy("path").agg(F.count("*").alias("objects"))
+    return found.join(total, "path").select("path", "key", "kind", "n", "objects", (F.col("n") / F.col("objects")).alias("coverage"), "example")
+
+
 def record_nodes(rows: DataFrame, key: str, payload: str) -> DataFrame:
     """(key, node, sent_no, item_no, sub_no): the place of each entity, target, subject and object of article records.
 

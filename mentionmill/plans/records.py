@@ -17,7 +17,12 @@ def p5_levels(spark: SparkSession, d: str) -> DataFrame:
     return nested.levels(table(spark, d, "ner_records"), "record_id", "payload")
 
 
-QUERIES = {"p5_found": p5_found, "p5_levels": p5_levels}
+def payload_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Keys of every level of the article records with kinds, coverage and an example."""
+    return nested.key_report(table(spark, d, "ner_records"), "record_id", "payload")
+
+
+QUERIES = {"p5_found": p5_found, "p5_levels": p5_levels, "payload_keys": payload_keys}
 
 
 def _unpacked(x: str) -> str:

@@ -69,6 +69,16 @@ def test_levels_at_any_path(spark):
     assert {("$.other.parts.sentences", "r1/other[0]/parts[0]", f"{s}[1]", 1), ("$.other.parts.sentences.entities", f"{s}[0]", f"{s}[0]/entities[0]", 0)} <= got
 
 
+def test_keys_of_every_level(spark):
+    payload = {"sentences": [{"entities": [{"text": "x", "score": 0.5}, {"text": None}, {"text": "a", "ok": True}]}]}
+    df = spark.createDataFrame([(1, json.dumps(payload)), (2, "{cut")], "record_id int, payload string")
+    got = {(r.path, r.key, r.kind): (r.n, r.objects, r.coverage, r.example) for r in nested.key_report(df, "record_id", "payload").collect()}
+    e = "$.sentences.entities"
+    assert got[e, "text", "string"] == (2, 3, 2 / 3, '"a"') and got[e, "text", "null"] == (1, 3, 1 / 3, "null")
+    assert got[e, "score", "number"][:2] == (1, 3) and got[e, "ok", "boolean"][:2] == (1, 3)
+    assert got["$.sentences", "entities", "array"][:2] == (1, 1) and got["$", "sentences", "array"][:2] == (1, 1)
+
+
 def test_record_nodes_of_odd_payloads(spark):
     e = {"text": "x"}
     rows = [

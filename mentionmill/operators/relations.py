@@ -95,13 +95,17 @@ def candidate_pairs(sentences: DataFrame, max_gap: int = MAX_GAP) -> DataFrame:
 def routed(pairs: DataFrame, routes: DataFrame, exclusive: bool = True) -> DataFrame:
     """Pairs with the model that scores them. ``routes`` has type_pair, model and precedence; a null type_pair takes any pair.
 
-    Exclusive keeps the model of the smallest precedence, additive keeps all. Pairs without a route drop out. The routes are a
-    short list made by hand, so they are matched as a sorted array inside each row.
+    Exclusive keeps the model of the smallest precedence, additive keeps all. Pairs without a route drop out. The routes are
+    gathered per type in one aggregate and joined to the pairs, whatever their number; those for any pair come in as one array.
     """
-    listed = sorted(((r.precedence, r.model, r.type_pair) for r in routes.limit(1000).collect()), key=lambda r: (r[0], r[1]))
-    options = F.array_compact(F.array(*[F.when(F.lit(t is None) | (F.col("type_pair") == F.lit(t)), F.lit(m)) for _, m, t in listed]))
+    ranked = F.array_sort(F.collect_list(F.struct("precedence", "model")))
+    own = routes.where("type_pair is not null").groupBy("type_pair").agg(ranked.alias("_own"))
+    every = routes.where("type_pair is null").agg(ranked.alias("_any"))
+    x = pairs.join(own, "type_pair", "left").withColumn("_any", every.scalar())
+    listed = F.array_sort(F.concat(F.coalesce("_own", F.slice("_any", 1, 0)), "_any"))
+    options = F.transform(listed, lambda o: o["model"])
     kept = F.slice(options, 1, 1) if exclusive else F.array_distinct(options)
-    return pairs.withColumn("model", F.explode(kept))
+    return x.withColumn("model", F.explode(kept)).select(*pairs.columns, "model")
 
 
 def relational(cues: Column, connecting: Column) -> Column:

@@ -34,3 +34,13 @@ def test_chain_from_sentence_to_score(spark):
     got = R.scored(routed, verdicts).collect()
     assert [(r.label, r.score, r.score_2nd) for r in got] == [("inhibition", pytest.approx(round(min(1, 0.9 * 0.8 * 1.0 * 1.1 * 1.0), 4)), 0.1)]
     assert len(R.routed(pairs, routes, exclusive=False).collect()) == 4
+
+
+def test_more_than_a_thousand_routes(spark):
+    pairs = spark.createDataFrame([(i, f"T{i}") for i in range(1500)] + [(1500, None)], "n int, type_pair string")
+    routes = spark.createDataFrame([(f"T{i}", f"m{i}", 1) for i in range(1500)], "type_pair string, model string, precedence int")
+    got = {r.n: r.model for r in R.routed(pairs, routes).collect()}
+    assert got == {i: f"m{i}" for i in range(1500)}
+    last = routes.unionByName(spark.createDataFrame([(None, "any", 2)], routes.schema))
+    assert {r.n: r.model for r in R.routed(pairs, last).collect()} == got | {1500: "any"}
+    assert R.routed(pairs, last, exclusive=False).count() == 3001

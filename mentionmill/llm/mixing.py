@@ -116,6 +116,10 @@ def _plan(hist: DataFrame, targets: list) -> tuple[dict, dict, dict, dict, float
     return lam, base, mean, cap, total
 
 
+#: Sources that one plan may have; more are refused, as leaving some out would change the shares of all.
+MAX_SOURCES = 10_000
+
+
 def mixture(docs: DataFrame, doc: str, text: str, source: str, targets: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """(doc, source, n_tokens, copies): every document that takes part and how often it is used.
 
@@ -125,7 +129,9 @@ def mixture(docs: DataFrame, doc: str, text: str, source: str, targets: DataFram
     The total is the largest at which every source can reach its share. Empty and null texts have no tokens and take no part.
     """
     want = targets.select(source_name(F.col("source")).alias("source"), "target_share", "max_repeats").groupBy("source").agg(F.sum("target_share").alias("target_share"), F.min("max_repeats").alias("max_repeats"))
-    rows = want.limit(10_000).collect()  # one row per source of the mix
+    rows = want.limit(MAX_SOURCES + 1).collect()  # one row per source of the mix
+    if len(rows) > MAX_SOURCES:
+        raise ValueError(f"more than {MAX_SOURCES} sources in the targets")
     listed = [r.source for r in rows if r.source is not None]
     key = F.xxhash64(text)
     x = docs.select(F.col(doc).alias("doc"), source_name(F.col(source)).alias("source"), F.col(text).alias("text"), F.unhex(F.md5(text)).alias("digest"), key.alias("h"))

@@ -31,3 +31,10 @@ def test_nothing_to_mix(spark):
     assert _mix(spark, [], [("a", 1.0, 1)])[0] == {}
     assert _mix(spark, [("x", "a")], [("b", 1.0, 1)])[0] == {}
     assert _mix(spark, [("x", "a")], [("a", 1.0, 0)])[0] == {}
+
+
+def test_too_many_sources_are_refused(spark):
+    t = spark.range(10_001).selectExpr("'s' || id as source", "1d as target_share", "1 as max_repeats")
+    d = spark.createDataFrame([(1, "x", "s0")], "doc_id long, text string, source string")
+    with pytest.raises(ValueError, match="10000"):
+        X.mixture(d, "doc_id", "text", "source", t)

@@ -163,16 +163,7 @@ def triple_schema(spark: SparkSession, d: str) -> DataFrame:
     return e.select(F.explode(each).alias("f")).select("f.*").groupBy("field", "type", "state").agg(F.count("*").alias("n"))
 
 
-def payload_schema(spark: SparkSession, d: str) -> DataFrame:
-    """Top-level keys of the article records with the kind of their values."""
-    from mentionmill.operators import nested as N
-
-    v = table(spark, d, "ner_records").select(N.as_object(N.complete_json(F.col("payload"))).alias("m")).where("m is not null")
-    kind = lambda x: F.when(F.is_variant_null(x), "null").when(N.as_list(x).isNotNull(), "array").when(N.as_object(x).isNotNull(), "object").otherwise("scalar")
-    return v.select(F.explode("m").alias("key", "value")).groupBy("key", kind(F.col("value")).alias("kind")).agg(F.count("*").alias("records"))
-
-
-QUERIES = {f.__name__: f for f in (selected_articles, impact_percentiles, key_fallback_join, source_preferred_union, default_category_join, pubs_by_year, impact_bands, top_journals, uncached_articles, format_stats, format_pivot, doc_frequency_titles, section_types, sentence_filter, cue_tags, sentence_split, centroid_margin, confusion, micro_scores, calibration_error, best_threshold, calibrators, calibrated, triple_schema, payload_schema)}
+QUERIES = {f.__name__: f for f in (selected_articles, impact_percentiles, key_fallback_join, source_preferred_union, default_category_join, pubs_by_year, impact_bands, top_journals, uncached_articles, format_stats, format_pivot, doc_frequency_titles, section_types, sentence_filter, cue_tags, sentence_split, centroid_margin, confusion, micro_scores, calibration_error, best_threshold, calibrators, calibrated, triple_schema)}
 
 _SPACE = "[\\s\\x{a0}\\x{2000}-\\x{200a}\\x{202f}\\x{205f}\\x{3000}]+"
 _TRIMMED = "trim(text)"
@@ -246,6 +237,4 @@ select threshold, round(f1, 6) as f1 from g order by g.f1 desc, threshold limit
         f"select '{c}' as field, '{k}' as type, case when e.{c} is null then 'absent' {f'when len(e.{c}) = 0 then $$empty$$' if k.startswith('array') else ''} else 'present' end as state, count(*) as n from e group by all"
         for c, k in (("text", "string"), ("type", "string"), ("hgnc_symbol", "array<string>"), ("hgnc_via", "string"), ("control", "string"), ("mondo_label", "array<string>"), ("mondo_via", "string"), ("chebi_label", "array<string>"), ("chebi_via", "string"))
     ),
-    "payload_schema": """with r as (select payload::json as j from ner_records where json_valid(payload) and payload <> ''), k as (select unnest(json_keys(j)) as key, j from r)
-select key, case json_type(j -> key) when 'NULL' then 'null' when 'ARRAY' then 'array' when 'OBJECT' then 'object' else 'scalar' end as kind, count(*) as records from k group by all""",
 }

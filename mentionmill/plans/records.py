@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from mentionmill.operators import nested
 from mentionmill.session import table
@@ -12,6 +13,22 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return nested.record_nodes(table(spark, d, "ner_records"), "record_id", "payload")
 
 
+def p5_entities(spark: SparkSession, d: str) -> DataFrame:
+    """The entities of all sentences as a flat table, with the section of the sentence that holds them: child joined to parent."""
+    rows = table(spark, d, "ner_records")
+    merged = nested.Schema(nested.merged_schema(rows, "record_id", "payload")).paths
+    held = [p for p in merged if p.endswith(".sentences.entities")]
+    t = nested.tables(rows, "record_id", "payload", [*held, *(p.removesuffix(".entities") for p in held)])
+    out = None
+    for p in held:
+        up = t[p.removesuffix(".entities")].select("record_key", F.col("id").alias("parent"), F.col("fields.section_type").alias("section_type"))
+        f = lambda c: F.col(f"fields.{c}")
+        x = t[p].where("kind = 'object'").join(up, ["record_key", "parent"])
+        x = x.select(F.col("record_key").alias("record_id"), "section_type", F.col("ordinal").alias("item_no"), f("text").alias("text"), f("label").alias("label"), f("score").try_cast("double").alias("score"))
+        out = x if out is None else out.unionByName(x)
+    return out if out is not None else spark.createDataFrame([], "record_id bigint, section_type string, item_no int, text string, label string, score double")
+
+
 def p5_levels(spark: SparkSession, d: str) -> DataFrame:
     """Every level of the article records, wherever their keys stand, with the parent's key and the place."""
     return nested.levels(table(spark, d, "ner_records"), "record_id", "payload")
@@ -22,7 +39,14 @@ def payload_keys(spark: SparkSession, d: str) -> DataFrame:
     return nested.key_report(table(spark, d, "ner_records"), "record_id", "payload")
 
 
-QUERIES = {"p5_found": p5_found, "p5_levels": p5_levels, "payload_keys": payload_keys}
+def payload_schema(spark: SparkSession, d: str) -> DataFrame:
+    """Top-level keys of the article records with the kind of their values."""
+    kind = F.when(F.col("kind").isin("null", "array", "object"), F.col("kind")).otherwise("scalar")
+    m = nested.merged_schema(table(spark, d, "ner_records"), "record_id", "payload").where("path = '$' and field is not null")
+    return m.groupBy(F.col("field").alias("key"), kind.alias("kind")).agg(F.sum("n").alias("records"))
+
+
+QUERIES = {"p5_found": p5_found, "p5_entities": p5_entities, "p5_levels": p5_levels, "payload_keys": payload_keys, "payload_schema": payload_schema}
 
 
 def _unpacked(x: str) -> str:
@@ -58,4 +82,13 @@ union all select record_id, 'target', sent_no, item_no, sub_no from target where
 union all select record_id, 'subject', sent_no, item_no, -1 from obj where kind = 'triples' and json_type({_unpacked("(m -> 'subject')")}) = 'OBJECT'
 union all select record_id, 'object', sent_no, item_no, -1 from obj where kind = 'triples' and json_type({_unpacked("(m -> 'object')")}) = 'OBJECT'"""
 
-SQL: dict[str, str] = {"p5_found": _P5}
+_ENTITIES = _P5.split("obj as (")[0].rstrip().rstrip(",").replace("select record_id, sent_no, 'entities' as kind,", "select record_id, sent_no, 'entities' as kind, s ->> 'section_type' as section_type,").replace("select record_id, sent_no, 'triples',", "select record_id, sent_no, 'triples', null,").replace("select record_id, sent_no, kind, ", "select record_id, sent_no, section_type, kind, ")
+_P5_ENTITIES = f"""{_ENTITIES}
+select record_id, section_type, item_no, m ->> 'text' as text, m ->> 'label' as label, try_cast(m ->> 'score' as double) as score from item where kind = 'entities' and json_type(m) = 'OBJECT'"""
+
+SQL: dict[str, str] = {
+    "p5_found": _P5,
+    "p5_entities": _P5_ENTITIES,
+    "payload_schema": """with r as (select payload::json as j from ner_records where json_valid(payload) and payload <> ''), k as (select unnest(json_keys(j)) as key, j from r)
+select key, case json_type(j -> key) when 'NULL' then 'null' when 'ARRAY' then 'array' when 'OBJECT' then 'object' else 'scalar' end as kind, count(*) as records from k group by all""",
+}

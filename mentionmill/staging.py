@@ -31,11 +31,11 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + _own[app]
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df``, computed once and written to the shared folder."""
+def staged(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """``df``, computed once and written to the shared folder, in parts by the columns ``by``."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/staged/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 

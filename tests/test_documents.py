@@ -52,21 +52,68 @@ def test_percentile_by_index(spark, p):
     assert corpus.index_percentile(df.limit(0), "v", p) is None
 
 
+def _tables(spark, *records, key="id"):
+    rows = [(i, r if r is None or isinstance(r, str) else json.dumps(r), "clash") for i, r in enumerate(records)]
+    return nested.tables(spark.createDataFrame(rows, f"{key} int, payload string, parent string"), key, "payload")
+
+
 def test_nested_tables(spark):
-    rows = [(1, json.dumps({"a": [{"b": [1, 2], "c": {"d": "x"}}, None, "[{\"b\": 3}]"], "n": 1})), (2, "{cut"), (3, None), (4, '{"a": {"0": {"b": 1}, "1": {"b": 2}}} x'), (5, '{"a": {"0": {"b": 1}, "10": {"b": 3}, "2": {"b": 2}}}')]
-    t = nested.tables(spark.createDataFrame(rows, "k int, payload string"), "k", "payload")
-    assert sorted((r.k, r.id) for r in t["$"].collect()) == [(1, "r1"), (5, "r5")]
-    a = sorted((r.parent, r.ordinal, r.id) for r in t["$.a"].collect())
-    assert a == [("r1", 0, "r1/a[0]"), ("r1", 1, "r1/a[1]"), ("r1", 2, "r1/a[2]"), ("r5", 0, "r5/a[0]"), ("r5", 1, "r5/a[1]"), ("r5", 2, "r5/a[2]")]
-    assert {"$.a.b", "$.a.c"} <= set(t)
+    t = _tables(spark, {"a": [{"b": [1, 2], "c": {"d": "x"}}, None, "[{\"b\": 3}]"], "n": 1}, "{cut", None, '{"a": {"0": {"b": 1}, "1": {"b": 2}}} x', '{"a": {"0": {"b": 1}, "10": {"b": 3}, "2": {"b": 2}}}', "", "NaN")
+    assert set(t) == {"$", "$.a", "$.a[]", "$.a.b", "$.a.c"}
+    assert sorted((r.record_key, r.parent, r.id, r.fields.n) for r in t["$"].collect()) == [(0, None, 0, 1), (4, None, 0, None)]
+    a = sorted((r.record_key, r.parent, r.ordinal, r.kind) for r in t["$.a"].collect())
+    assert a == [(0, 0, 0, "object"), (0, 0, 1, "null"), (0, 0, 2, "array"), (4, 0, 0, "object"), (4, 0, 1, "object"), (4, 0, 2, "object")]
+    b = t["$.a.b"].join(t["$.a"].select("record_key", F.col("id").alias("parent"), F.col("ordinal").alias("of")), ["record_key", "parent"])
+    assert sorted((r.record_key, r.of, r.ordinal, r.value) for r in b.collect()) == [(0, 0, 0, "1"), (0, 0, 1, "2"), (4, 0, 0, "1"), (4, 1, 0, "2"), (4, 2, 0, "3")]
+    assert [f.name for f in t["$.a"].schema["fields"].dataType] == [] and t["$.a.c"].first().fields.d == "x"
+
+
+def test_lists_of_lists_and_any_depth(spark):
+    deep = x = {}
+    for _ in range(60):
+        x["d"] = x = {"n": 1}
+    t = _tables(spark, {"a": [[{"x": 1}], [[2]]]}, deep, [[7], {"y": True}])
+    assert [(r.record_key, r.ordinal, r.fields.x) for r in t["$.a[]"].where("kind = 'object'").collect()] == [(0, 0, 1)]
+    assert [r.value for r in t["$.a[][]"].collect()] == ["2"] and t["$" + ".d" * 60].first().fields.n == 1
+    assert sorted((r.ordinal, r.kind) for r in t["$[]"].collect()) == [(0, "array"), (1, "object")] and [r.value for r in t["$[][]"].collect()] == ["7"]
+
+
+def test_columns_have_the_type_their_values_share(spark):
+    t = _tables(spark, {"i": 1, "f": 1, "m": 1, "b": True, "none": None, "id": "x"}, {"i": -5, "f": 0.5, "m": "one", "b": None, "big": 1 << 70})
+    assert t["$"].select("fields.*").dtypes == [("b", "boolean"), ("big", "double"), ("f", "double"), ("i", "bigint"), ("id", "string"), ("m", "string"), ("none", "string")]
+    assert sorted((r.fields.m, r.fields.f) for r in t["$"].collect()) == [("1", 1.0), ("one", 0.5)]
+
+
+def test_tables_of_nothing(spark):
+    assert _tables(spark) == {} and _tables(spark, None, "", "x") == {}
+
+
+@pytest.mark.parametrize("text", ["[" * 200_000 + "]" * 200_000, '{"a":' * 50_000 + "1.5e3" + "}" * 50_000])
+def test_texts_of_any_depth_are_read(text):
+    v, n = nested.read(text), 0
+    while isinstance(v, (list, dict)) and v:
+        v, n = (v[0] if isinstance(v, list) else v["a"]), n + 1
+    assert v in ([], 1500.0) and n in (199_999, 50_000)
+
+
+@pytest.mark.parametrize("text", ['{"a": [1, "x\\u00e9\\n", null, true, -0.5e-3], "b": {}, "a": []}', " [] ", "3", '"x"', "[1,]", "{,}", '{"a"}', '{"a":1,}', "[1 2]", "]", "[}", "", "[1] 2", "nul", "01", '{"a":1 "b":2}', "[,1]", "{1:2}", "NaN"])
+def test_deep_reading_equals_plain_reading(text):
+    def tried(f):
+        try:
+            return f(text)
+        except ValueError:
+            return "unreadable"
+
+    assert tried(nested._deep) == tried(nested._decode)
 
 
 def test_levels_at_any_path(spark):
     payload = json.dumps({"other": {"parts": [{"sentences": [{"entities": [{"text": "x"}]}, {"entities": []}]}]}})
     df = spark.createDataFrame([(1, payload)], "record_id int, payload string")
     got = {(r.path, r.parent, r.id, r.ordinal) for r in nested.levels(df, "record_id", "payload").collect()}
-    s = "r1/other[0]/parts[0]/sentences"
-    assert {("$.other.parts.sentences", "r1/other[0]/parts[0]", f"{s}[1]", 1), ("$.other.parts.sentences.entities", f"{s}[0]", f"{s}[0]/entities[0]", 0)} <= got
+    p = "$.other.parts.sentences"
+    assert got == {("$", None, 0, 0), ("$.other", 0, 1, 0), ("$.other.parts", 1, 2, 0), (p, 2, 3, 0), (p + ".entities", 3, 4, 0), (p, 2, 5, 1)}
+    assert [tuple(r) for r in nested.record_nodes(df, "record_id", "payload").collect()] == [(1, "entity", 0, 0, -1)]
 
 
 def test_keys_of_every_level(spark):

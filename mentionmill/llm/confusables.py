@@ -1,15 +1,19 @@
 """Visually identical text in one canonical form.
 
-A text is scanned for segments that are not stable: characters that normalization may change, combining marks, invisible
-characters, odd blanks and look-alike letters of other scripts. Only those segments, with the character before them as boundary
-context, are normalized; the results are spliced into the unchanged rest. Letter case, spelling and visible blanks and hyphens
-stay as they are.
+The quick-check properties of normalization tell, character by character, what is stable: a character is unstable if compatibility
+composition changes it (quick check No), if it may join with what stands before it (Maybe: combining marks, but also vowels and
+finals of Hangul and vowel signs of Indic scripts), if it or what it decomposes into looks like a letter of another script, if it
+cannot be seen, or if it is a blank. Only runs of unstable characters are normalized, together with the last stable character
+before them as boundary context; the results are spliced into the unchanged rest. Letter case, spelling and visible blanks and
+hyphens stay as they are.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -18,62 +22,115 @@ from pyspark.sql.types import StringType
 
 from mentionmill.session import ship
 
-# Letters of other scripts that look like a Latin letter, each followed by that letter.
+# Letters of other scripts that look like a Latin letter, each followed by that letter. A fuller table may be given.
 _GREEK = "ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX οo νv ρp ιi υu χx ϲc ϳj ϹC ͿJ"
-_CYRILLIC = "АA ВB ЕE ІI ЈJ КK МM НH ОO РP СC ТT УY ҮY ХX ЅS ԚQ ԜW ӀI аa сc еe һh іi јj оo рp ԛq ѕs уy хx ѵv ԝw ԁd ӏl"
-_ARMENIAN = "ՍU ՏS Օ0 օo սu ոn հh ցg քp ӏl"
-_LATIN = "ıi ȷj ɡg ɑα"
+_CYRILLIC = "АA ВB ЕE ІI ЈJ КK МM НH ОO РP СC ТT УY ҮY ХX ЅS ԚQ ԜW ӀI ԌG аa гr еe ҽe һh іi јj оo рp сc ԛq ѕs уy үy хx ѵv ԝw ѡw ԁd ӏl"
+_ARMENIAN = "ՍU ՏS Օ0 օo սu ոn հh ցg քp զq յj"
+_COPTIC = "ⲂB ⲎH ⲒI ⲔK ⲘM ⲚN ⲞO ⲟo ⲢP ⲣp ⲤC ⲥc ⲦT ⲨY ⲬX"
+_CHEROKEE = "ᎠD ᎡR ᎢT ᎥiᎩY ᎪA ᎫJ ᎬE ᎳW ᎷM ᎻH ᎽY ᏀG ᏂhᏃZ ᏏbᏒR ᏔW ᏕS ᏙV ᏚS ᏞL ᏟC ᏢP ᏦK ᏧdᏳG ᏴB"
+_LISU = "ꓐB ꓑP ꓒdꓓD ꓔT ꓖG ꓗK ꓙJ ꓚC ꓜZ ꓝF ꓟM ꓠN ꓡL ꓢS ꓣR ꓦV ꓧH ꓪW ꓫX ꓬY ꓮA ꓰE ꓲI ꓳO ꓴU"
+_LATIN = "ıi ɩi ɪi ȷj ɡg ᴄc ᴏo ꜱs ᴜu ʋu ᴠv ᴡw ʏy ᴢz ɑα"
 # Other signs that look like a letter or hyphen used in names.
-_SIGNS = "ßβ ꞵβ ɣγ кκ ĸκ ‐- ‑- ‒- –- −- ﹣- ⁃- ˗- ’' ‘' ʼ' ′' ＇'"
-LOOKS_LIKE = {p[0]: p[1:] for part in (_GREEK, _CYRILLIC, _ARMENIAN, _LATIN, _SIGNS) for p in part.split()}
+_SIGNS = "ꞵβ ɣγ кκ ĸκ ‐- ‑- ‒- –- −- ﹣- ⁃- ˗- ’' ‘' ʼ' ′' ＇'"
 
-_RUN = re.compile(r"[^ -~]+")
-_ODD = r"[^ -~]|^ | $"
-
-
-def _invisible(c: str) -> bool:
-    """Default-ignorable characters: format controls, joiners, variation selectors, fillers, soft hyphens."""
-    o = ord(c)
-    return unicodedata.category(c) in ("Cf", "Cc") and c not in "\t\n\r\v\f" or 0xFE00 <= o <= 0xFE0F or o in (0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x3164, 0xFFA0) or 0x180B <= o <= 0x180F or 0xE0000 <= o <= 0xE0FFF
 
+def _pairs(*parts: str) -> dict[str, str]:
+    signs = "".join(parts).replace(" ", "")
+    return dict(zip(signs[::2], signs[1::2], strict=True))
 
-_stable: dict[str, bool] = {}
 
+LOOKS_LIKE = _pairs(_GREEK, _CYRILLIC, _ARMENIAN, _COPTIC, _CHEROKEE, _LISU, _LATIN, _SIGNS)
 
-def _is_stable(c: str) -> bool:
-    if c not in _stable:
-        _stable[c] = unicodedata.is_normalized("NFKC", c) and not unicodedata.combining(c) and c not in LOOKS_LIKE and not _invisible(c) and not c.isspace() and unicodedata.normalize("NFD", c)[0] not in LOOKS_LIKE
-    return _stable[c]
-
+_RUN = re.compile(r"[^ -~]+")
+_ODD = r"[^ -~]|^ | $"
+#: A sharp s stands for the Greek letter unless a small Latin letter is directly beside it, as in German words.
+_SHARP = re.compile(r"(?<![a-zà-öø-ſ])ß(?![a-zà-öø-ſ])")
 
-def _fold(segment: str) -> str:
-    bare = "".join(c for c in unicodedata.normalize("NFKD", segment) if not _invisible(c))
-    out = "".join(LOOKS_LIKE.get(c, " " if c.isspace() else c) for c in bare)
-    return unicodedata.normalize("NFC", out)
 
+def read_lookalikes(path: str) -> dict[str, str]:
+    """A table in the public format ``source ; target ; type`` of hexadecimal code points; sources of one character beyond ASCII.
 
-def canonical(text: str) -> str:
-    """The form that all texts of the same look share; blanks at the ends cannot be seen and go."""
-    if text.isascii() and text.isprintable():
-        return text.strip()
-    out, at = [], 0
-    for m in _RUN.finditer(text):
-        if all(map(_is_stable, m.group())):
-            continue
-        start = max(at, m.start() - 1)  # a mark may join with the character before it
-        out += [text[at:start], _fold(text[start : m.end()])]
-        at = m.end()
-    out.append(text[at:])
-    return "".join(out).strip()
+    Letters that the own table keeps apart (α, γ, δ, κ, and 1, l, I) stay apart.
+    """
+    out = dict(LOOKS_LIKE)
+    with open(path, encoding="utf-8-sig") as f:
+        for line in f:
+            cells = line.split("#")[0].split(";")
+            if len(cells) >= 2 and len(source := cells[0].split()) == 1 and (c := chr(int(source[0], 16))) > "\x7f" and c not in "αβγδκ":
+                out.setdefault(c, "".join(chr(int(x, 16)) for x in cells[1].split()))
+    return {c: x for c, x in out.items() if c != x}
 
 
-def _canonical(s: pd.Series) -> pd.Series:
-    return s.map(canonical, na_action="ignore")
+def invisible(c: str) -> bool:
+    """Default-ignorable characters: format controls, joiners, variation selectors, fillers, soft hyphens."""
+    o = ord(c)
+    return unicodedata.category(c) in ("Cf", "Cc") and c not in "\t\n\r\v\f" or 0xFE00 <= o <= 0xFE0F or o in (0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x3164, 0xFFA0) or 0x180B <= o <= 0x180F or 0xE0000 <= o <= 0xE0FFF
 
 
-def canonical_column(c: Column) -> Column:
-    """``canonical`` of a text column; null stays null."""
-    return F.pandas_udf(_canonical, StringType())(c)
+@cache
+def may_join() -> frozenset[str]:
+    """Characters that composition may join with the one before them (quick check Maybe), from the canonical decompositions."""
+    out = {chr(x) for x in (*range(0x1161, 0x1176), *range(0x11A8, 0x11C3))}  # Hangul composes by rule
+    for o in range(0xA0, 0x20000):
+        parts = unicodedata.decomposition(chr(o)).split()
+        if len(parts) == 2 and parts[0][0] != "<" and unicodedata.is_normalized("NFC", chr(o)):
+            out.add(chr(int(parts[1], 16)))
+    return frozenset(out)
+
+
+class Form:
+    """The canonical form under one table of look-alikes."""
+
+    def __init__(self, table: dict[str, str] = LOOKS_LIKE):
+        self.table = table
+        self._known: dict[str, bool] = {}
+
+    def stable(self, c: str) -> bool:
+        """No normalization changes the character or joins it with what stands before it, and it looks like no other."""
+        known = self._known.get(c)
+        if known is None:
+            known = unicodedata.is_normalized("NFKC", c) and not unicodedata.combining(c) and c not in may_join() and not invisible(c) and not c.isspace()
+            known = self._known[c] = known and not any(k in self.table for k in unicodedata.normalize("NFKD", c))
+        return known
+
+    def _fold(self, segment: str) -> str:
+        table = self.table
+        bare = "".join(c for c in unicodedata.normalize("NFKD", segment) if not invisible(c))
+        out = "".join(table.get(c, " " if c.isspace() else c) for c in bare)
+        return unicodedata.normalize("NFC", out)
+
+    def of(self, text: str) -> str:
+        """The form that all texts of the same look share; blanks at the ends cannot be seen and go."""
+        if text.isascii() and text.isprintable():
+            return text.strip()
+        out, at, stable = [], 0, self.stable
+        for m in _RUN.finditer(text):
+            i, end = m.span()
+            while i < end:
+                if stable(text[i]):
+                    i += 1
+                    continue
+                start = max(at, i - 1)  # what stands here is stable, so nothing before it takes part
+                while i < end and not stable(text[i]):
+                    i += 1
+                out += [text[at:start], self._fold(text[start:i])]
+                at = i
+        out.append(text[at:])
+        x = "".join(out)
+        return (_SHARP.sub("β", x) if "ß" in x else x).strip()
+
+
+_own = Form()
+canonical: Callable[[str], str] = _own.of
+
+
+def canonical_column(c: Column, form: Form = _own) -> Column:
+    """``Form.of`` of a text column; null stays null. It is evaluated once, where it stands: no filter is pushed below it."""
+
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(form.of, na_action="ignore")
+
+    return F.pandas_udf(run, StringType()).asNondeterministic()(c)
 
 
 def unstable(c: Column) -> Column:
@@ -81,7 +138,7 @@ def unstable(c: Column) -> Column:
     return c.rlike(_ODD)
 
 
-def looks_like(texts: DataFrame, names: DataFrame) -> DataFrame:
+def looks_like(texts: DataFrame, names: DataFrame, table: dict[str, str] = LOOKS_LIKE) -> DataFrame:
     """(all columns of ``texts``, plain): listed names that a text looks like but does not equal.
 
     ``texts`` has ``kind`` and ``text``, ``names`` has ``kind`` and ``name``. Null and blank texts look like nothing; a text that
@@ -90,10 +147,11 @@ def looks_like(texts: DataFrame, names: DataFrame) -> DataFrame:
     plain printable ones go through Python, unless some listed name has such characters in an unstable form.
     """
     ship(texts.sparkSession)
-    listed = names.where("name is not null").select("kind", "name").distinct().withColumn("_form", canonical_column(F.col("name")))
+    form = Form(table)
+    listed = names.where("name is not null").select("kind", "name").distinct().withColumn("_form", canonical_column(F.col("name"), form)).where("_form <> ''")
     odd_names = listed.where(F.col("name") != F.col("_form")).limit(1).count() > 0
     x = texts.drop("plain").where("text is not null")
     x = x if odd_names else x.where(unstable(F.col("text")))
-    x = x.select(F.struct("*").alias("_row"), "kind", canonical_column(F.col("text")).alias("_form")).where("_form <> ''")
+    x = x.select(F.struct("*").alias("_row"), "kind", canonical_column(F.col("text"), form).alias("_form"))
     x = x.join(listed, ["kind", "_form"]).where(F.col("name") != F.col("_row.text"))
     return x.select("_row.*", F.col("name").alias("plain"))

@@ -23,6 +23,33 @@ def test_what_is_stable_stays_apart(text):
     assert U.canonical("abc") != U.canonical("ABC") and U.canonical("a-b") != U.canonical("a b")
 
 
+def test_composed_and_decomposed_forms_agree_for_all_characters():
+    import unicodedata
+
+    every = [chr(o) for o in range(0x110000) if not 0xD800 <= o < 0xE000 and not 0xE0200 <= o]
+    assert [c for c in every if U.canonical("a" + c + "b") != U.canonical("a" + unicodedata.normalize("NFD", c) + "b")] == []
+    assert U.canonical(unicodedata.normalize("NFD", "한글 কো தொ")) == "한글 কো தொ"
+
+
+@pytest.mark.parametrize(("text", "same"), [("ᏢTEN", "PTEN"), ("ꓔP53", "TP53"), ("ѡ ᴢ", "w z"), ("Straße, Größe", "Straße, Größe"), ("TGFß1 ß", "TGFβ1 β"), ("a​́", "á"), ("x͏y", "xy")])
+def test_more_lookalikes(text, same):
+    assert U.canonical(text) == same
+
+
+def test_lookalikes_from_a_file(tmp_path):
+    p = tmp_path / "table.txt"
+    p.write_text("﻿# comment\n\n0461 ; 0077 ; MA # x\n10428 ; 006F ; MA\n0031 ; 006C ; MA\n03B1 ; 0061 ; MA\n0041 0301 ; 00C1 ; MA\n33C2 ; 0061 006D ; MA\n", encoding="utf-8")
+    f = U.Form(U.read_lookalikes(str(p)))
+    assert f.of("ѡ𐐨1αА") == "wo1αA" and U.canonical("𐐨") == "𐐨"
+
+
+def test_forms_are_computed_once(spark):
+    names = spark.createDataFrame([("GENETIC", "TMTC1")], "kind string, name string")
+    texts = spark.createDataFrame([("GENETIC", "ТMTC1")], "kind string, text string")
+    plan = U.looks_like(texts, names)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 2  # one for the texts, one for the names
+
+
 def test_looks_like(spark):
     names = spark.createDataFrame([("GENETIC", "TMTC1"), ("DISEASE", "TMTC1"), ("GENETIC", None), ("GENETIC", "x")], "kind string, name string")
     rows = [(1, "GENETIC", "ТMTC1"), (2, "GENETIC", "TMTC1"), (3, "GENETIC", "tmtc1"), (4, "CHEMICAL", "ТMTC1"), (5, "GENETIC", None), (6, "GENETIC", "​"), (7, None, "ТMTC1"), (8, "GENETIC", "TMTC1 "), (8, "GENETIC", "TMTC1 "), (9, "GENETIC", "é" * 100_000)]

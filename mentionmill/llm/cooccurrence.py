@@ -1,9 +1,10 @@
 """Items that appear together: pair counts and association over all records, with large baskets cut into blocks.
 
 A basket of n items has n(n-1)/2 pairs, so one basket with many items would be one long task. Baskets above ``chunk`` items are
-cut into item chunks by a hash of the item; every pair of chunks is its own group, so the work of one basket spreads over
-k(k+1)/2 tasks of at most about (2 * chunk)^2 / 2 pairs. Baskets of up to ``chunk`` items yield their pairs inside one row.
-Both kinds meet in one count with map-side combining.
+cut into k = n / chunk item chunks by a hash of the item; every pair of chunks is its own group, so the work of one basket spreads
+over k(k+1)/2 groups of at most about chunk^2 pairs. Each item is sent k times, which is 2 / chunk of the pairs that the basket
+has anyway. Baskets of up to ``chunk`` items pair up where they lie. Pairs are never held as a list: first items are exploded,
+then their partners, row by row. Both kinds meet in one count with map-side combining.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ from pyspark.sql import functions as F
 
 from mentionmill.staging import staged
 
-CHUNK = 48
+#: Items of a chunk.
+CHUNK = 256
 
 
 def record_key(*parts: Column) -> Column:
@@ -28,26 +30,23 @@ def distinct_items(rows: DataFrame, record: Column, items: Column) -> DataFrame:
     return x.where(F.col("item").isNotNull() & (F.trim("item") != "")).distinct()
 
 
-def _within(items: Column) -> Column:
-    """All pairs of a sorted array without repeats."""
-    n = F.size(items)
-    pairs = F.transform(items, lambda a, i: F.transform(F.slice(items, i + 2, F.greatest(n - i - 1, F.lit(0))), lambda b: F.struct(a.alias("a"), b.alias("b"))))
-    return F.flatten(pairs)
+def _within(baskets: DataFrame) -> DataFrame:
+    """(a, b): all pairs of the sorted arrays ``xs`` without repeats."""
+    x = baskets.select("xs", F.posexplode("xs").alias("i", "a"))
+    return x.select("a", F.explode(F.slice("xs", F.col("i") + 2, F.size("xs"))).alias("b"))
 
 
 def _blocked(large: DataFrame, chunk: int) -> DataFrame:
-    """Pairs of baskets with their size n: one group per pair of item chunks."""
+    """(a, b): the pairs of baskets with their size n; one group per pair of item chunks."""
     k = F.ceil(F.col("n") / chunk).cast("int")
     x = large.withColumn("k", k).withColumn("c", F.pmod(F.xxhash64("item"), F.col("k")).cast("int"))
     x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-    x = x.select("record", F.least("c", "other").alias("lo"), F.greatest("c", "other").alias("hi"), F.struct("c", "item").alias("m"))
-    g = x.groupBy("record", "lo", "hi").agg(F.array_sort(F.collect_list("m")).alias("ms"))
-    side = lambda at: F.transform(F.filter("ms", lambda m: m.c == F.col(at)), lambda m: m["item"])
-    across = F.flatten(
-        F.transform(side("lo"), lambda a: F.transform(side("hi"), lambda b: F.struct(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))))
-    )
-    pairs = F.when(F.col("lo") == F.col("hi"), _within(side("lo"))).otherwise(across)
-    return g.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
+    x = x.select("record", F.least("c", "other").alias("lo"), F.greatest("c", "other").alias("hi"), "c", "item")
+    side = lambda at: F.collect_list(F.when(F.col("c") == F.col(at), F.col("item")))
+    g = x.groupBy("record", "lo", "hi").agg(side("lo").alias("left"), side("hi").alias("right"))
+    within = _within(g.where("lo = hi").select(F.array_sort("left").alias("xs")))
+    across = g.where("lo < hi").select(F.explode("left").alias("x"), "right").select("x", F.explode("right").alias("y"))
+    return within.unionByName(across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
 
 
 def pair_counts(items: DataFrame, chunk: int = CHUNK) -> DataFrame:
@@ -55,7 +54,7 @@ def pair_counts(items: DataFrame, chunk: int = CHUNK) -> DataFrame:
     sizes = items.groupBy("record").agg(F.count("*").alias("n"))
     big = sizes.where(F.col("n") > chunk)
     small = items.join(big, "record", "left_anti").groupBy("record").agg(F.array_sort(F.collect_list("item")).alias("xs"))
-    ordinary = small.where(F.size("xs") > 1).select(F.explode(_within(F.col("xs"))).alias("p")).select("p.a", "p.b")
+    ordinary = _within(small.where(F.size("xs") > 1))
     blocked = _blocked(items.join(big, "record"), chunk)
     return ordinary.unionByName(blocked).groupBy("a", "b").agg(F.count("*").alias("n_ab"))
 
@@ -63,7 +62,8 @@ def pair_counts(items: DataFrame, chunk: int = CHUNK) -> DataFrame:
 def associations(rows: DataFrame, record: Column, items: Column, min_pairs: int = 1, chunk: int = CHUNK) -> DataFrame:
     """(a, b, n_ab, n_a, n_b, n) for pairs in at least ``min_pairs`` records; n is the number of records with any item.
 
-    Empty input gives no rows. Repeated rows and repeated items of a record count once. The number of records comes in as a
+    Empty input gives no rows. With ``min_pairs`` 1 there is a row for every pair that occurs, which is what is asked for: their
+    number grows with the square of the vocabulary, and larger ``min_pairs`` bound it. Repeated rows and repeated items of a record count once. The number of records comes in as a
     scalar subquery, not as a join. Item counts join by shuffle or, below the session's threshold, by broadcast.
     """
     d = staged(distinct_items(rows, record, items), "items")

@@ -26,6 +26,8 @@ _P1_PAIRS = f"""{_ITEMS}
 select a as symbol_a, b as symbol_b, n_ab, sa.k as n_a, sb.k as n_b, round(n_ab::double * n / sa.k / sb.k, 3) as lift
 from pairs, total join singles sa on sa.item = a join singles sb on sb.item = b"""
 
+_P1_ARTICLES = _P1_PAIRS.replace("article, sentence, ", "article, ").replace("article, sentence from items", "article from items").replace("and x.sentence is not distinct from y.sentence ", "") + " where n_ab >= 2"
+
 _P2 = r"""
 with parts as (
   select ord, score, polarity, scored_at, predicate.text as predicate, pair_id, lower(trim(pair_id, E' \t\n\r')) as p,
@@ -64,4 +66,4 @@ _P4_COUNTS = f"{_COUNTS} select clean_genetic_ne, total, records, mark from mark
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": _P1, "p1_pairs": _P1_PAIRS, "p2_found": _P2, "p4_found": _P4, "p4_counts": _P4_COUNTS}
+    return {"p1_found": _P1, "p1_pairs": _P1_PAIRS, "p1_articles": _P1_ARTICLES, "p2_found": _P2, "p4_found": _P4, "p4_counts": _P4_COUNTS}

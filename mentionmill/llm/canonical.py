@@ -1,14 +1,17 @@
 """Freely written values mapped to the closest entry of a reference list; what matches nothing is reported.
 
 The reference names form a symmetric-delete dictionary: every word of every name, less up to two letters, points back to the
-word. It is sent to every task once, behind a check of its size; longer lists go through in blocks whose best candidates are
-compared afterwards. Values are looked up where they lie, without a shuffle, each distinct value once per task.
+word. The list is counted first; up to ``max_names`` names it is sent to every task once, and values are looked up where they lie,
+without a shuffle, each distinct value once per task. A longer list goes through in blocks of about that many names, one at a time
+on the driver, against the distinct values; the words of the whole list that a value holds come from a join, and the best candidates
+of all blocks are compared.
 
 A value is tried in this order, and the first hit ranks it: as written; in canonical form; folded (case, accents, separators,
 Greek letters as words); without separators; as a set of singular American words (any order, "of the" left out); each of these
-without added qualifiers; and last with unknown words corrected. Only words that no name has are corrected, within one edit, or
-two in long words, so a number, a short code or another known word never turns into something else. Candidates rank by weighted
-Damerau-Levenshtein distance, then by the weight of the name's field, how often the list's entry is meant elsewhere, and its id.
+without added qualifiers; and last with unknown words corrected. Only words that no name has are corrected, by as many edits as the
+word of the list allows by its length and ``Rules.max_edits`` in all, so a number, a code or another known word never turns into
+something else. Candidates rank by weighted Damerau-Levenshtein distance, then by the weight of the name's field, how often the
+list's entry is meant elsewhere, and its id.
 """
 
 from __future__ import annotations
@@ -16,7 +19,8 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
+from dataclasses import dataclass, field
 from itertools import product
 
 import pandas as pd
@@ -25,15 +29,11 @@ from pyspark.sql import functions as F
 
 from mentionmill.llm.confusables import canonical
 from mentionmill.session import ship
+from mentionmill.staging import staged
 
 UNMATCHED = "unmatched"
 #: Names in one dictionary: about 3 kB each with all their deletes, so at most some 150 MB per task.
 MAX_NAMES = 50_000
-#: Letters from which a word may be corrected by one edit and by two.
-ONE_EDIT, TWO_EDITS = 4, 8
-#: Texts without a word longer than this are symbols and codes, which are never corrected.
-SHORT = 6
-
 # Greek letters with their English names.
 _GREEK = "α alpha β beta γ gamma δ delta ε epsilon ζ zeta η eta θ theta ι iota κ kappa λ lambda μ mu ν nu ξ xi ο omicron π pi ρ rho σ sigma ς sigma τ tau υ upsilon φ phi χ chi ψ psi ω omega".split()
 GREEK = dict(zip(_GREEK[::2], _GREEK[1::2], strict=True))
@@ -41,18 +41,29 @@ GREEK = dict(zip(_GREEK[::2], _GREEK[1::2], strict=True))
 BRITISH = (("haem", "hem"), ("oedema", "edema"), ("oesoph", "esoph"), ("tumour", "tumor"), ("anaem", "anem"), ("leukaem", "leukem"), ("aemia", "emia"), ("sulph", "sulf"), ("paed", "ped"), ("foet", "fet"))
 # Words that a name may drop or add without meaning something else.
 SMALL_WORDS = frozenset("of the with in a an and".split())
-BEFORE = {
-    "GENETIC": frozenset("mutant wild type wildtype wt anti phospho phosphorylated p human mouse murine rat recombinant total nuclear cleaved endogenous native the".split()),
-    "DISEASE": frozenset("chronic acute severe mild advanced early late the".split()),
-    "CHEMICAL": frozenset("oral free the".split()),
-}
-AFTER = {
-    "GENETIC": frozenset("mrna gene genes protein proteins antibody transcript promoter mutant variant expression locus level levels".split()),
-    "DISEASE": frozenset("nos chronic acute unspecified type".split()),
-    "CHEMICAL": frozenset("oral free base reference grade injection solution tablet".split()),
-}
+
+
+@dataclass(frozen=True)
+class Rules:
+    """What may differ between a value and the name it means.
+
+    ``before`` and ``after`` have, by kind, the words that may be added in front of and behind a name. A word of the list may be met
+    by one edit from ``one_edit`` letters on and by two from ``two_edits`` on, with ``max_edits`` in a whole value. A value whose only
+    word, apart from small words, Greek letters and single letters, has at most ``symbol_letters`` letters is a symbol; words with
+    digits, and words with several capitals that are that short or stand among small letters, are codes. Neither is corrected.
+    """
+
+    before: Mapping[str, frozenset[str]] = field(default_factory=dict)
+    after: Mapping[str, frozenset[str]] = field(default_factory=dict)
+    one_edit: int = 4
+    two_edits: int = 8
+    max_edits: int = 2
+    symbol_letters: int = 6
+
+
 _BRACKET = re.compile(r"\s*[(\[]([^()\[\]]*)[)\]]\s*$")
 _WORD = re.compile(r"[^\W_]+")
+_BARE = frozenset(GREEK.values())
 
 
 def fold(text: str) -> str:
@@ -114,27 +125,35 @@ def distance(a: str, b: str) -> float:
 class Names:
     """The dictionary of one kind: entries are (not usable, field rank, -frequency, id)."""
 
-    def __init__(self, kind: str, names: list[tuple[str, tuple]], known: set[str]):
-        self.kind, self.known = kind, known
+    def __init__(self, kind: str, names: list[tuple[str, tuple]], rules: Rules):
+        self.kind, self.rules = kind, rules
         self.written: dict[str, tuple] = {}
         self.canonical: dict[str, tuple] = {}
         self.folded: dict[str, tuple] = {}
         self.joined: dict[str, tuple] = {}
         self.sets: dict[str, tuple] = {}
-        self.near: dict[str, set[str]] = defaultdict(set)
-        words: set[str] = set()
+        near: dict[str, set[str]] = defaultdict(set)
+        self.known: set[str] = set()
+        self.of_form: dict[str, str] = {}  # a word as a name writes it, and as the dictionary has it
         for name, entry in names:
             f = fold(name)
             s = word_set(f)
             for at, key in ((self.written, name), (self.canonical, canonical(name)), (self.folded, f), (self.joined, f.replace(" ", "")), (self.sets, s)):
                 if key and (key not in at or entry < at[key]):
                     at[key] = entry
-            words.update(s.split())
-        for w in words:
-            if len(w) >= ONE_EDIT - 1 and not any(c.isdigit() for c in w):
-                for x in deletes(w, 2 if len(w) >= TWO_EDITS - 1 else 1):
-                    self.near[x].add(w)
-        self.near = dict(self.near)
+            self.known.update(s.split())
+            for w in map(american, f.split()):
+                if w not in SMALL_WORDS:
+                    self.of_form[w] = self.of_form[singular(w)] = singular(w)
+        for w in self.of_form:
+            if not any(c.isdigit() for c in w):
+                for x in deletes(w, self._allowed(w)):
+                    near[x].add(w)
+        self.near = dict(near)
+
+    def _allowed(self, word: str) -> int:
+        """Edits by which a word of the list may be met."""
+        return min(self.rules.max_edits, 2 if len(word) >= self.rules.two_edits else 1 if len(word) >= self.rules.one_edit else 0)
 
     def exact(self, text: str) -> tuple | None:
         """(rank, entry) of a text that needs no correction."""
@@ -157,7 +176,7 @@ class Names:
             x = x[: m.start()]
             yield x
         w = fold(x).split()
-        before, after = BEFORE.get(self.kind, frozenset()), AFTER.get(self.kind, frozenset())
+        before, after = self.rules.before.get(self.kind, frozenset()), self.rules.after.get(self.kind, frozenset())
         lo, hi = 0, len(w)
         while hi - lo > 1 and w[hi - 1] in after:
             hi -= 1
@@ -166,61 +185,78 @@ class Names:
             lo += 1
             yield " ".join(w[lo:hi])
 
-    def consistent(self, text: str, entry: tuple) -> bool:
+    def consistent(self, text: str, entry: tuple, known: set[str]) -> bool:
         """A bracket with a number in it must itself mean the entry, else it names another thing."""
         m = _BRACKET.search(canonical(text))
         if not m or not any(c.isdigit() for c in m.group(1)):
             return True
-        hit = self.exact(m.group(1)) or self.corrected(m.group(1))
+        hit = self.exact(m.group(1)) or self.corrected(m.group(1), known)
         return hit is not None and hit[-1][-1] == entry[-1]
 
-    def corrected(self, text: str) -> tuple | None:
+    def _codes(self, text: str) -> set[str]:
+        """The folded words of a text that are codes, or all if it is a symbol."""
+        x = canonical(text)
+        short = self.rules.symbol_letters
+        words = fold(x).split()
+        content = [w for w in words if len(w) > 1 and w not in _BARE and w not in SMALL_WORDS]
+        if len(content) == 0 or len(content) == 1 and len(content[0]) <= short:
+            return set(words)
+        small = any(c.islower() for c in x)
+        return {fold(w) for w in _WORD.findall(x) if sum(c.isupper() for c in w) > 1 and (small or len(w) <= short)} | {w for w in words if any(c.isdigit() for c in w)}
+
+    def corrected(self, text: str, known: set[str]) -> tuple | None:
         """(distance, entry) after correcting words that no name has."""
         options: list[list[tuple[float, int, str]]] = []
+        codes = self._codes(text)
         wrong = 0
-        words = fold(text).split()
-        if all(len(w) <= SHORT for w in words):
-            return None  # a symbol or code: another letter means another thing
-        for w in words:
+        for w in fold(text).split():
             if w in SMALL_WORDS:
                 continue
             a = american(w)
             s = singular(a)
-            if s in self.known or len(w) < ONE_EDIT or any(c.isdigit() for c in w):
+            if s in known or w in codes:
                 options.append([(0.0, 0, s)])
                 continue
-            edits = 2 if len(w) >= TWO_EDITS else 1
+            wrong += 1
+            if wrong > self.rules.max_edits:
+                return None  # every wrong word takes an edit
             found: dict[str, tuple[float, int]] = {}
             for form in {w, a, s}:
-                for v in {v for x in deletes(form, edits) for v in self.near.get(x, ())}:
-                    if (k := _edits(form, v)) <= edits:
-                        found[v] = min(found.get(v, (9.0, 9)), (distance(form, v), k))
-            wrong += 1
-            if not found or wrong > 2:
-                return None  # every wrong word takes an edit, and two are all
+                for v in {v for x in deletes(form, self.rules.max_edits) for v in self.near.get(x, ())}:
+                    if (k := _edits(form, v)) <= self._allowed(v):
+                        n = self.of_form[v]
+                        found[n] = min(found.get(n, (9.0, 9)), (distance(form, v), k))
+            if not found:
+                return None
             options.append(sorted((d, k, v) for v, (d, k) in found.items()))
         best = None
         for combo in product(*options):
             d = sum(c[0] for c in combo)
-            if sum(c[1] for c in combo) <= 2 and (e := self.sets.get(" ".join(sorted(c[2] for c in combo)))) and (best is None or (d, e) < best):
+            if sum(c[1] for c in combo) <= self.rules.max_edits and (e := self.sets.get(" ".join(sorted(c[2] for c in combo)))) and (best is None or (d, e) < best):
                 best = d, e
         return best
 
-    def closest(self, text: str) -> tuple | None:
-        """(rank, distance, entry) of the entry that a text means, or nothing."""
+    def closest(self, text: str, known: set[str] | None = None) -> tuple | None:
+        """(rank, distance, entry) of the entry that a text means, or nothing; ``known`` are the words that any name has."""
+        known = self.known if known is None else known
         if not text or not text.strip():
             return None
         if hit := self.exact(text):
             return hit[0], 0.0, hit[1]
         for i, x in enumerate(self.trimmed(text)):
             if hit := self.exact(x):
-                return (5 + i, 0.0, hit[1]) if self.consistent(text, hit[1]) else None
+                return (5 + i, 0.0, hit[1]) if self.consistent(text, hit[1], known) else None
         for i, x in enumerate((text, *self.trimmed(text))):
-            if hit := self.corrected(x):
-                return (50 + i, *hit) if self.consistent(text, hit[1]) else None
+            if hit := self.corrected(x, known):
+                return (50 + i, *hit) if self.consistent(text, hit[1], known) else None
         return None
 
 
+def list_words(text: str) -> set[str]:
+    """The words of a text as the dictionary has them."""
+    return {singular(american(w)) for w in fold(text).split()}
+
+
 def _edits(a: str, b: str) -> int:
     """Unweighted distance, for the bound."""
     d = {(i, j): max(i, j) for i in range(len(a) + 1) for j in range(len(b) + 1) if not i or not j}
@@ -240,11 +276,12 @@ def _look_up(shared, keep: list[str]):
             if len(seen) > 500_000:
                 seen.clear()
             out = []
-            for k in zip(b["kind"], b["text"], strict=True):
-                if k not in seen:
-                    names = by_kind.get(k[0])
-                    seen[k] = names.closest(k[1]) if names and isinstance(k[1], str) else None
-                out.append(seen[k])
+            known = b["known"] if "known" in b else [None] * len(b)
+            for kind, text, words in zip(b["kind"], b["text"], known, strict=True):
+                if (kind, text) not in seen:
+                    names = by_kind.get(kind)
+                    seen[kind, text] = names.closest(text, None if words is None else set(words)) if names and isinstance(text, str) else None
+                out.append(seen[kind, text])
             x = b[keep].copy()
             x["rank"] = pd.array([h[0] if h else None for h in out], dtype="Int32")
             x["distance"] = pd.array([h[1] if h else None for h in out], dtype="Float64")
@@ -257,7 +294,27 @@ def _look_up(shared, keep: list[str]):
     return run
 
 
-def closest_entries(values: DataFrame, key: list[str], names: DataFrame, frequency: DataFrame | None = None, max_names: int = MAX_NAMES) -> DataFrame:
+def _words_of(column: str):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(k, t, w) for k, t in zip(b["kind"], b[column], strict=True) for w in list_words(t)]
+            yield pd.DataFrame(rows, columns=["kind", "of", "word"])
+
+    return run
+
+
+def _texts_with_known_words(values: DataFrame, names: DataFrame) -> DataFrame:
+    """(kind, text, known): each distinct value with those of its words that any name of its kind has."""
+    texts = staged(values.select("kind", "text").where("kind is not null and text is not null").distinct(), "texts")
+    schema = "kind string, of string, word string"
+    vocabulary = names.select("kind", "name").distinct().mapInPandas(_words_of("name"), schema).select("kind", "word").distinct()
+    hits = texts.mapInPandas(_words_of("text"), schema).join(vocabulary, ["kind", "word"])
+    known = hits.groupBy("kind", F.col("of").alias("text")).agg(F.collect_set("word").alias("known"))
+    x = texts.join(known, ["kind", "text"], "left")
+    return staged(x.select("kind", "text", F.coalesce("known", F.array().cast("array<string>")).alias("known")), "known")
+
+
+def closest_entries(values: DataFrame, key: list[str], names: DataFrame, frequency: DataFrame | None = None, rules: Rules = Rules(), max_names: int = MAX_NAMES) -> DataFrame:
     """The columns ``key`` of ``values`` with ``ref_id`` and ``distance``: the entry meant, or ``unmatched`` with null distance.
 
     ``values`` has ``kind`` and ``text`` besides ``key``. ``names`` has ``kind``, ``ref_id``, ``name``, ``field_rank`` and
@@ -270,32 +327,29 @@ def closest_entries(values: DataFrame, key: list[str], names: DataFrame, frequen
     if frequency is not None:
         x = x.join(frequency, "ref_id", "left")
     x = x.select("kind", "name", "ref_id", "field_rank", "blocked", F.coalesce(F.col("n") if frequency is not None else F.lit(None).cast("bigint"), F.lit(0)).alias("n"))
-    kinds: dict[str, list] = defaultdict(list)
-    known: dict[str, set[str]] = defaultdict(set)
-    for r in x.toLocalIterator():
-        kinds[r.kind].append((r.name, (bool(r.blocked), r.field_rank, -r.n, r.ref_id)))
-        known[r.kind].update(word_set(fold(r.name)).split())
-    blocks: list[dict[str, list]] = [defaultdict(list)]
-    size = 0
-    for kind, rows in kinds.items():
-        last = None
-        for row in sorted(rows, key=lambda r: r[1][-1]):
-            if size >= max_names and row[1][-1] != last:  # the names of one entry stay together
-                blocks.append(defaultdict(list))
-                size = 0
-            blocks[-1][kind].append(row)
-            size += 1
-            last = row[1][-1]
-    types = dict(values.dtypes)
-    schema = ", ".join(f"`{k}` {types[k]}" for k in key) + ", rank int, distance double, blocked boolean, field_rank int, minus bigint, ref_id string"
-    found = None
-    for block in blocks:
-        shared = spark.sparkContext.broadcast({kind: Names(kind, rows, known[kind]) for kind, rows in block.items()})
-        f = values.select(*key, "kind", "text").mapInPandas(_look_up(shared, key), schema)
-        found = f if found is None else found.unionByName(f)
-    if len(blocks) > 1:
+    x = staged(x, "names")
+    blocks = -(-x.count() // max_names)  # counted before anything is fetched
+    answer = "rank int, distance double, blocked boolean, field_rank int, minus bigint, ref_id string"
+
+    def looked_up(rows: DataFrame, of: DataFrame, keep: list[str]) -> DataFrame:
+        kinds: dict[str, list] = defaultdict(list)
+        for r in rows.toLocalIterator():
+            kinds[r.kind].append((r.name, (bool(r.blocked), r.field_rank, -r.n, r.ref_id)))
+        shared = spark.sparkContext.broadcast({kind: Names(kind, v, rules) for kind, v in kinds.items()})
+        schema = ", ".join(f"`{k}` {dict(of.dtypes)[k]}" for k in keep)
+        return of.mapInPandas(_look_up(shared, keep), f"{schema}, {answer}")
+
+    if blocks <= 1:
+        found = looked_up(x, values.select(*key, "kind", "text"), key)
+    else:
+        texts = _texts_with_known_words(values, x)
+        each = None
+        for i in range(blocks):  # the names of one entry stay together
+            f = looked_up(x.where(F.pmod(F.xxhash64("kind", "ref_id"), F.lit(blocks)) == i), texts, ["kind", "text"])
+            each = f if each is None else each.unionByName(f)
         order = F.struct("rank", "distance", "blocked", "field_rank", "minus", "ref_id")
-        best = found.groupBy(*key).agg(F.min(F.when(F.col("rank").isNotNull(), order)).alias("b"))
-        found = best.select(*key, "b.*")
+        best = each.groupBy("kind", "text").agg(F.min(F.when(F.col("rank").isNotNull(), order)).alias("b"))
+        v = values.select(F.struct(*key).alias("_key"), "kind", "text")
+        found = v.join(best, ["kind", "text"], "left").select("_key.*", "b.*")
     hit = F.col("ref_id").isNotNull() & ~F.col("blocked")
-    return found.select(*key, F.when(hit, F.col("ref_id")).otherwise(UNMATCHED).alias("ref_id"), F.when(hit, F.col("distance")).alias("distance"))
+    return found.select(*[F.col(f"`{k}`") for k in key], F.when(hit, F.col("ref_id")).otherwise(UNMATCHED).alias("ref_id"), F.when(hit, F.col("distance")).alias("distance"))

@@ -18,22 +18,31 @@ def article(c: str = "pmid"):
     return F.substring_index(F.col(c), ".", 1)
 
 
-def _gene_pairs(spark: SparkSession, d: str, min_pairs: int) -> DataFrame:
+def _gene_pairs(spark: SparkSession, d: str, min_pairs: int, *record: str) -> DataFrame:
     t = table(spark, d, NORMALIZED)
     both = F.concat(F.coalesce("subject.hgnc_symbol", F.array()), F.coalesce("object.hgnc_symbol", F.array()))
     symbols = F.transform(F.split(F.array_join(both, "|"), r"\|"), lambda x: F.trim(x))
-    return cooccurrence.associations(t, cooccurrence.record_key(article(), F.col("sentence")), symbols, min_pairs)
+    return cooccurrence.associations(t, cooccurrence.record_key(article(), *map(F.col, record)), symbols, min_pairs)
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    x = _gene_pairs(spark, d, 5).where(cooccurrence.exceeds_chance(8))
+    x = _gene_pairs(spark, d, 5, "sentence").where(cooccurrence.exceeds_chance(8))
     return x.select(F.col("a").alias("symbol_a"), F.col("b").alias("symbol_b"))
 
 
-def p1_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Every pair with its counts and the ratio to chance."""
+def _report(pairs: DataFrame) -> DataFrame:
     ratio = F.col("n_ab").cast("double") * F.col("n") / F.col("n_a") / F.col("n_b")
-    return _gene_pairs(spark, d, 1).select(F.col("a").alias("symbol_a"), F.col("b").alias("symbol_b"), "n_ab", "n_a", "n_b", F.round(ratio, 3).alias("lift"))
+    return pairs.select(F.col("a").alias("symbol_a"), F.col("b").alias("symbol_b"), "n_ab", "n_a", "n_b", F.round(ratio, 3).alias("lift"))
+
+
+def p1_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Every pair of a sentence with its counts and the ratio to chance."""
+    return _report(_gene_pairs(spark, d, 1, "sentence"))
+
+
+def p1_articles(spark: SparkSession, d: str) -> DataFrame:
+    """The same with whole articles as records, for pairs in at least two: baskets of many genes, the largest in blocks."""
+    return _report(_gene_pairs(spark, d, 2))
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -48,6 +57,21 @@ def _listed_names(spark: SparkSession, d: str) -> DataFrame:
     return live.unionByName(listed.term_names(obo.where(dead), deprecated=True).withColumn("blocked", F.lit(True)))
 
 
+# What is added to the names of these tables without meaning another thing.
+QUALIFIERS = canonical.Rules(
+    before={
+        "GENETIC": frozenset("mutant wild type wildtype wt anti phospho phosphorylated p human mouse murine rat recombinant total nuclear cleaved endogenous native the".split()),
+        "DISEASE": frozenset("chronic acute severe mild advanced early late the".split()),
+        "CHEMICAL": frozenset("oral free the".split()),
+    },
+    after={
+        "GENETIC": frozenset("mrna gene genes protein proteins antibody transcript promoter mutant variant expression locus level levels".split()),
+        "DISEASE": frozenset("nos chronic acute unspecified type".split()),
+        "CHEMICAL": frozenset("oral free base reference grade injection solution tablet".split()),
+    },
+)
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, NORMALIZED)
     own = lambda n: F.when(F.col(f"{n}.type") == "GENETIC", F.col(f"{n}.hgnc_symbol")).when(F.col(f"{n}.type") == "DISEASE", F.col(f"{n}.mondo_label")).when(F.col(f"{n}.type") == "CHEMICAL", F.col(f"{n}.chebi_label"))
@@ -58,7 +82,7 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     meant = ends.select("kind", F.explode("labels").alias("label")).groupBy("kind", "label").agg(F.count("*").alias("n"))
     frequency = meant.join(main, ["kind", "label"]).groupBy("ref_id").agg(F.sum("n").alias("n"))
     open_ends = ends.where(F.coalesce(F.size("labels"), F.lit(0)) < 1)
-    return canonical.closest_entries(open_ends, ["ord", "role"], names, frequency).select("ord", "role", "ref_id")
+    return canonical.closest_entries(open_ends, ["ord", "role"], names, frequency, QUALIFIERS).select("ord", "role", "ref_id")
 
 
 def _surface_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -110,4 +134,4 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_pairs, p2_found, p3_found, p4_found, p4_counts, p6_found, p7_found, p7_scrubbed, p8_mix, p8_shares, p9_found)}
+    return {f.__name__: f for f in (p1_found, p1_pairs, p1_articles, p2_found, p3_found, p4_found, p4_counts, p6_found, p7_found, p7_scrubbed, p8_mix, p8_shares, p9_found)}

@@ -4,6 +4,7 @@ from mentionmill.llm import canonical as M
 from mentionmill.llm import confusables as U
 from mentionmill.llm import leakage as L
 from mentionmill.llm import sentences as S
+from mentionmill.llm.queries import QUALIFIERS
 
 
 @pytest.mark.parametrize(
@@ -67,6 +68,7 @@ def test_looks_like_an_unstable_listed_name(spark):
 NAMES = [
     ("GENETIC", "H1", "TMTC1", 0, False), ("GENETIC", "H1", "tumotcein receptor 1", 3, False), ("GENETIC", "H1", "TMTC-α", 1, False), ("GENETIC", "H2", "TMTC2", 0, False), ("GENETIC", "H2", "tumotcein ligase 1", 3, False),
     ("DISEASE", "M1", "Monfüni disease", 0, False), ("DISEASE", "M2", "wartokroic liver fibrosis", 0, False), ("DISEASE", "M3", "nuvmeseic pancreas edema", 0, False), ("DISEASE", "M4", "oldmonic skin edema", 0, True),
+    ("DISEASE", "M5", "breast cancer", 0, False), ("DISEASE", "M6", "lung cancer", 0, False), ("GENETIC", "H3", "breast", 0, False), ("GENETIC", "H3", "TMTC-A", 1, False), ("CHEMICAL", "C4", "diplatin", 0, False),
     ("CHEMICAL", "C1", "lalfastivoxin", 0, False), ("CHEMICAL", "C2", "GV-7850", 1, False), ("CHEMICAL", "C3", "bixlor sulfate", 0, False),
 ]
 MEANT = [
@@ -76,7 +78,8 @@ MEANT = [
     ("DISEASE", "Monfuni disese", "M1"), ("DISEASE", "Monfüni diseases", "M1"), ("DISEASE", "fibrosis of the liver, wartokroic", "M2"), ("DISEASE", "wartokroic lung fibrosis", None), ("DISEASE", "nuvmeseic pancreas oedema (NOS)", "M3"),
     ("DISEASE", "oldmonic skin edema", None), ("DISEASE", "oldmonic skin edma", None), ("DISEASE", "TMTC1", None),
     ("CHEMICAL", "lalfasitvoxin", "C1"), ("CHEMICAL", "GV 7850", "C2"), ("CHEMICAL", "GV-7851", None), ("CHEMICAL", "lalfastivoxin (oral)", "C1"), ("CHEMICAL", "bixlor", None), ("CHEMICAL", "bixlor sulphate", "C3"),
-    ("CHEMICAL", None, None), ("CHEMICAL", "", None), (None, "TMTC1", None), ("CHEMICAL", "x" * 50_000, None),
+    ("DISEASE", "brest cancer", "M5"), ("DISEASE", "lugn cancer", "M6"), ("DISEASE", "Lung Cancr", "M6"), ("DISEASE", "brest cncer", "M5"), ("DISEASE", "brst cncer", None), ("GENETIC", "brust", None), ("GENETIC", "TMTB-A", None), ("GENETIC", "tmtb a", None),
+    ("CHEMICAL", "lalfstivxin", "C1"), ("CHEMICAL", "dplatin", "C4"), ("CHEMICAL", None, None), ("CHEMICAL", "", None), (None, "TMTC1", None), ("CHEMICAL", "x" * 50_000, None),
 ]
 
 
@@ -84,7 +87,7 @@ MEANT = [
 def test_closest_entries(spark, block):
     names = spark.createDataFrame([(k, i, n, f, b) for k, i, n, f, b in NAMES], "kind string, ref_id string, name string, field_rank int, blocked boolean")
     values = spark.createDataFrame([(i, k, t, "clash") for i, (k, t, _) in enumerate(MEANT)], "id int, kind string, text string, name string")
-    got = {r.id: r.ref_id for r in M.closest_entries(values, ["id"], names, max_names=block).collect()}
+    got = {r.id: r.ref_id for r in M.closest_entries(values, ["id"], names, rules=QUALIFIERS, max_names=block).collect()}
     assert got == {i: e or M.UNMATCHED for i, (_, _, e) in enumerate(MEANT)}
 
 
@@ -134,7 +137,22 @@ def test_blocks_of_items_give_the_same(spark, monkeypatch):
     want = [(i, i) for i in range(6)]
     assert _leaks(spark, docs, items) == want
     monkeypatch.setattr(L, "MAX_UNITS", 100)
+    monkeypatch.setattr(L, "HELD", 2)
     assert _leaks(spark, docs, items) == want
+    d = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    of = lambda: L.leaks(d, "doc_id", "text", spark.createDataFrame(items, "item_id long, lang string, text string"), "item_id", "lang", "text")
+    passes = lambda: of()._jdf.queryExecution().executedPlan().toString().count("MapInPandas")
+    assert passes() == 1  # many blocks, one pass
+    monkeypatch.setattr(L, "MAX_SCAN", 250)
+    assert _leaks(spark, docs, items) == want and passes() > 1
+
+
+def test_what_cannot_be_seen_breaks_no_run(spark):
+    w = ITEM.split()
+    docs = [" ".join(w[:6]) + x + " ".join(w[6:]) for x in (" _ ", "\n___\n", " \u200b ", "_", " \u0301 ", " \u00ad\u2060 ")] + ["_".join(w), " ".join(k[:2] + "\u200d" + k[2:] for k in w)]
+    assert _leaks(spark, docs) == [(i, 1) for i in range(len(docs))]
+    hindi = "यह एक लंबा वाक्य है जिसमें बारह से अधिक शब्द हैं और कुछ नहीं"
+    assert _leaks(spark, [hindi, " ".join(hindi.split()[:11])], [(5, "hi", hindi)]) == [(0, 5)]
 
 
 def test_leaks_equal_ngram_brute_force(spark, sf):
@@ -157,9 +175,10 @@ def test_leaks_equal_ngram_brute_force(spark, sf):
     assert got == want and got
 
 
-@pytest.mark.parametrize("block", [60, 500_000])
-def test_scrubbed(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "scan"), [(60, 60), (60, 10_000), (200_000, 8_000_000)])
+def test_scrubbed(spark, monkeypatch, block, scan):
     monkeypatch.setattr(L, "MAX_UNITS", block)
+    monkeypatch.setattr(L, "MAX_SCAN", scan)
     d = spark.createDataFrame([(1, "keep this. " + ITEM + " and this, which is a good deal longer than what goes, so that it stays, indeed it does", 1), (2, ITEM, 1), (3, "clean", 1), (4, None, 1), (5, ZH[:30] + "。" + "水" * 100, 1)], "doc_id long, text string, runs int")
     items = spark.createDataFrame([(1, "en", ITEM), (2, "en", ITEM), (3, "zh", ZH)], "item_id long, lang string, text string")
     got = {r.doc_id: (r.removed, r.clean, r.dropped) for r in L.scrubbed(d, "doc_id", "text", items, "item_id", "lang", "text").collect()}

@@ -252,6 +252,73 @@ def test_thai_gaps_next_to_names_and_numbers(parts):
     assert [text[a:b] for a, b in S.split(text)] == parts
 
 
+@pytest.mark.parametrize(
+    "parts",
+    [
+        ["The value at 5 MM.", "Then we left."], ["MM. Dupont et Durand sont venus."], ["He lives in the U.S. Army base."], ["They moved to the U.S.", "Nobody followed."],
+        ["Plan B.", "Then go."], ["J. R. Hartley wrote it.", "It sold well."], ["We met Prof. Ng, M.D., at noon.", "She nodded."], ["Is it true?", "yes, it is.", "Good!"],
+        ["Version 2.1.3 is out.", "Update now."], ["He asked \"Why?\" and left.", "(No one knew.)", "So it goes."], ["Costs rose by $3.5 million, approx. 4 %.", "Wages fell."], ["1. Mix.", "2. Stir."],
+        ["Er kam am 3. Mai um 5 Uhr.", "Wir gingen."], ["Voir p. 12 et fig. 3.", "C'est clair."], ["¿Qué hora es?", "Son las 3 p. m. en punto."],
+    ],
+)
+def test_sentences_of_other_phrasing(parts):
+    text = "\n".join(parts) if parts[0] == "1. Mix." else " ".join(parts)
+    assert [text[a:b] for a, b in S.split(text)] == parts
+
+
+@pytest.mark.parametrize(
+    "parts",
+    [
+        ["これはペンです", "それは本です"], ["我们昨天到了", "他们今天走了"], ["昨日は雨だった", "しかし 今日は晴れです"], ["ฉันไปตลาดแล้ว", "เราซื้อผลไม้มาก"], ["เขาบอกว่า ไม่มีเวลา"],
+        ["ខ្ញុំទៅផ្សារហើយ", "គាត់នៅផ្ទះ"], ["ខ្ញុំទៅផ្សារ។", "គាត់នៅផ្ទះ។"], ["ຂ້ອຍກິນເຂົ້າແລ້ວ", "ເຂົາໄປຕະຫຼາດ"], ["သူသွားသည်။", "ကျွန်တော်လာသည်။"], ["သူသွားသည်", "ကျွန်တော်လာသည်"], ["研究结果 和 方法"],
+    ],
+)
+def test_gaps_of_scripts_without_blanks(parts):
+    text = " ".join(parts)
+    assert [text[a:b] for a, b in S.split(text)] == parts
+
+
+def test_a_dictionary_given():
+    more = S._with_words(["ตลาดน้ำ", "ペン"])
+    assert more["thai"].cut("ไปตลาดน้ำ") == ("ไป", "ตลาดน้ำ") and "ペン" in more["han"].words and "ペン" not in more["thai"].words
+
+
+def test_best_path_is_the_best_of_all_paths():
+    import random
+
+    rng = random.Random(5)
+    for _ in range(300):
+        at = sorted(rng.sample(range(1, 60), rng.randint(1, 7)))
+        nodes = [(p, p, p + rng.randint(0, 4), rng.uniform(-3, 3), [(rng.randint(0, p), rng.uniform(-4, 4)) for _ in range(rng.randint(0, 2))]) for p in at]
+        top = 0
+        nodes = [(p, e, top := max(top, n), g, x) for p, e, n, g, x in nodes] + [(70, 70, 70, 0.0, [])]
+
+        def worth(chosen):
+            start, total = 0, 0.0
+            for k in chosen:
+                p, _, n, g, x = nodes[k]
+                if p < start:
+                    return -1e9
+                total += g + sum(d for q, d in x if start >= q)
+                start = n
+            return total
+
+        last = len(nodes) - 1
+        best = max((worth([k for k in range(last) if bits >> k & 1] + [last]) for bits in range(1 << last)))
+        ends = [e for _, e in S.best_path(nodes, 0)]
+        place = {n[1]: k for k, n in enumerate(nodes)}
+        assert worth([place[e] for e in ends]) == pytest.approx(best)
+
+
+def test_long_blocks_take_linear_time():
+    import time
+
+    start = time.time()
+    for text in ("Mr. X (a. b) said. " * 20_000, "การ ยา " * 20_000, ". " * 60_000, "a." * 50_000, "「あ。」と。" * 20_000, "1. x\n" * 20_000):
+        S.split(text)
+    assert time.time() - start < 60
+
+
 def test_lines_headings_and_lists():
     text = "Main findings\n\nThe effect\nwas\nlost.The next held.\n\n1. Wash it.\n2. Add 3 mL\nof it.\n"
     assert [text[a:b] for a, b in S.split(text)] == ["Main findings", "The effect\nwas\nlost.", "The next held.", "1. Wash it.", "2. Add 3 mL\nof it."]

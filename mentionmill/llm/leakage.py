@@ -37,22 +37,23 @@ MAX_SCAN = 8_000_000
 UNKNOWN, NOTHING = -1, -2
 
 
-def _ranges(test) -> str:
+def _ranges(test, upto: int) -> str:
     """The characters that pass a test, as ranges of a pattern's class."""
     out, start = [], None
-    for o in (*range(0x80, 0x20000), *range(0xE0000, 0xE01F1)):
-        if test(chr(o)) and start is None:
+    for o in range(upto + 1):
+        passes = o < upto and test(chr(o))
+        if passes and start is None:
             start = o
-        elif start is not None and not test(chr(o)):
-            out.append(f"\\U{start:08x}-\\U{o - 1:08x}")
+        elif start is not None and not passes:
+            out.append(f"\\u{start:04x}-\\u{o - 1:04x}")
             start = None
     return "".join(out)
 
 
-_INNER = _ranges(lambda c: unicodedata.category(c) in ("Mn", "Mc", "Me", "Cf"))  # marks and what cannot be seen belong to a word
-_W = rf"(?:[^\W_]+|[{_INNER}]+)+"
-_TOKEN = re.compile(rf"{_W}(?:[\-\u2010\u2011\u00ad][ \t\r]*\n\s*{_W})*")
-_PART = re.compile(_W)
+# letters, numbers, marks and what cannot be seen; one class without categories, which the engine looks up in a table
+_W = "[" + _ranges(lambda c: c.isalnum() or unicodedata.category(c) in ("Mn", "Mc", "Me", "Cf"), 0x10000) + "\U00010000-\U0001efff\U00020000-\U0003ffff\U000e0000-\U000e01ef]"
+_TOKEN = re.compile(rf"{_W}+(?:[\-\u2010\u2011\u00ad][ \t\r]*\n\s*{_W}+)*")
+_PART = re.compile(rf"{_W}+")
 _BROKEN = re.compile(r"[\-\u2010\u2011\u00ad][ \t\r]*\n\s*")
 _HAN = re.compile(r"[\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
@@ -287,9 +288,10 @@ class Finder:
 
     def found(self, text: str) -> list[tuple[int, int, int, int]]:
         """(item, units, start, end) of every shared run of a text."""
-        ids, starts, ends = words(text, self.number)
         out = []
-        if self.full in bytes([k >= 0 for k in ids]):
+        # whether enough known words follow each other needs no places; words broken over line ends are only settled with them
+        if _BROKEN.search(text) or self.full in bytes([k != UNKNOWN for k in map(self.number, _TOKEN.findall(text)) if k != NOTHING]):
+            ids, starts, ends = words(text, self.number)
             out += [(i, q - p, starts[p], ends[q - 1]) for i, p, q in self._runs("words", ids)]
         if len(_HAN.findall(text)) >= self.a["least"]:
             flat, at = letters(text, self.of)

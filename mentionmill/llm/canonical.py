@@ -21,6 +21,7 @@ import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
+from functools import lru_cache
 from itertools import product
 
 import pandas as pd
@@ -66,6 +67,7 @@ _WORD = re.compile(r"[^\W_]+")
 _BARE = frozenset(GREEK.values())
 
 
+@lru_cache(10_000)
 def fold(text: str) -> str:
     """Words of the canonical form in lower case, without accents, Greek letters spelled out."""
     x = "".join(f" {GREEK[c]} " if c in GREEK else c for c in canonical(text).lower())
@@ -147,13 +149,13 @@ class Names:
                     self.of_form[w] = self.of_form[singular(w)] = singular(w)
         for w in self.of_form:
             if not any(c.isdigit() for c in w):
-                for x in deletes(w, self._allowed(w)):
+                for x in deletes(w, self._allowed(len(w))):
                     near[x].add(w)
         self.near = dict(near)
 
-    def _allowed(self, word: str) -> int:
-        """Edits by which a word of the list may be met."""
-        return min(self.rules.max_edits, 2 if len(word) >= self.rules.two_edits else 1 if len(word) >= self.rules.one_edit else 0)
+    def _allowed(self, letters: int) -> int:
+        """Edits by which a word of the list with so many letters may be met."""
+        return min(self.rules.max_edits, 2 if letters >= self.rules.two_edits else 1 if letters >= self.rules.one_edit else 0)
 
     def exact(self, text: str) -> tuple | None:
         """(rank, entry) of a text that needs no correction."""
@@ -222,8 +224,9 @@ class Names:
                 return None  # every wrong word takes an edit
             found: dict[str, tuple[float, int]] = {}
             for form in {w, a, s}:
-                for v in {v for x in deletes(form, self.rules.max_edits) for v in self.near.get(x, ())}:
-                    if (k := _edits(form, v)) <= self._allowed(v):
+                most = self._allowed(len(form) + self.rules.max_edits)  # no word met by two edits is longer
+                for v in {v for x in deletes(form, most) for v in self.near.get(x, ())}:
+                    if abs(len(form) - len(v)) <= (allowed := self._allowed(len(v))) and (k := _edits(form, v)) <= allowed:
                         n = self.of_form[v]
                         found[n] = min(found.get(n, (9.0, 9)), (distance(form, v), k))
             if not found:
@@ -259,13 +262,17 @@ def list_words(text: str) -> set[str]:
 
 def _edits(a: str, b: str) -> int:
     """Unweighted distance, for the bound."""
-    d = {(i, j): max(i, j) for i in range(len(a) + 1) for j in range(len(b) + 1) if not i or not j}
-    for i in range(1, len(a) + 1):
-        for j in range(1, len(b) + 1):
-            d[i, j] = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (a[i - 1] != b[j - 1]))
-            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
-                d[i, j] = min(d[i, j], d[i - 2, j - 2] + 1)
-    return d[len(a), len(b)]
+    two: list[int] = []
+    one = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row = [i]
+        for j, y in enumerate(b, 1):
+            k = min(one[j] + 1, row[j - 1] + 1, one[j - 1] + (x != y))
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                k = min(k, two[j - 2] + 1)
+            row.append(k)
+        two, one = one, row
+    return one[-1]
 
 
 def _look_up(shared, keep: list[str]):

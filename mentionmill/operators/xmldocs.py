@@ -1,12 +1,17 @@
-"""Paragraphs of article XML in two schemes, by a parser that takes undefined entities and unclosed tags as they come.
+"""Paragraphs of article XML in two schemes, in one pass over the parser's events.
 
-The parser is the standard library's event parser; records it cannot make sense of give no paragraphs, never a failed task.
+A tolerant event parser takes undefined entities and unclosed tags as they come. All text goes into one buffer; an element that is
+wanted only notes where in it it begins and ends. What an element means follows from counts and places kept for the open elements
+(abstracts, the outermost section, what stands apart from running text), so there is no tree, no walk to ancestors and no bound on
+depth. Records it cannot make sense of give no paragraphs, never a failed task.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -17,156 +22,193 @@ from mentionmill.session import ship
 
 _BLANK = re.compile(r"\s+")
 _PARTS = re.compile(r"\s*(?:\band\b|&|/|\+|\||,)\s*")
-#: What is no running text of its section in either scheme.
-APART = {"jats": {"fig", "table-wrap", "table", "table-wrap-foot", "fn", "caption"}, "tei": {"figure"}}
-MAX_DEPTH = 2000
-
-
-class _Node:
-    __slots__ = ("children", "kind", "name", "parent")
-
-    def __init__(self, name: str, attributes: dict, parent: _Node | None):
-        self.name, self.kind, self.parent, self.children = name, attributes, parent, []
-
-    def walk(self) -> Iterator[_Node]:
-        stack = [self]
-        while stack:
-            n = stack.pop()
-            yield n
-            stack += [c for c in reversed(n.children) if isinstance(c, _Node)]
-
-    def text(self) -> str:
-        out, stack = [], [self]
-        while stack:
-            n = stack.pop()
-            if isinstance(n, str):
-                out.append(n)
-            else:
-                stack += reversed(n.children)
-        return _BLANK.sub(" ", "".join(out)).strip()
-
-    def child(self, name: str) -> _Node | None:
-        return next((c for c in self.children if isinstance(c, _Node) and c.name == name), None)
-
-    def label(self, name: str) -> str:
-        c = self.child(name)
-        return c.text() if c else ""
-
-    def within(self, names: set[str], stop: _Node | None = None) -> bool:
-        n = self.parent
-        while n is not None and n is not stop:
-            if n.name in names:
-                return True
-            n = n.parent
-        return False
-
-
-class _Tree(HTMLParser):
+_SECTION_TAG = {"jats": re.compile(r"<(?:[\w.-]+:)?sec[\s/>]", re.I), "tei": re.compile(r"<(?:[\w.-]+:)?div[\s/>]", re.I)}
+
+
+@dataclass(frozen=True)
+class Scheme:
+    """The element names of a scheme, and what is no running text of its section."""
+
+    name: str
+    section: str
+    title: str
+    kind: str
+    apart: frozenset[str]
+    floats: frozenset[str]
+
+
+JATS = Scheme("jats", "sec", "title", "sec-type", frozenset({"fig", "table-wrap", "table", "table-wrap-foot", "fn", "caption"}), frozenset({"fig", "table-wrap"}))
+TEI = Scheme("tei", "div", "head", "type", frozenset({"figure"}), frozenset({"figure"}))
+
+
+def canonical_type(value: str | None) -> str:
+    """A section's type in one form: lower case, parts sorted and joined by a bar."""
+    v = (value or "").strip().lower().replace("-", " ").replace("_", " ")
+    parts = [_BLANK.sub(" ", p).strip() for p in _PARTS.sub("|", v).split("|")]
+    return "|".join(sorted(p for p in parts if p))
+
+
+@dataclass(slots=True)
+class _Span:
+    """A stretch of the text buffer."""
+
+    start: int
+    end: int = -1
+
+
+@dataclass(slots=True)
+class _Open:
+    """An open element: its name, what it waits for among its children, and what it holds so far."""
+
+    name: str
+    attributes: dict[str, str]
+    span: _Span
+    children: dict[str, _Span] = field(default_factory=dict)
+    waits: tuple[str, ...] = ()
+    inner: list[_Span] = field(default_factory=list)  # paragraphs of a block, heads or first row of a table
+
+
+class _Events(HTMLParser):
     """Names lose prefix and case; a closing tag closes up to its opener, and is passed over where there is none."""
 
     CDATA_CONTENT_ELEMENTS = ()
 
-    def __init__(self):
+    def __init__(self, xml: str):
         super().__init__(convert_charrefs=True)
-        self.root = self.at = _Node("", {}, None)
-        self.depth = 0
+        self.xml = xml
+        self.scheme: Scheme | None = None
+        self.started = False
+        self.text: list[str] = []
+        self.stack: list[_Open] = []
+        self.named: Counter[str] = Counter()
+        self.apart: list[int] = []  # depths of open elements that stand apart
+        self.blocks: list[tuple[int, _Open]] = []  # open abstracts and the outermost open section, with their depths
+        self.in_section = False
+        self.in_float: list[_Open] = []
+        self.found: dict[str, list] = {"abstract": [], "section": [], "loose": [], "float": []}
+        self.feed(xml)
+        self.close()
+        while self.stack:
+            self._end()
+
+    def _choose(self, root: str) -> Scheme | None:
+        if root == "tei":
+            return TEI
+        if root in ("pmc-articleset", "article") or _SECTION_TAG["jats"].search(self.xml):
+            return JATS
+        return TEI if _SECTION_TAG["tei"].search(self.xml) else None
 
     def handle_starttag(self, tag, attrs):
-        if self.depth >= MAX_DEPTH:
+        name = tag.rpartition(":")[2]
+        if not self.started:
+            self.started, self.scheme = True, self._choose(name)
+        s = self.scheme
+        if s is None:
             return
-        n = _Node(tag.rpartition(":")[2], {k.rpartition(":")[2]: v or "" for k, v in attrs}, self.at)
-        self.at.children.append(n)
-        self.at = n
-        self.depth += 1
+        me = _Open(name, {k.rpartition(":")[2]: v or "" for k, v in attrs}, _Span(len(self.text)))
+        up = self.stack[-1] if self.stack else None
+        depth = len(self.stack)
+        if up is not None and name in up.waits and name not in up.children:
+            up.children[name] = me.span
+        if name in s.apart:
+            self.apart.append(depth)
+        if name == "abstract":
+            me.waits = (s.title,)
+            self.blocks.append((depth, me))
+            self.found["abstract"].append(me)
+        elif name == s.section and not self.in_section and not self.named["abstract"]:
+            me.waits = (s.title,)
+            self.in_section = True
+            self.blocks.append((depth, me))
+            self.found["section"].append(me)
+        elif name in s.floats:
+            me.waits = ("label", "caption") if s is JATS else ("head", "figdesc", "table")
+            self.in_float.append(me)
+            self.found["float"].append(me)
+        elif name == "p":
+            if up is not None and up.name == "body":
+                self.found["loose"].append(me.span)
+            last = self.apart[-1] if self.apart else -1
+            for at, block in self.blocks:
+                if last < at:
+                    block.inner.append(me.span)
+        elif name == "thead" and s is JATS:
+            for f in self.in_float:
+                if f.name == "table-wrap":
+                    f.inner.append(me.span)
+        elif name == "row" and s is TEI:
+            for f in self.in_float:
+                grid = f.children.get("table")
+                if grid is not None and grid.end < 0 and not f.inner:
+                    f.inner.append(me.span)
+        self.stack.append(me)
+        self.named[name] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        name, n, up = tag.rpartition(":")[2], self.at, 0
-        while n.parent is not None and n.name != name:
-            n, up = n.parent, up + 1
-        if n.parent is not None:
-            self.at = n.parent
-            self.depth -= up + 1
+        name = tag.rpartition(":")[2]
+        if self.named[name]:
+            while self._end() != name:
+                pass
+
+    def _end(self) -> str:
+        me = self.stack.pop()
+        me.span.end = len(self.text)
+        self.named[me.name] -= 1
+        depth = len(self.stack)
+        if self.apart and self.apart[-1] == depth:
+            self.apart.pop()
+        if self.blocks and self.blocks[-1][0] == depth:
+            _, block = self.blocks.pop()
+            self.in_section = self.in_section and block.name == "abstract"
+        if self.in_float and self.in_float[-1] is me:
+            self.in_float.pop()
+        return me.name
 
     def handle_data(self, data):
-        self.at.children.append(data)
-
+        if self.stack:
+            self.text.append(data)
 
-def canonical_type(value: str | None) -> str:
-    """A section's type in one form: lower case, parts sorted and joined by a bar."""
-    v = (value or "").strip().lower().replace("-", " ").replace("_", " ")
-    parts = [_BLANK.sub(" ", p).strip() for p in _PARTS.sub("|", v).split("|")]
-    return "|".join(sorted(p for p in parts if p))
+    def read(self, s: _Span | None) -> str:
+        return "" if s is None else _BLANK.sub(" ", "".join(self.text[s.start : s.end])).strip()
 
 
-def _outermost(nodes: list[_Node]) -> list[_Node]:
-    chosen = {id(n) for n in nodes}
-
-    def nested(n: _Node) -> bool:
-        p = n.parent
-        while p is not None:
-            if id(p) in chosen:
-                return True
-            p = p.parent
-        return False
-
-    return [n for n in nodes if not nested(n)]
-
-
-def _figures(nodes: list[_Node], scheme: str) -> Iterator[tuple[str, str, str]]:
-    for n in nodes:
-        if scheme == "jats" and n.name in ("fig", "table-wrap"):
-            kind, default = ("figure-legend", "Figure") if n.name == "fig" else ("table-heading", "Table")
-            label = n.label("label")
-            whole = " ".join(t for t in (label, n.label("caption")) if t)
-            if whole:
-                yield kind, label or default, whole
-            if n.name == "table-wrap":
-                for head in n.walk():
-                    if head.name == "thead" and (t := head.text()):
-                        yield kind, label or default, t
-        elif scheme == "tei" and n.name == "figure":
-            table = n.kind.get("type", "").strip().lower() == "table"
-            kind, default = ("table-heading", "Table") if table else ("figure-legend", "Figure")
-            label = n.label("head")
-            whole = " ".join(t for t in (label, n.label("figdesc")) if t) or ("" if table else n.text())
-            if whole:
-                yield kind, label or default, whole
-            if table and (grid := n.child("table")) and (row := next((r for r in grid.walk() if r.name == "row"), None)) and row.text():
-                yield kind, label or default, row.text()
+def _float(x: _Events, f: _Open) -> Iterator[tuple[str, str, str]]:
+    """Rows of a figure or table: its heading with its legend, then the heads of its columns."""
+    of = lambda c: x.read(f.children.get(c))
+    jats = x.scheme is JATS
+    table = f.name == "table-wrap" if jats else f.attributes.get("type", "").strip().lower() == "table"
+    kind, name = ("table-heading", "Table") if table else ("figure-legend", "Figure")
+    label, legend = (of("label"), of("caption")) if jats else (of("head"), of("figdesc"))
+    whole = " ".join(filter(None, (label, legend))) or ("" if jats or table else x.read(f.span))
+    if whole:
+        yield kind, label or name, whole
+    if table:
+        yield from ((kind, label or name, t) for t in map(x.read, f.inner) if t)
 
 
 def paragraphs(xml: str) -> tuple[str, list[tuple[str, str, str]]]:
     """(scheme, [(section type, section title, text)]): abstract, outermost sections, loose body text, then figures and tables."""
-    tree = _Tree()
-    tree.feed(xml)
-    tree.close()
-    nodes = list(tree.root.walk())
-    names = {n.name for n in nodes}
-    top = next((c.name for c in tree.root.children if isinstance(c, _Node)), "")
-    scheme = "tei" if top == "tei" else "jats" if top in ("pmc-articleset", "article") or "sec" in names else "tei" if "div" in names else "unknown"
-    if scheme == "unknown":
-        return scheme, []
-    section, title = ("sec", "title") if scheme == "jats" else ("div", "head")
-    apart = APART[scheme]
+    x = _Events(xml)
+    s = x.scheme
+    if s is None:
+        return "unknown", []
     out: list[tuple[str, str, str]] = []
-
-    def take(block: _Node, kind: str, name: str) -> None:
-        out.extend((kind, name, t) for p in block.walk() if p.name == "p" and not p.within(apart, block.parent) and (t := p.text()))
-
-    for a in (n for n in nodes if n.name == "abstract"):
-        kind = a.kind.get("abstract-type", "").strip() if scheme == "jats" else ""
-        take(a, "abstract", a.label(title) or (f"Abstract ({kind})" if kind else "Abstract"))
-    for s in _outermost([n for n in nodes if n.name == section and not n.within({"abstract"})]):
-        name = s.label(title)
-        kind = canonical_type(s.kind.get("sec-type" if scheme == "jats" else "type")) or canonical_type(name) or "(untitled)"
-        take(s, kind, name or kind)
-    out += [("(body)", "Body", t) for p in nodes if p.name == "p" and p.parent is not None and p.parent.name == "body" and (t := p.text())]
-    out += _figures(nodes, scheme)
-    return scheme, out
+    for a in x.found["abstract"]:
+        kind = a.attributes.get("abstract-type", "").strip() if s is JATS else ""
+        title = x.read(a.children.get(s.title)) or (f"Abstract ({kind})" if kind else "Abstract")
+        out += [("abstract", title, t) for t in map(x.read, a.inner) if t]
+    for b in x.found["section"]:
+        title = x.read(b.children.get(s.title))
+        kind = canonical_type(b.attributes.get(s.kind)) or canonical_type(title) or "(untitled)"
+        out += [(kind, title or kind, t) for t in map(x.read, b.inner) if t]
+    out += [("(body)", "Body", t) for t in map(x.read, x.found["loose"]) if t]
+    for f in x.found["float"]:
+        out += _float(x, f)
+    return s.name, out
 
 
 def _run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -177,7 +219,7 @@ def _run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 scheme, found = paragraphs(xml)
                 rows += [(doc, scheme, i, *p, None) for i, p in enumerate(found)]
             except Exception as e:  # a record that cannot be read is a row that says so
-                rows.append((doc, "unknown", None, None, None, None, str(e)[:200]))
+                rows.append((doc, "unknown", None, None, None, None, str(e)))
         yield pd.DataFrame(rows, columns=["doc", "scheme", "para_ord", "section_type", "section_title", "text", "parse_error"])
 
 

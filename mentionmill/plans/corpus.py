@@ -183,7 +183,7 @@ agreed as (select p, gold <> 'no_relation' as hit, gold <> 'no_relation' and pre
 """
 _START = "(^|[^\\p{L}\\p{N}_])"  # a word's start; RE2's own knows ASCII letters only
 _SPLIT = f"trim(regexp_replace(text, '{_SPACE}', ' ', 'g'))"
-for _p, _r, _n in (("([0-9])\\.([0-9])", "\\1\x02\\2", 2), (f"(?i){_START}({S.ABBREVIATIONS})\\.", "\\1\\2\x02", 2), (f"{_START}([A-Z])\\.", "\\1\\2\x02", 2)):
+for _p, _r, _n in (("([0-9])\\.([0-9])", "\\1\x02\\2", 2), (f"(?i){_START}({'|'.join(S.ABBREVIATIONS)})\\.", "\\1\\2\x02", 2), (f"{_START}([A-Z])\\.", "\\1\\2\x02", 2)):
     for _ in range(_n):  # twice, as one match may take the start of the next
         _SPLIT = f"regexp_replace({_SPLIT}, '{_p}', '{_r}', 'g')"
 _MEANS = "select label, i, avg(v::double) as m from (select label, unnest(embedding) as v, generate_subscripts(embedding, 1) as i from embeddings where label in (0, 1)) group by label, i"
@@ -215,7 +215,7 @@ select key, min_by(shown, {'small': not regexp_matches(left(shown, 1), '\\p{Lu}'
     "sentence_filter": f"""
 select pmid, sent_ord, md5(text) as digest, coalesce(length(s) >= 25 and len(list_filter(regexp_split_to_array(s, '{_SPACE}'), lambda w: w <> '')) >= 4 and {_ALPHA} >= 0.5 and len(regexp_extract_all(s, '[A-Za-z]{{2,}}')) >= 2
   and regexp_matches(s, '[.!?]["’”)\\]]*$') and regexp_matches(s, '^["“(\\[A-Z0-9]') and regexp_matches(s, '\\p{{Ll}}'), false) as is_sentence,
-  coalesce(regexp_matches(text, '(?i){_q(S.REFERENCE)}') or regexp_matches(text, '(?i){_q(S.PRIOR_WORK)}'), false) as is_prior from (select *, {_TRIMMED} as s from sentences)""",
+  coalesce(regexp_matches(text, '(?i){_q('|'.join(S.REFERENCES))}') or regexp_matches(text, '(?i)\\b(?:{_q('|'.join(S.PRIOR_WORK))})\\b'), false) as is_prior from (select *, {_TRIMMED} as s from sentences)""",
     "cue_tags": "select * from (select pmid, sent_ord, md5(text) as digest, concat_ws('|', " + ", ".join(f"case when regexp_matches({_LETTERS}, '(?i){_q(p)}') then '{n}' end" for n, p in S.CUES.items()) + ") as cues from sentences) where cues <> ''",
     "sentence_split": f"""
 with cut as (select doc_id, string_split(regexp_replace(regexp_replace({_SPLIT}, '([.!?]) (["“(\\[]?[A-Z0-9])', '\\1\x03\\2', 'g'), '([.!?]) (["“(\\[]?[A-Z0-9])', '\\1\x03\\2', 'g'), '\x03') as parts from documents),

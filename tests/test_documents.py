@@ -192,6 +192,28 @@ def test_training_rows(spark, tmp_path):
     assert sorted(tuple(r) for r in training.read_rows(lines, "value", ["CPR:3", "true"], {"CPR:3": "up"}).collect()) == [("@GENE$ x @CHEMICAL$", "up"), ("the @GENE$", "true")]
 
 
+def test_placed_mentions(spark):
+    rows = [("Dex raised dexa.", "dexa", [], (11, 15)), ("adex dex", "dex", [], (5, 8)), ("a\\Eb x", "a\\Eb", [], (0, 4)), ("x (p53)", "p53", [[13, 16]], (3, 6)), ("x (p53)", "p53", [[12, 15]], (3, 6)), ("xp53", "p53", [], None), ("abc", "", [[10, 13]], (0, 3)), ("abc", "", [], None), ("über alles", "ber", [], None), ("a.b a+b", "a+b", [], (4, 7))]
+    df = spark.createDataFrame([(i, t, m, o) for i, (t, m, o, _) in enumerate(rows)], "i int, t string, m string, o array<array<int>>")
+    got = {r.i: (tuple(r.p) if r.p else None) for r in df.select("i", training.placed(F.col("m"), F.col("o"), F.col("t"), F.lit(10)).alias("p")).collect()}
+    assert got == {i: r[3] for i, r in enumerate(rows)}
+
+
+def test_simple_sentences(spark):
+    texts = ["A b. C d!  E", "dose 3.5 mg. x", "", "no end", "a.. b. ", "..."]
+    got = [[tuple(s) for s in r.s] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(training.sentence_spans(F.col("t")).alias("s")).collect()]
+    assert got == [[(0, 4), (5, 9), (11, 12)], [(7, 12), (13, 14)], [(0, 0)], [(0, 6)], [(0, 3), (4, 6)], [(0, 3)]]
+
+
+def test_balanced_takes_just_the_quota(spark):
+    rows = [("1", f"p{i}") for i in range(10)] + [("0", f"n{i}") for i in range(50)] + [("0", "same")] * 50 + [(None, "x")]
+    df = spark.createDataFrame(rows, "label string, _row string")
+    for ratio, want in ((0.0, 0), (2.0, 20), (7.7, 77), (50.0, 101)):
+        got = training.balanced(df, F.col("label"), ratio).collect()
+        assert sum(r.label == "1" for r in got) == 10 and len(got) == 10 + want
+    assert training.balanced(df.where("label = '0'"), F.col("label"), 1.0).count() == 100 and training.balanced(df.limit(0), F.col("label"), 1.0).count() == 0
+
+
 def test_sources_and_sinks(spark, tmp_path):
     p = tmp_path
     (p / "x").mkdir()

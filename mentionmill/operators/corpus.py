@@ -10,32 +10,45 @@ from pyspark.sql import functions as F
 from mentionmill.functions import text as T
 
 
-def nth_smallest(rows: DataFrame, value: str, k: int, buckets: int = 1024) -> float | None:
-    """The k-th smallest value from 0, exact; null and NaN do not count, k beyond the end gives None.
+def nth_smallest(rows: DataFrame, value: str, ks: list[int], buckets: int = 1024) -> list[float | None]:
+    """The values of ranks ``ks`` (from 0) in rising order, exact; null and NaN do not count, ranks beyond the end give None.
 
-    The range is cut into equal buckets whose counts come from one aggregate with map-side combining; the bucket that holds the
-    rank is cut again until it holds one value. No sort, no single task, and at most ``buckets`` rows come to the driver a round.
+    The range is cut into equal buckets whose counts come from one aggregate with map-side combining; the buckets that hold a rank
+    are cut again, all of them in one aggregate, until each holds one value. No sort, no single task, and at most ``buckets`` rows
+    per rank come to the driver a round.
     """
+    v = F.col("v")
     x = rows.select(F.col(value).cast("double").alias("v")).where("v is not null and not isnan(v)")
-    while True:
-        r = x.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n")).first()
-        if k < 0 or k >= r.n:
-            return None
-        if r.lo == r.hi:
-            return r.lo
-        width = r.hi / buckets - r.lo / buckets
-        b = F.least(F.lit(buckets - 1), F.floor((F.col("v") - F.lit(r.lo)) / F.lit(width)).cast("int")) if width > 0 else F.when(F.col("v") > r.lo, 1).otherwise(0)
-        for c in sorted(x.groupBy(b.alias("b")).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n")).collect(), key=lambda c: c.b):
-            if k < c.n:
-                x = x.where(F.col("v").between(c.lo, c.hi))
-                break
-            k -= c.n
+    r = x.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n")).first()
+    at = {k: (r.lo, r.hi, k) for k in ks if 0 <= k < r.n}  # the range that holds the rank, and the rank within it
+    while wide := sorted({(lo, hi) for lo, hi, _ in at.values() if lo < hi}):
+        cell = None
+        for i, (lo, hi) in enumerate(wide):
+            width = hi / buckets - lo / buckets
+            place = F.least(F.lit(buckets - 1), F.floor((v - F.lit(lo)) / F.lit(width)).cast("int")) if width > 0 else (v > lo).cast("int")
+            inside = F.struct(F.lit(i).alias("i"), place.alias("b"))
+            cell = F.when(v.between(lo, hi), inside) if cell is None else cell.when(v.between(lo, hi), inside)
+        counts = x.select("v", cell.alias("c")).where("c is not null").groupBy("c.i", "c.b").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n"))
+        found = sorted(counts.collect(), key=lambda c: (c.i, c.b))
+        for k, (lo, hi, left) in at.items():
+            if lo < hi:
+                for c in found:
+                    if wide[c.i] == (lo, hi):
+                        if left < c.n:
+                            at[k] = (c.lo, c.hi, left)
+                            break
+                        left -= c.n
+    return [at[k][0] if k in at else None for k in ks]
+
+
+def index_percentiles(rows: DataFrame, value: str, ps: list[float]) -> list[float | None]:
+    """sorted[min(n - 1, int(p * n))] of the values that are present, for each p; None if there are none."""
+    n = rows.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).count()
+    return nth_smallest(rows, value, [min(n - 1, math.floor(p * n)) for p in ps])
 
 
 def index_percentile(rows: DataFrame, value: str, p: float) -> float | None:
-    """sorted[min(n - 1, int(p * n))] of the values that are present; None if there are none."""
-    n = rows.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).count()
-    return nth_smallest(rows, value, min(n - 1, math.floor(p * n))) if n else None
+    return index_percentiles(rows, value, [p])[0]
 
 
 def selected(pubs: DataFrame, p: float = 0.9, override: float | None = None) -> DataFrame:
@@ -79,7 +92,7 @@ def impact_band(v: Column) -> Column:
     out = None
     for lo, hi in zip(edges, [*edges[1:], None], strict=True):
         name = f"{lo}-{hi}" if hi else f"{lo}+"
-        ok = (v >= lo) & (v < hi) if hi else (v >= lo) & (v < 1e9)
+        ok = (v >= lo) & (v < hi) if hi else (v >= lo) & ~F.isnan(v)
         out = F.when(ok, name) if out is None else out.when(ok, name)
     return out
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from mentionmill.functions import text as T
@@ -160,14 +163,18 @@ def nodes(rel: DataFrame, strong: float = 0.99) -> DataFrame:
 
 # ---------------------------------------------------------------- questions
 def text_matches(text: Column, query: str) -> Column:
-    """Case-blind substring, or /pattern/flags; a pattern that does not compile counts as a substring."""
-    import re
+    """Substring, or /pattern/flags, both without regard to case; a pattern or flag that is none counts as a substring.
 
-    if m := re.fullmatch(r"/(.*)/([a-z]*)", query, re.S):
+    Of the flags, i is always on, m, s and u have their meaning, and g, y and d change nothing. The pattern is tried by the engine
+    that runs it.
+    """
+    m = re.fullmatch(r"/(.*)/([a-z]*)", query, re.S)
+    if m and set(m.group(2)) <= set("dgimsuy") and len(set(m.group(2))) == len(m.group(2)):
+        pattern = f"(?{''.join(sorted({'i', *m.group(2)} - set('dgy')))})" + m.group(1)
         try:
-            re.compile(m.group(1))
-            return text.rlike("(?i)" + m.group(1))
-        except re.error:
+            SparkSession.active()._jvm.java.util.regex.Pattern.compile(pattern)
+            return text.rlike(pattern)
+        except Py4JJavaError:
             pass
     return F.lower(text).contains(query.lower())
 
@@ -189,15 +196,53 @@ def undirected(pairs: DataFrame, a: str = "lo", b: str = "hi") -> DataFrame:
 
 
 def neighbourhood(pairs: DataFrame, seeds: DataFrame, hops: int) -> DataFrame:
-    """(id, hop): nodes within ``hops`` steps of the seeds (column id), with the least number of steps."""
-    both = undirected(pairs)
-    seen = seeds.select("id").distinct().withColumn("hop", F.lit(0))
+    """(id, hop): nodes within ``hops`` steps of the seeds (column id), with the least number of steps.
+
+    A hop is one join of the last hop's nodes with the staged edges, and what is new of it is written once.
+    """
+    both = staged(undirected(pairs), "edges")
+    seen = edge = staged(seeds.select("id").distinct().withColumn("hop", F.lit(0)), "hop")
     for h in range(1, hops + 1):
-        edge = seen.where(F.col("hop") == h - 1).join(both, F.col("id") == F.col("u")).select(F.col("v").alias("id"))
-        seen = seen.unionByName(edge.distinct().withColumn("hop", F.lit(h))).groupBy("id").agg(F.min("hop").alias("hop"))
+        reached = edge.join(both, F.col("id") == F.col("u")).select(F.col("v").alias("id")).distinct()
+        edge = staged(reached.join(seen, "id", "left_anti").withColumn("hop", F.lit(h)), "hop")
+        seen = seen.unionByName(edge)
     return seen
 
 
+def seed_nodes(nodes_: DataFrame, text: str) -> DataFrame:
+    """(id): the node of that name without regard to case, else the first by id whose name begins so, else none."""
+    low = F.lower("id")
+    order = F.struct((low != text.lower()).alias("far"), "id")
+    return nodes_.where(low.startswith(text.lower())).agg(F.min(order).alias("o")).where("o is not null").select("o.id")
+
+
+def filtered_pairs(rel: DataFrame, sents: DataFrame, categories: list[str] | None = None, roles: list[str] | None = None, kinds: list[str] | None = None, least: int = 1) -> DataFrame:
+    """(lo, hi, sentences): pairs with at least ``least`` of the sentences in ``sents`` whose edge has one of the categories, comes from
+    one of the models and joins only nodes of the kinds; None lets all pass."""
+    e = edges(rel)
+    kind = rel.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("a_kind").alias("kind")), F.struct(F.col("b").alias("id"), F.col("b_kind").alias("kind")))).alias("n")).select("n.*").distinct()
+    keep = e.where(F.col("cat").isin(categories) if categories is not None else F.lit(True))
+    keep = keep.where(F.exists("roles", lambda r: r.isin(roles)) if roles is not None else F.lit(True)).select(F.least("src", "dst").alias("lo"), F.greatest("src", "dst").alias("hi"))
+    keep = induced(keep, kind.where(F.col("kind").isin(kinds))) if kinds is not None else keep
+    n = sents.groupBy("lo", "hi").agg(F.countDistinct("sentence").alias("sentences")).where(F.col("sentences") >= least)
+    return n.join(keep, ["lo", "hi"], "left_semi")
+
+
+def edge_counts(rel: DataFrame) -> DataFrame:
+    """(cat, kinds, negative, edges): edges by category, kinds of their nodes in order, and sign."""
+    kind = rel.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("a_kind").alias("kind")), F.struct(F.col("b").alias("id"), F.col("b_kind").alias("kind")))).alias("n")).select("n.*")
+    kind = kind.groupBy("id").agg(F.min("kind").alias("kind"))
+    x = edges(rel).join(kind.select(F.col("id").alias("src"), F.col("kind").alias("k1")), "src").join(kind.select(F.col("id").alias("dst"), F.col("kind").alias("k2")), "dst")
+    return x.groupBy("cat", F.concat_ws("-", F.array_sort(F.array("k1", "k2"))).alias("kinds"), "negative").agg(F.count("*").alias("edges"))
+
+
+def chosen_models(names: list[str], typed: str | None = None, gate: str | None = None, mark: str = "typed") -> tuple[str | None, str | None]:
+    """The typed model (named, else the first by name that holds the mark) and the gate model (named, else the first other one)."""
+    names = sorted(set(names))
+    typed = typed or next((n for n in names if mark in n.lower()), None)
+    return typed, gate or next((n for n in names if n != typed), None)
+
+
 def induced(pairs: DataFrame, ids: DataFrame, a: str = "lo", b: str = "hi") -> DataFrame:
     """Pairs with both ends among the ids."""
     keep = ids.select("id").distinct()
@@ -226,11 +271,12 @@ def components(pairs: DataFrame, max_rounds: int = 60) -> DataFrame:
         large = sym.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(low.select("u", F.col("m").alias("v")))
-        e = staged(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v").distinct(), "star")
-        now = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if state == (now.n, now.h):
+        now = Observation()
+        nxt = small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v").distinct()
+        e = staged(nxt.observe(now, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")), "star")
+        if state == now.get:  # counted while it was written
             break
-        state = (now.n, now.h)
+        state = now.get
     else:
         raise RuntimeError("components did not settle")
     member = e.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("component"))

@@ -23,8 +23,8 @@ def selected_articles(spark: SparkSession, d: str) -> DataFrame:
 def impact_percentiles(spark: SparkSession, d: str) -> DataFrame:
     """Percentiles of impact by index."""
     p = table(spark, d, "pubs")
-    rows = [(q, C.index_percentile(p, "impact_factor", q)) for q in (0.0, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0)]
-    return spark.createDataFrame(rows, "p double, impact double")
+    ps = [0.0, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0]
+    return spark.createDataFrame(list(zip(ps, C.index_percentiles(p, "impact_factor", ps), strict=True)), "p double, impact double")
 
 
 def key_fallback_join(spark: SparkSession, d: str) -> DataFrame:
@@ -228,7 +228,7 @@ select vec_id, label, round(margin, 6) as margin from x where margin >= 0.01""",
     "confusion": f"with {_JUDGED} select gold, pred, count(*) as n from judged group by all",
     "micro_scores": f"with {_JUDGED}, t as (select count(*) filter (where gold = pred and pred <> 'no_relation') as tp, count(*) filter (where gold <> pred and pred <> 'no_relation') as fp, count(*) filter (where gold <> pred and gold <> 'no_relation') as fn, count(*) as n, count(*) filter (where gold = pred) as \"right\" from judged) select *, round(coalesce(2.0::double * tp / nullif(2 * tp + fp + fn, 0), 0), 6) as f1 from t",
     "calibration_error": f"with {_JUDGED}, b as (select greatest(1, ceil(p * 10)) as bin, count(*) as n, avg(p) as conf, avg(hit::int::double) as acc from agreed group by 1) select round(coalesce(sum(n * abs(acc - conf)) / sum(n), 0), 6) as ece from b",
-    "best_threshold": f"""with {_JUDGED}, a as (select round(p, 4) as t, count(*) as n, count(*) filter (where right_) as tp, count(*) filter (where hit) as pos from agreed group by 1),
+    "best_threshold": f"""with {_JUDGED}, a as (select p as t, count(*) as n, count(*) filter (where right_) as tp, count(*) filter (where hit) as pos from agreed group by 1),
 f as (select t, sum(tp) over w as hit, sum(n) over w as called, sum(pos) over () as pos from a window w as (order by t desc)),
 g as (select t as threshold, coalesce(2.0::double * hit / nullif(called + pos, 0), 0) as f1 from f union all select 0.0::double, f1 from (select coalesce(2.0::double * hit / nullif(called + pos, 0), 0) as f1 from f order by t limit 1))
 select threshold, round(f1, 6) as f1 from g order by g.f1 desc, threshold limit 1""",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mentionmill.operators import graph as G
@@ -87,27 +87,61 @@ def node_sizes(spark: SparkSession, d: str) -> DataFrame:
     return v.select(F.explode(F.array("lo", "hi")).alias("id"), "sentence").groupBy("id").agg(F.countDistinct("sentence").alias("sentences"))
 
 
-def _strong(spark, d, score):
-    return staged(G.edge_sentences(_relations(spark, d, False)).where(F.col("sc") >= score).select("lo", "hi").distinct(), "pairs")
+def _pairs(spark, d):
+    """All pairs of the graph, once."""
+    return staged(_relations(spark, d, False).select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct(), "pairs")
 
 
 def k_hop(spark: SparkSession, d: str) -> DataFrame:
     """Nodes within two steps of the node with the most neighbours."""
-    p = _strong(spark, d, 0.9)
+    p = _pairs(spark, d)
     seeds = G.undirected(p).groupBy(F.col("u").alias("id")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "id").limit(1)
     return G.neighbourhood(p, seeds, 2)
 
 
+def gene_neighbourhood(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs among a gene, found by the start of its name, and its neighbours."""
+    p, rel = _pairs(spark, d), _relations(spark, d, False)
+    seeds = G.seed_nodes(G.nodes(rel).where("kind = 'gene'"), "tm")
+    return G.induced(p, G.neighbourhood(p, seeds, 1)).select("lo", "hi")
+
+
+def filtered_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of genes and chemicals that the typed model finds to activate or inhibit, with two sentences of a score of 0.6 or more."""
+    rel = _relations(spark, d, False)
+    return G.filtered_pairs(rel, G.edge_sentences(rel).where("sc >= 0.6"), ["activates", "inhibits"], [TYPED], ["gene", "chemical"], 2)
+
+
+def edge_counts(spark: SparkSession, d: str) -> DataFrame:
+    return G.edge_counts(_relations(spark, d, False))
+
+
+def best_edge_sentences(spark: SparkSession, d: str) -> DataFrame:
+    """The ten best sentences of each pair, by falling score, article and sentence."""
+    x = G.edge_sentences(_relations(spark, d, False)).withColumn("digest", F.md5("sentence"))
+    rank = F.row_number().over(Window.partitionBy("lo", "hi").orderBy(F.desc("sc"), "pmid", "digest"))
+    return x.withColumn("rank", rank).where("rank <= 10").select("lo", "hi", "rank", "sc", "pmid", "digest")
+
+
+def top_relations(spark: SparkSession, d: str) -> DataFrame:
+    """The 60 relations of the highest scores."""
+    return _relations(spark, d, False).orderBy(F.desc("sc"), "ord").limit(60).select("ord", "a", "b", "cat", "sc")
+
+
+def polarity_edges(spark: SparkSession, d: str) -> DataFrame:
+    return G.polarity_edges(_relations(spark, d, False))
+
+
 def components(spark: SparkSession, d: str) -> DataFrame:
-    return G.components(_strong(spark, d, 0.97))
+    return G.components(_pairs(spark, d))
 
 
 def min_degree_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return G.min_degree(_strong(spark, d, 0.9), 3)
+    return G.min_degree(_pairs(spark, d), 3)
 
 
 def min_cluster_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return G.min_cluster(_strong(spark, d, 0.97), 3)
+    return G.min_cluster(_pairs(spark, d), 3)
 
 
 def _halves(spark, d):
@@ -125,7 +159,7 @@ def balance_index(spark: SparkSession, d: str) -> DataFrame:
     return b.select("step", "id", "degree_1", "degree_2", F.round("balance", 6).alias("balance"))
 
 
-QUERIES = {f.__name__: f for f in (merge_union, merge_gate, merge_typed, verdict_compare, label_crosstab, threshold_stats, node_drops, gene_edges, typed_edges, typed_nodes, edge_sentences, view_edges, node_sizes, k_hop, components, min_degree_pairs, min_cluster_pairs, graph_diff, balance_index)}
+QUERIES = {f.__name__: f for f in (merge_union, merge_gate, merge_typed, verdict_compare, label_crosstab, threshold_stats, node_drops, gene_edges, typed_edges, typed_nodes, edge_sentences, view_edges, node_sizes, k_hop, gene_neighbourhood, filtered_pairs, edge_counts, best_edge_sentences, top_relations, polarity_edges, components, min_degree_pairs, min_cluster_pairs, graph_diff, balance_index)}
 
 _CLEAN = "case when isnan(score) then 0 else coalesce(score, 0) end"
 _KEY = "coalesce(pair_id, concat_ws(chr(1), pmid, sentence, subject.text, \"object\".text))"
@@ -191,11 +225,11 @@ per as (select least(a, b) as lo, greatest(a, b) as hi, count(distinct sentence)
 select a as src, b as dst, cat, n as support, sentences, roles, per.best as best, cat like 'not %' as negative from best join per on per.lo = least(a, b) and per.hi = greatest(a, b) where r = 1"""
 
 
-def _pairs_sql(score: float) -> str:
-    return f"{_rel()}, p as (select distinct lo, hi from es where sc >= {score}), both_ways as (select lo as u, hi as v from p union select hi, lo from p)"
+def _pairs_sql() -> str:
+    return f"{_rel()}, p as (select distinct lo, hi from es), both_ways as (select lo as u, hi as v from p union select hi, lo from p)"
 
 
-_COMPONENTS = f"with recursive {_pairs_sql(0.97)}, reach as (select u as id, u as other from both_ways union select reach.id, both_ways.v from reach join both_ways on both_ways.u = reach.other), comp as (select id, min(other) as component from reach group by id)"
+_COMPONENTS = f"with recursive {_pairs_sql()}, reach as (select u as id, u as other from both_ways union select reach.id, both_ways.v from reach join both_ways on both_ways.u = reach.other), comp as (select id, min(other) as component from reach group by id)"
 _DIFF = f"""
 with {_rel()},
 tagged as (select lo, hi, sc, pmid, case when year < 2018 then 1 else 2 end as g from dated where year is not null),
@@ -204,7 +238,18 @@ p as (select step, lo, hi, count(distinct pmid) filter (where g = 1) as pubs_1,
 sided as (select *, case when in_1 and in_2 then 'shared' when in_1 then 'only_1' else 'only_2' end as side from p)
 """
 
+_KINDS = "kinds as (select id, min(kind) as kind from (select a as id, a_kind as kind from rel union all select b, b_kind from rel) group by id)"
 SQL = {
+    "gene_neighbourhood": f"""with {_pairs_sql()}, seed as (select a as id from (select a, a_kind as k from rel union select b, b_kind from rel) where k = 'gene' and lower(a) like 'tm%' order by lower(a) <> 'tm', a limit 1),
+near as (select id from seed union select v from both_ways join seed on u = id) select lo, hi from p where lo in (select id from near) and hi in (select id from near)""",
+    "filtered_pairs": f"""with e as ({_edges_sql(False)}), s as (with {_rel()} select lo, hi, count(distinct sentence) as sentences from es where sc >= 0.6 group by all having count(distinct sentence) >= 2),
+k as (with {_rel()} select a as id from rel where a_kind in ('gene', 'chemical') union select b from rel where b_kind in ('gene', 'chemical'))
+select s.* from s join e on least(src, dst) = lo and greatest(src, dst) = hi where cat in ('activates', 'inhibits') and list_contains(string_split(roles, '|'), '{TYPED}') and lo in (select id from k) and hi in (select id from k)""",
+    "edge_counts": f"""with e as ({_edges_sql(False)}), k as (with {_rel()}, {_KINDS} select * from kinds)
+select cat, least(x.kind, y.kind) || '-' || greatest(x.kind, y.kind) as kinds, negative, count(*) as edges from e join k x on x.id = src join k y on y.id = dst group by all""",
+    "best_edge_sentences": f"with {_rel()} select lo, hi, rank, sc, pmid, digest from (select *, md5(sentence) as digest, row_number() over (partition by lo, hi order by sc desc, pmid, md5(sentence)) as rank from es) where rank <= 10",
+    "top_relations": f"with {_rel()} select ord, a, b, cat, sc from rel order by sc desc, ord limit 60",
+    "polarity_edges": f"with {_rel()} select a as src, b as dst, cat like 'not %' as negative, count(distinct sentence) as sentences from rel group by all",
     "merge_union": _merge_sql("union"),
     "merge_gate": _merge_sql("gate"),
     "merge_typed": _merge_sql("typed"),
@@ -220,10 +265,10 @@ select coalesce(case when {_node_sql('e')} is not null then null when (case e.ty
     "edge_sentences": f"with {_rel()} select lo, hi, md5(sentence) as digest, sc, pmid, cat, spec, role from es",
     "view_edges": f"with {_rel()} select lo, hi, count(distinct sentence) as sentences, count(distinct pmid) as papers from dated where sc >= 0.6 and year between 2012 and 2024 and regexp_matches(sentence, '(?i)(increas|reduc|inhibit)') and cat not like 'not %' group by all",
     "node_sizes": f"with {_rel()} select id, count(distinct sentence) as sentences from (select unnest([lo, hi]) as id, sentence from dated where sc >= 0.6 and year between 2012 and 2024) group by id",
-    "k_hop": f"""with {_pairs_sql(0.9)}, h0 as (select u as id, 0 as hop from both_ways group by u order by count(*) desc, u limit 1),
+    "k_hop": f"""with {_pairs_sql()}, h0 as (select u as id, 0 as hop from both_ways group by u order by count(*) desc, u limit 1),
 h1 as (select id, min(hop) as hop from (select * from h0 union all select v, 1 from both_ways join h0 on id = u) group by id), h2 as (select id, min(hop) as hop from (select * from h1 union all select v, 2 from both_ways join h1 on id = u where hop = 1) group by id) select * from h2""",
     "components": f"{_COMPONENTS} select id, component from comp",
-    "min_degree_pairs": f"with {_pairs_sql(0.9)}, ok as (select u from both_ways group by u having count(*) >= 3) select lo, hi from p where lo in (select u from ok) and hi in (select u from ok)",
+    "min_degree_pairs": f"with {_pairs_sql()}, ok as (select u from both_ways group by u having count(*) >= 3) select lo, hi from p where lo in (select u from ok) and hi in (select u from ok)",
     "min_cluster_pairs": f"{_COMPONENTS}, ok as (select id from comp where component in (select component from comp group by component having count(*) >= 3)) select lo, hi from p where lo in (select id from ok)",
     "graph_diff": f"{_DIFF} select step, lo, hi, side, pubs_1, pubs_2 from sided where side = 'shared' or greatest(pubs_1, pubs_2) >= 2",
     "balance_index": f"""{_DIFF}, ends as (select step, unnest([lo, hi]) as id, side from sided),

@@ -160,7 +160,39 @@ def inverse_targets(spark: SparkSession, d: str) -> DataFrame:
     p = t.select(F.coalesce(end("subject", "object"), end("object", "subject")).alias("p")).select("p.*").where("gene is not null and chemical is not null")
     g = p.groupBy("gene", "chemical").agg(F.count("*").alias("n")).groupBy("gene").agg(F.array_join(F.array_sort(F.collect_list("chemical")), ";").alias("chemicals"), F.count("*").alias("n_chemicals"))
     corpus = table(spark, d, "clean_genetic_ne").select(F.col("clean_genetic_ne").alias("gene")).distinct().withColumn("in_corpus", F.lit(True))
-    return g.join(corpus, "gene", "left").withColumn("in_corpus", F.coalesce("in_corpus", F.lit(False)))
+    x = g.join(corpus, "gene", "left").withColumn("in_corpus", F.coalesce("in_corpus", F.lit(False)))
+    return x.orderBy(F.desc("in_corpus"), F.desc("n_chemicals"), "gene")
+
+
+def top_surfaces(spark: SparkSession, d: str) -> DataFrame:
+    """The 100 commonest surfaces by falling count, then by name."""
+    return surface_counts(spark, d).orderBy(F.desc("occurrences"), "surface", "label").limit(100)
+
+
+def top_symbols(spark: SparkSession, d: str) -> DataFrame:
+    """The 40 gene symbols with the most mentions, ties by name without regard to case."""
+    return symbol_stats(spark, d).orderBy(F.desc("mentions"), F.lower("symbol"), "symbol").limit(40)
+
+
+def numeric_ids(spark: SparkSession, d: str) -> DataFrame:
+    """The first 50 genes in the numeric order of their ids."""
+    number = F.regexp_extract("hgnc_id", "([0-9]+)$", 1).try_cast("bigint")
+    return table(spark, d, "hgnc").select("hgnc_id", number.alias("number")).orderBy("number", "hgnc_id").limit(50)
+
+
+def all_articles(spark: SparkSession, d: str) -> DataFrame:
+    """Articles of sentences, triples and publications, each once."""
+    of = lambda t, c: table(spark, d, t).select(T.accession(F.col(c)).alias("article"))
+    return of("sentences", "pmid").unionByName(of("triples", "pmid")).unionByName(of("pubs", "pmc_id")).where("article is not null").distinct()
+
+
+def symbol_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Gene symbols by the groups they stand in: subjects, objects and listed surfaces."""
+    of = lambda n: table(spark, d, NORMALIZED).where(f"{n}.type = 'GENETIC'").select(F.explode(T.symbols(F.col(f"{n}.hgnc_symbol"))).alias("symbol"), F.lit(n).alias("part"))
+    surfaces = table(spark, d, "clean_genetic_ne").select(F.col("clean_genetic_ne").alias("symbol"), F.lit("surface").alias("part"))
+    x = of("subject").unionByName(of("object")).unionByName(surfaces).where("symbol is not null")
+    groups = x.groupBy("symbol").agg(F.array_join(F.array_sort(F.collect_set("part")), "|").alias("parts"))
+    return groups.groupBy("parts").agg(F.count("*").alias("symbols"), F.min("symbol").alias("first"))
 
 
 def set_operations(spark: SparkSession, d: str) -> DataFrame:
@@ -177,7 +209,7 @@ def result_sentences(spark: SparkSession, d: str) -> DataFrame:
     return s.groupBy("paper", "text").agg(F.min("sent_ord").alias("sent_ord"), F.max("margin").alias("margin")).select("paper", F.md5("text").alias("digest"), "sent_ord", scores.round4(F.col("margin")).alias("margin"))
 
 
-QUERIES = {f.__name__: f for f in (surface_counts, repeated_surfaces, adjacent_triples, candidate_pairs, route_exclusive, route_additive, composite_scores, relation_stats, triple_stats, predicate_counts, top_predicates, lookup_coverage, symbol_stats, term_stats, gene_lookup, gene_gene_context, entity_union, gazetteer, inverse_targets, set_operations, result_sentences)}
+QUERIES = {f.__name__: f for f in (surface_counts, repeated_surfaces, adjacent_triples, candidate_pairs, route_exclusive, route_additive, composite_scores, relation_stats, triple_stats, predicate_counts, top_predicates, lookup_coverage, symbol_stats, term_stats, gene_lookup, gene_gene_context, entity_union, gazetteer, inverse_targets, set_operations, top_surfaces, top_symbols, numeric_ids, all_articles, symbol_groups, result_sentences)}
 
 _SURFACES = f"select label, {dash('text')} as surface, sum(n)::bigint as occurrences, count(*) as n_source_forms from (select e.label as label, e.text as text, count(*) as n from (select unnest(entities) as e from sentences) group by all) group by all"
 
@@ -255,6 +287,16 @@ labels as (
 
 SQL = {
     "surface_counts": _SURFACES,
+    "top_surfaces": f"select * from ({_SURFACES}) order by occurrences desc, surface, label limit 100",
+    "top_symbols": "select * from (select symbol, count(*) as mentions from " + _SYMBOLS.format(f"(select e.type as kind, e.hgnc_symbol as ids from {_ENDS} where e.type = 'GENETIC')") + " group by symbol) order by mentions desc, lower(symbol), symbol limit 40",
+    "numeric_ids": "select hgnc_id, try_cast(regexp_extract(hgnc_id, '([0-9]+)$', 1) as bigint) as number from hgnc order by number, hgnc_id limit 50",
+    "all_articles": "select split_part(pmid, '.', 1) as article from sentences where pmid is not null union select split_part(pmid, '.', 1) from triples where pmid is not null union select split_part(pmc_id, '.', 1) from pubs where pmc_id is not null",
+    "symbol_groups": """with x as (select distinct trim(s) as symbol, part from (
+  select unnest(string_split(u, '|')) as s, part from (select unnest(subject.hgnc_symbol) as u, 'subject' as part from triples_genetic_disease_chemical_normalized where subject.type = 'GENETIC'
+    union all select unnest("object".hgnc_symbol), 'object' from triples_genetic_disease_chemical_normalized where "object".type = 'GENETIC')) where trim(s) <> ''
+  union select clean_genetic_ne, 'surface' from clean_genetic_ne where clean_genetic_ne is not null),
+g as (select symbol, array_to_string(list_sort(list(part)), '|') as parts from x group by symbol)
+select parts, count(*) as symbols, min(symbol) as first from g group by parts""",
     "repeated_surfaces": f"select * from ({_SURFACES}) where occurrences > 1",
     "adjacent_triples": _ADJACENT,
     "candidate_pairs": _PAIRS,

@@ -540,15 +540,23 @@ def best_path(nodes: list[tuple[int, int, int, float, list]], start: int) -> lis
     starts, before = [start], [-1]
     scores = _Best()
     scores.add(0.0)
+    so_far = [(0.0, 0)]  # the best of all sentence starts up to each
     for place, _, nxt, odds, terms in nodes:
-        reach = bisect_left(starts, place + 1)  # sentences that begin at this place or before
-        edges = sorted({0, reach, *(min(reach, bisect_left(starts, p)) for p, _ in terms)})
-        found = (-1e18, 0)
-        for lo, hi in zip(edges, edges[1:]):
-            x, i = scores.last_best(lo, hi)
-            found = max(found, (x + odds + sum(d for p, d in terms if starts[lo] >= p), i))
+        reach = len(starts) if starts[-1] <= place else bisect_left(starts, place + 1)  # sentences that begin at this place or before
+        last = starts[reach - 1]
+        cuts = {bisect_left(starts, p) for p, _ in terms if p <= last}
+        if not cuts:
+            x, i = so_far[reach - 1]
+            found = (x + odds, i)
+        else:
+            edges = sorted({0, reach, *cuts})
+            found = (-1e18, 0)
+            for lo, hi in zip(edges, edges[1:]):
+                x, i = scores.last_best(lo, hi)
+                found = max(found, (x + odds + sum(d for p, d in terms if starts[lo] >= p), i))
         starts.append(max(nxt, starts[-1]))
         scores.add(found[0])
+        so_far.append((found[0], len(starts) - 1) if found[0] > so_far[-1][0] else so_far[-1])  # of equals the earliest
         before.append(found[1])
     out, j = [], len(nodes)
     while j > 0:
@@ -617,12 +625,12 @@ def _block(t: str, a: int, b: int, lexicons: dict[str, _Lexicon], out: list[tupl
     signs = sorted(behind_sign)
 
     def add(place: int, end: int, odds: float, terms: list, kind: int) -> None:
-        i = bisect_left(signs, place + 1) - 1
+        i = bisect_left(signs, place + 1) - 1 if signs else -1
         if odds > NEVER / 2 and not (i >= 0 and place < behind_sign[signs[i]]):  # what stands in a list sign ends nothing
             nodes.append((place, kind, end, _skip(t, end, b), odds, terms))
 
     def inside(place: int) -> bool:
-        i = bisect_left(tops, place) - 1
+        i = bisect_left(tops, place) - 1 if tops else -1
         return i >= 0 and place < top[i][1]
 
     letter, seen = a, a

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mentionmill.functions import text as T
+from mentionmill.operators import genesets as G
 
 Key = Callable[[Column], Column]
 
@@ -126,11 +127,24 @@ def mature_mirna(c: Column) -> Column:
     return F.when(~c.rlike(r"(?i)[/~&]| and |cluster|family|sponge|combo"), F.nullif(F.regexp_extract(x, r"^((?:mir|let)-\d+[a-z]*)(?:-\d+)?$", 1), F.lit("")))
 
 
+# Compounds, cell lines, constructs and measures that only look like a gene, by the pass that would take them for one.
+NOT_DEHYPHENED = ("YC-1", "ISO-1", "IWR-1", "BMS-1", "THP-1")
+NOT_JOINED = (*NOT_DEHYPHENED, "CAR-T", "CAR T", "Nec-1", "T-Ag", "T Ag", "CNI", "Cat B", "Cat-B", "LDL-C")
+NOT_P_PREFIXED = ("pMIR", "pCEP4", "pORF", "pU2", "pG8", "pG4", "pE3")
+NOT_MISSENSE = ("KYA1797K", "SSTR2A", "PIPK2A")
+
+
+def _except(key: Key, names: Sequence[str]) -> Key:
+    return lambda c: F.when(~c.isin(*names), key(c))
+
+
 def gene_passes() -> list[Pass]:
-    """The gene cascade, in order. Curated maps (complexes, oncogene spellings) come in as names of their own field, see README."""
+    """The gene cascade, in order: gene sets and curated names first, as fields of their own."""
     hs, same = T.hyphen_space_fold, FOLDS["as is"]
     long_joined = lambda c: F.when(F.length(T.no_separators(c)) >= 4, T.no_separators(c))
     return [
+        *[Pass(mode, frozenset({field}), G.set_key, "as is") for field, mode in G.MODES.items()],
+        Pass(G.MODES["complex"], frozenset({"complex"}), G.nfkb_key, "as is"),
         Pass(None, frozenset({"curated"}), hs, "hyphen"),
         Pass(None, SYMBOLS, same, "as is"),
         Pass(None, SYMBOLS, hs, "hyphen"),
@@ -141,21 +155,23 @@ def gene_passes() -> list[Pass]:
         Pass("protein stripped", EVERY, _stripped("[ -]protein"), "hyphen"),
         Pass("transcript/mRNA stripped", EVERY, _stripped(r"[ -](?:transcripts?|mRNAs?)\b"), "hyphen"),
         Pass("variant/mutant stripped", EVERY, _stripped(r"[ -](?:variants?|mutants?|mutations?)\b|\b(?:variants?|mutants?|mutations?)[ -]"), "hyphen"),
-        Pass("missense stripped", APPROVED, _missense(r"^(.+?)#\d+#$"), "as is"),
-        Pass("missense stripped", APPROVED, _missense(r"^(.+) #\d+#$"), "as is"),
+        Pass("missense stripped", APPROVED, _except(_missense(r"^(.+?)#\d+#$"), NOT_MISSENSE), "as is"),
+        Pass("missense stripped", APPROVED, _except(_missense(r"^(.+) #\d+#$"), NOT_MISSENSE), "as is"),
         Pass("inhibitor-i stripped", SYMBOLS, _stripped("i$", same), "as is"),
         Pass("miR mature→gene", frozenset({"mirna"}), mature_mirna, "mirna"),
         Pass("promoter stripped", SYMBOLS, _stripped("(?i)(?: gene promoter| promoter region| promoter)$"), "hyphen"),
-        Pass("hyphen-removed", SYMBOLS, lambda c: F.when(c.rlike("^[A-Z]+-[0-9]+$"), T.casefold(F.translate(c, "-", ""))), "case", guard=True),
-        Pass("p-prefix stripped", SYMBOLS, lambda c: F.when(c.rlike("^p[A-Z]"), hs(F.substring(c, 2, 1_000_000))), "hyphen", guard=True),
+        Pass("hyphen-removed", SYMBOLS, _except(lambda c: F.when(c.rlike("^[A-Z]+-[0-9]+$"), T.casefold(F.translate(c, "-", ""))), NOT_DEHYPHENED), "case", guard=True),
+        Pass("p-prefix stripped", SYMBOLS, _except(lambda c: F.when(c.rlike("^p[A-Z]"), hs(F.substring(c, F.lit(2), F.length(c)))), NOT_P_PREFIXED), "hyphen", guard=True),
         Pass("WT stripped", SYMBOLS, _stripped("^(?:WT |[Ww]ild[ -]?type )"), "hyphen"),
         Pass("nuclear stripped", SYMBOLS, _stripped("^nuclear "), "hyphen"),
         Pass("regulatory target-set (not the gene)", SYMBOLS, _stripped("(?i) target genes$"), "hyphen"),
+        Pass("histone", frozenset(v for v, _ in G.HISTONES), G.histone_key, "as is"),
+        Pass("c-oncogene→gene alias", APPROVED, G.oncogene_key, "hyphen", guard=True),
         Pass("greek-letter spelled out", EVERY, lambda c: T.hyphen_space_fold(_lone_greek(c)), "hyphen", guard=True),
         Pass("greek-letter spelled out", EVERY, _greek_abbreviation, "hyphen", guard=True),
         Pass("greek letters spelled out", EVERY, lambda c: F.when(T.is_greek(c), T.hyphen_space_fold(T.greek_spelled(c))), "greek", guard=True),
-        Pass("separator-removed", APPROVED, T.no_separators, "joined"),
-        Pass("separator-removed", frozenset({"alias_symbol", "prev_symbol"}), long_joined, "joined"),
+        Pass("separator-removed", APPROVED, _except(T.no_separators, NOT_JOINED), "joined"),
+        Pass("separator-removed", frozenset({"alias_symbol", "prev_symbol"}), _except(long_joined, NOT_JOINED), "joined"),
     ]
 
 
@@ -171,17 +187,34 @@ def gene_names(hgnc: DataFrame, curated: DataFrame | None = None) -> DataFrame:
     each = [_as_field(values(f), f, r) for r, f in enumerate(order)]
     x = hgnc.select(F.col("hgnc_id").alias("id"), F.col("symbol").alias("label"), F.explode(F.flatten(F.array(*each))).alias("n")).select("id", "label", "n.*").where("name is not null")
     mirna = x.where(F.col("label").startswith("MIR") & F.col("field").isin(*SYMBOLS)).withColumn("field", F.lit("mirna"))
-    x = x.unionByName(mirna)
+    x = x.unionByName(mirna).unionByName(G.set_names(hgnc))
     if curated is not None:
         own = curated.join(hgnc.select("hgnc_id", "symbol"), "symbol").select(F.col("hgnc_id").alias("id"), F.col("symbol").alias("label"), F.lit("curated").alias("field"), F.lit(-1).alias("field_rank"), "name")
         x = x.unionByName(own)
     return x
 
 
+# Surfaces that the cascade links to the wrong gene through an alias, and their symbol.
+CORRECTIONS = {"pYAP": "YAP1", "nuclear YAP": "YAP1", "YAP target genes": "YAP1"}
+
+
+def with_corrections(linked: DataFrame, surface: str, hgnc: DataFrame, corrections: dict[str, str] = CORRECTIONS) -> DataFrame:
+    """Linked surfaces with the listed ones set to their symbol: the mode stays, the field is ``manual``.
+
+    Surfaces that nothing had linked get the mode ``manual`` too; a symbol that the gene list lacks is its own id.
+    """
+    t = linked.sparkSession.createDataFrame(list(corrections.items()), "_c string, _symbol string")
+    t = t.join(hgnc.select(F.col("symbol").alias("_symbol"), "hgnc_id"), "_symbol", "left").groupBy("_c", "_symbol").agg(F.min("hgnc_id").alias("_id"))
+    x = linked.join(t, linked[surface] == t["_c"], "left")
+    hit = F.col("_c").isNotNull()
+    new = {"match_mode": F.coalesce("match_mode", F.lit("manual")), "match_field": F.lit("manual"), "ids": F.array(F.coalesce("_id", "_symbol")), "labels": F.array("_symbol"), "status": F.lit("matched")}
+    return x.withColumns({c: F.when(hit, v).otherwise(F.col(c)) for c, v in new.items()}).drop("_c", "_symbol", "_id")
+
+
 def link_genes(surfaces: DataFrame, surface: str, hgnc: DataFrame, curated: DataFrame | None = None) -> DataFrame:
     greek = {"greek": lambda c: T.hyphen_space_fold(T.greek_spelled(c)), "mirna": mature_mirna}
     index = name_index(gene_names(hgnc, curated), ["as is", "case", "hyphen", "joined", "greek", "mirna"], greek)
-    return link(surfaces, surface, index, gene_passes(), "symbol")
+    return with_corrections(link(surfaces, surface, index, gene_passes(), "symbol"), surface, hgnc)
 
 
 # ---------------------------------------------------------------- gene surfaces with Greek letters

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mentionmill.functions import text as T
+from mentionmill.operators import genesets as G
 from mentionmill.operators import linking as L
 from mentionmill.plans.mentions import dash
 from mentionmill.session import table
@@ -20,9 +21,19 @@ def _shown(x: DataFrame) -> DataFrame:
     return x.select("surface", "occurrences", "status", "match_mode", "match_field", F.array_join("ids", "|").alias("ids"))
 
 
+#: Surfaces that no test table holds, so that the passes over gene sets, oncogenes and histones, exclusions and corrections are reached.
+GENE_EXAMPLES = (
+    "IL-12", "IL-12 p40 mRNA", "AP-1 protein", "VEGF receptors", "Trk", "HER family", "c-Ets", "c-ras", "NF-kB", "NF-kappaB complex", "NFKB1", "NFKBIA", "NF-kB p65", "shNFkB", "H3K27me3", "histone 3", "H2A.X", "phospho-H2AX",
+    "H3.3K27M", "macroH2A", "HDAC histone deacetylase", "H358", "H3-5HT", "cKit", "c-Jun N-terminal kinase", "c-erbB-2 protein", "c-Ha-ras", "HGF receptor", "c-Ets-1", "KYA1797K", "pMIR", "pYAP", "YAP target genes",
+    "CAR-T", "THP-1", "",
+)
+
+
 def gene_links(spark: SparkSession, d: str) -> DataFrame:
     """Every gene surface through the gene cascade."""
-    return _shown(L.link_genes(_surfaces(spark, d, "GENETIC", T.dash_normalize), "surface", table(spark, d, "hgnc")))
+    more = spark.createDataFrame([(x, 0) for x in GENE_EXAMPLES], "surface string, occurrences bigint")
+    s = _surfaces(spark, d, "GENETIC", T.dash_normalize).unionByName(more).groupBy("surface").agg(F.sum("occurrences").alias("occurrences"))
+    return _shown(L.link_genes(s, "surface", table(spark, d, "hgnc")))
 
 
 def disease_links(spark: SparkSession, d: str) -> DataFrame:
@@ -147,22 +158,39 @@ def _gene_cascade() -> str:
 
     every, hn, aa = f"{_SYM}, {_NAM}", _hs("n.name"), "[ACDEFGHIKLMNPQRSTVWY]"
     same = lambda c: c
+    key = f"replace(replace(regexp_replace({_fold(x)}, ' (mrna|gene|protein|cytokine)$', ''), '-', ''), ' ', '')"
+    low, out = f"lower({x})", lambda names: "(" + ", ".join(f"'{n}'" for n in names) + ")"
+    nfkb = f"case when regexp_matches({key}, 'nfk(appab|b)') and not regexp_matches(regexp_extract({key}, 'nfk(appab|b)(.?)', 2), '[0-9i]') and not regexp_matches({key}, 'p(65|50|52|105|100)') then '{G.NFKB}' end"
+    front = f"regexp_replace(trim({low}), '^(phospho|cit|acetyl(ated)?|anti[- ]?phospho|anti|g|wt|oncohistones?|core)[- ]+', '')"
+    bare = f"case when regexp_matches({front}, '^histones?[ -]*[0-9]') then 'h' else '' end || regexp_replace({front}, '^histones?[ -]*', '')"
+    histone = f"case when {x} = 'H3-5HT' or regexp_matches({low}, '{G.HISTONE_ENZYMES}') then null " + " ".join(f"when regexp_matches({bare}, '^({p})') then '{v}'" for v, p in G.HISTONES) + " end"
+    onco = f"case when regexp_matches({low}, '^c-?jun\\b') and regexp_matches({low}, 'termin|jnk') then null " + " ".join(f"when regexp_matches({low}, '^c-?{k}\\b') then '{v.lower()}'" for k, v in G.ONCOGENES.items())
+    onco += " " + " ".join(f"when regexp_extract({low}, '{p}', 1) = '{k}' then '{v.lower()}'" for p, genes in G.NUMBERED for k, v in genes.items()) + f" when regexp_matches({low}, '{G.MET_RECEPTOR}') then 'met' end"
+    but = lambda names, c: f"case when {x} not in {out(names)} then {c} end"
     steps = [
+        *[(f"'{mode}'", f"'{field}'", key, "n.name", False) for field, mode in G.MODES.items()], (f"'{G.MODES['complex']}'", "'complex'", nfkb, "n.name", False),
         (how, _SYM, x, "n.name", False), (how, _SYM, _hs(x), hn, False), (how, _NAM, _hs(x), hn, False),
         ("'phospho stripped'", every, rest("^([Pp]hospho[- ]|[Pp]-)"), hn, False),
         ("'anti- stripped'", every, f"case when regexp_matches({x}, '^[Aa]nti[- ]') then {_hs(f'''regexp_replace(regexp_replace({x}, '^[Aa]nti[- ]', ''), '(?i) antibody$', '')''')} end", hn, False),
         ("'cleaved- stripped'", every, rest("^[Cc]leaved-"), hn, False), ("'protein stripped'", every, rest("[ -]protein"), hn, False), ("'transcript/mRNA stripped'", every, rest(r"[ -](transcripts?|mRNAs?)\b"), hn, False),
         ("'variant/mutant stripped'", every, rest(r"[ -](variants?|mutants?|mutations?)\b|\b(variants?|mutants?|mutations?)[ -]"), hn, False),
-        ("'missense stripped'", "'symbol'", f"nullif(regexp_extract({x}, '^(.+?){aa}[0-9]+{aa}$', 1), '')", "n.name", False), ("'missense stripped'", "'symbol'", f"nullif(regexp_extract({x}, '^(.+) {aa}[0-9]+{aa}$', 1), '')", "n.name", False),
+        ("'missense stripped'", "'symbol'", but(L.NOT_MISSENSE, f"nullif(regexp_extract({x}, '^(.+?){aa}[0-9]+{aa}$', 1), '')"), "n.name", False), ("'missense stripped'", "'symbol'", but(L.NOT_MISSENSE, f"nullif(regexp_extract({x}, '^(.+) {aa}[0-9]+{aa}$', 1), '')"), "n.name", False),
         ("'inhibitor-i stripped'", _SYM, rest("i$", same), "n.name", False), ("'promoter stripped'", _SYM, rest("(?i)( gene promoter| promoter region| promoter)$"), hn, False),
-        ("'hyphen-removed'", _SYM, f"case when regexp_matches({x}, '^[A-Z]+-[0-9]+$') then {_fold(f'''replace({x}, '-', '')''')} end", _fold("n.name"), True),
-        ("'p-prefix stripped'", _SYM, f"case when regexp_matches({x}, '^p[A-Z]') then {_hs(f'substr({x}, 2)')} end", hn, True),
+        ("'hyphen-removed'", _SYM, f"case when {x} not in {out(L.NOT_DEHYPHENED)} and regexp_matches({x}, '^[A-Z]+-[0-9]+$') then {_fold(f'''replace({x}, '-', '')''')} end", _fold("n.name"), True),
+        ("'p-prefix stripped'", _SYM, f"case when {x} not in {out(L.NOT_P_PREFIXED)} and regexp_matches({x}, '^p[A-Z]') then {_hs(f'substr({x}, 2)')} end", hn, True),
         ("'WT stripped'", _SYM, rest("^(WT |[Ww]ild[ -]?type )"), hn, False), ("'nuclear stripped'", _SYM, rest("^nuclear "), hn, False), ("'regulatory target-set (not the gene)'", _SYM, rest("(?i) target genes$"), hn, False),
+        ("'histone'", ", ".join(f"'{v}'" for v, _ in G.HISTONES), histone, "n.name", False), ("'c-oncogene→gene alias'", "'symbol'", onco, hn, True),
         ("'greek letters spelled out'", every, f"case when regexp_matches({x}, '[Ͱ-Ͽ]|\\b(alpha|beta|gamma|delta|kappa)\\b') then {_hs(_spelled(x))} end", _hs(_spelled("n.name")), True),
-        ("'separator-removed'", "'symbol'", _joined(x), _joined("n.name"), False), ("'separator-removed'", "'alias_symbol', 'prev_symbol'", f"case when length({_joined(x)}) >= 4 then {_joined(x)} end", _joined("n.name"), False),
+        ("'separator-removed'", "'symbol'", but(L.NOT_JOINED, _joined(x)), _joined("n.name"), False), ("'separator-removed'", "'alias_symbol', 'prev_symbol'", f"case when {x} not in {out(L.NOT_JOINED)} and length({_joined(x)}) >= 4 then {_joined(x)} end", _joined("n.name"), False),
     ]
     names = " union all ".join(f"select hgnc_id as id, '{f}' as field, {r} as field_rank, {f if f == 'symbol' else f'unnest({f})'} as name from hgnc" for r, f in enumerate(("symbol", "alias_symbol", "prev_symbol", "name", "alias_name", "prev_name")))
-    return _cascade(_surface_sql("GENETIC", dash("e.text")), names, [(i, *p) for i, p in enumerate(steps)], "symbol")
+    names += " union all select coalesce(hgnc_id, s), f, -1, k from (values " + ", ".join(f"('{f}', '{k}', '{g}')" for f, k, g in G.set_rows()) + ") v(f, k, s) left join hgnc on symbol = s"
+    family = " ".join(f"when '{g}' then '{v}'" for v, g in G.HISTONE_GROUPS.items())
+    names += f" union all select hgnc_id, case g {family} end, -1, case g {family} end from (select hgnc_id, symbol, unnest(gene_group) as g from hgnc) where g in {out(G.HISTONE_GROUPS.values())} and not (g = 'H3 histones' and symbol in {out(G.NOT_CANONICAL_H3)})"
+    surfaces = f"select surface, sum(occurrences)::bigint as occurrences from ({_surface_sql('GENETIC', dash('e.text'))} union all select unnest([{', '.join(repr(e) for e in GENE_EXAMPLES)}]), 0) group by surface"
+    linked = _cascade(surfaces, names, [(i, *p) for i, p in enumerate(steps)], "symbol")
+    manual = "select v.s as c, coalesce(min(hgnc_id), min(g)) as id from (values " + ", ".join(f"('{k}', '{v}')" for k, v in L.CORRECTIONS.items()) + ") v(s, g) left join hgnc on symbol = g group by v.s"
+    return f"select surface, occurrences, case when c is null then status else 'matched' end as status, case when c is null then match_mode else coalesce(match_mode, 'manual') end as match_mode, case when c is null then match_field else 'manual' end as match_field, case when c is null then ids else id end as ids from ({linked}) left join ({manual}) on c = surface"
 
 
 def _spelled(c: str) -> str:

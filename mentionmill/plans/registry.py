@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mentionmill.plans import corpus, events, graphs, links, mentions, records
+from mentionmill.plans import corpus, events, examples, graphs, links, mentions, records
 
-_MODULES = (mentions, links, graphs, corpus, events, records)
+_MODULES = (mentions, links, graphs, corpus, events, records, examples)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

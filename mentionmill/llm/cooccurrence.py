@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from mentionmill.staging import staged
 
 #: Items of a chunk.
-CHUNK = 256
+CHUNK = 128
 
 
 def record_key(*parts: Column) -> Column:

@@ -59,8 +59,10 @@ _HAN = re.compile(r"[\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 def plain_word(raw: str) -> str:
-    """One word in the form in which words are compared."""
+    """One word in the form in which words are compared; marks alone are no word."""
     x = unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", raw).casefold())
+    if not any(map(str.isalnum, x)):
+        return ""
     return "".join(str(unicodedata.decimal(c)) if c.isdecimal() else c for c in x if c.isalnum() or unicodedata.category(c)[0] == "M")
 
 

@@ -154,6 +154,8 @@ def _spans(t: str, a: int, b: int) -> tuple[list[tuple[int, int]], dict[int, int
 
     Unmatched signs are none.
     """
+    if not _BRACKETS.search(t, a, b):
+        return [], {}
     out: list[tuple[int, int]] = []
     stack: list[tuple[str, int]] = []
     wanted: Counter[str] = Counter()
@@ -300,11 +302,17 @@ def _point(t: str, a: int, s: int, e: int, after: int, nxt: int, b: int, begins:
     if _script(prev) == "dev" and low:
         return g + (0.0 if low not in ABBREVIATIONS and "." not in low and len(low) > 2 and here.isascii() and here.isupper() else AGAINST), terms
     lead = t[max(a, s - len(before) - 8) : s - len(before)]
-    pair = re.search(r"(\w{1,2})\.\s?$", lead)
-    tail = re.search(r"(?:\w\.\s?)+$", lead) if len(before) <= 2 else None
-    forms = {low, f"{pair.group(1).lower()}.{low}" if pair else low, re.sub(r"\s", "", tail.group()).lower() + low if tail else low}
+    pair = tail = None
+    forms = {low}
+    if "." in lead[-2:]:  # part of a longer abbreviation
+        pair = re.search(r"(\w{1,2})\.\s?$", lead)
+        tail = re.search(r"(?:\w\.\s?)+$", lead) if len(before) <= 2 else None
+        forms |= {f"{pair.group(1).lower()}.{low}"} if pair else set()
+        forms |= {re.sub(r"\s", "", tail.group()).lower() + low} if tail else set()
     bracket = here == "(" and not _own(t, nxt, opens)
-    if forms & EITHER:
+    if len(low) > 6 and low.isalpha() and len(forms) == 1 and not bracket and low not in ABBREVIATIONS and low not in EITHER:
+        return g + (OPENER if begins is None else 0.0), terms  # a full word: nothing below speaks of it
+    if not forms.isdisjoint(EITHER):
         g += AGAINST if bracket or not begins or here.isdigit() and low not in ("etc", "др", "al") else 0.0
         name = _NAME.match(t, nxt, b)
         if "." in low and name and name.group().lower() in NAMED_BY_COUNTRY:
@@ -314,7 +322,7 @@ def _point(t: str, a: int, s: int, e: int, after: int, nxt: int, b: int, begins:
         return g + (0.0 if re.search(r"\d\s*$", lead) else AGAINST), terms  # a unit behind a number, else a title
     if low in NUMBERED and not pair:
         return g + (AGAINST if here.isdigit() or not begins else 0.0), terms
-    if forms & ABBREVIATIONS:
+    if not forms.isdisjoint(ABBREVIATIONS):
         return g + AGAINST, terms
     if low.isdigit():
         if len(low) <= 2 and _word_ending(t, a, max(a, s - len(before) - 1)).lower() in ORDINAL_BEFORE:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -174,7 +175,7 @@ def text_matches(text: Column, query: str) -> Column:
         try:
             SparkSession.active()._jvm.java.util.regex.Pattern.compile(pattern)
             return text.rlike(pattern)
-        except Py4JJavaError:
+        except (Py4JJavaError, IllegalArgumentException):
             pass
     return F.lower(text).contains(query.lower())
 

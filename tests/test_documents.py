@@ -277,6 +277,40 @@ def test_calibrators(spark):
     assert evaluate.fitted(df, "model", "p", "hit", "platt").first().a > 0
 
 
+def test_text_matches(spark):
+    df = spark.createDataFrame([("A line\nB end",), ("(b",), ("xa",), (None,)], "t string")
+    hits = lambda q: [r.t for r in df.where(graph.text_matches(F.col("t"), q)).collect()]
+    assert hits("/^b/") == [] and hits("/^b/m") == ["A line\nB end"] and hits("/line.b/s") == ["A line\nB end"] and hits("/XA$/g") == ["xa"]
+    assert hits("/(b/") == [] and hits("(B") == ["(b"] and hits("/(?P<x>a)/") == [] and hits("/x/q") == [] and hits("/x/ii") == []
+
+
+def test_components_across_rounds_and_hot_nodes(spark):
+    chain = [(f"c{i:04d}", f"c{i + 1:04d}") for i in range(300)] + [("hub", f"h{i:03d}") for i in range(300)] + [("z", "z")]
+    got = {r.id: r.component for r in graph.components(spark.createDataFrame(chain, "lo string, hi string")).collect()}
+    assert {v for k, v in got.items() if k[0] == "c"} == {"c0000"} and {v for k, v in got.items() if k[0] == "h"} == {"h000"} and got["z"] == "z" and len(got) == 603
+    near = {r.id: r.hop for r in graph.neighbourhood(spark.createDataFrame(chain, "lo string, hi string"), spark.createDataFrame([("c0010",), ("hub",)], "id string"), 2).collect()}
+    assert near["c0012"] == 2 and near["c0008"] == 2 and "c0013" not in near and near["h299"] == 1 and near["hub"] == 0
+
+
+def test_models_by_name():
+    assert graph.chosen_models(["b-gate", "a-Typed", "c"]) == ("a-Typed", "b-gate") and graph.chosen_models([]) == (None, None) and graph.chosen_models(["x"], gate="y") == (None, "y")
+
+
+def test_weighted_fits_equal_repeated_points():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    x, y, n = rng.integers(0, 9, 40) / 10, rng.integers(0, 2, 40).astype(float), rng.integers(1, 6, 40).astype(float)
+    r = n.astype(int)
+    assert np.allclose(evaluate.isotonic(x, y, n)[1], evaluate.isotonic(np.repeat(x, r), np.repeat(y, r))[1])
+    assert np.allclose(evaluate.platt(x, y, n, 200), evaluate.platt(np.repeat(x, r), np.repeat(y, r), None, 200))
+
+
+def test_impact_bands_have_no_top(spark):
+    r = spark.createDataFrame([(1e12,), (float("inf"),), (float("nan"),), (None,), (-1.0,), (50.0,)], "v double").select(corpus.impact_band(F.col("v")).alias("b")).collect()
+    assert [x.b for x in r] == ["50+", "50+", None, None, None, "50+"]
+
+
 def test_graph_chain_and_neighbourhood(spark):
     p = spark.createDataFrame([(f"n{i:03}", f"n{i + 1:03}") for i in range(60)] + [("x", "y"), ("z", "z")], "lo string, hi string")
     c = {r.id: r.component for r in graph.components(p).collect()}

@@ -96,7 +96,7 @@ GENE_CASES = [
         ("AKT1", "HGNC:1", "case-sensitive"), ("akt1", "HGNC:1", "case-insensitive"), ("PD L1", "HGNC:3", "hyphen vs white space"), ("Matrix metallopeptidase-9", "HGNC:2", "hyphen vs white space"), ("p-AKT1", "HGNC:1", "phospho stripped"),
         ("anti-PD-L1 antibody", "HGNC:3", "anti- stripped"), ("p53 protein", "HGNC:4", "protein stripped"), ("TP53 mRNA", "HGNC:4", "transcript/mRNA stripped"), ("mutant p53", "HGNC:4", "variant/mutant stripped"), ("TP53R248L", "HGNC:4", "missense stripped"),
         ("TP53 R248L", "HGNC:4", "missense stripped"), ("PARPi", "HGNC:11", "inhibitor-i stripped"), ("miR-21-5p", "HGNC:5", "miR mature→gene"), ("miR-124", "HGNC:6|HGNC:7", "miR mature→gene"), ("TP53 promoter", "HGNC:4", "promoter stripped"), ("MMP-9", "HGNC:2", "hyphen-removed"),
-        ("pAKT1", "HGNC:1", "p-prefix stripped"), ("WT TP53", "HGNC:4", "WT stripped"), ("nuclear AKT1", "HGNC:1", "nuclear stripped"), ("AKT1 target genes", "HGNC:1", "regulatory target-set (not the gene)"), ("NF-kB", "HGNC:10", "greek-letter spelled out"),
+        ("pAKT1", "HGNC:1", "p-prefix stripped"), ("WT TP53", "HGNC:4", "WT stripped"), ("nuclear AKT1", "HGNC:1", "nuclear stripped"), ("AKT1 target genes", "HGNC:1", "regulatory target-set (not the gene)"), ("NF-kB", "HGNC:10|RELA", "complex→subunits"),
         ("NF-κB", "HGNC:10", "greek letters spelled out"), ("PDL1", "HGNC:3", "separator-removed"), ("SHARED", "HGNC:8|HGNC:9", "case-sensitive"), ("nothing", "", None),
 ]
 

@@ -109,11 +109,16 @@ def american(c: Column) -> Column:
     return c
 
 
+# Plurals that follow no ending.
+IRREGULAR = {"metastases": "metastasis", "foci": "focus", "carcinomata": "carcinoma", "adenomata": "adenoma", "lymphomata": "lymphoma", "sarcomata": "sarcoma", "neoplasiae": "neoplasia"}
+
+
 def singulars(c: Column) -> Column:
     """Forms that a plural in lower case may have as singular, likeliest first."""
     n = F.length(c)
+    listed = F.try_element_at(F.create_map(*[F.lit(v) for kv in IRREGULAR.items() for v in kv]), c)
     cut = lambda k: F.substring(c, F.lit(1), n - k)
-    return F.array_compact(F.array(F.when(c.endswith("ies") & (n > 4), F.concat(cut(3), F.lit("y"))), F.when(c.endswith("es") & (n > 4), cut(2)), F.when(c.endswith("s") & ~c.endswith("ss") & (n > 3), cut(1))))
+    return F.array_compact(F.array(listed, F.when(c.endswith("ies") & (n > 4), F.concat(cut(3), F.lit("y"))), F.when(c.endswith("es") & (n > 4), cut(2)), F.when(c.endswith("s") & ~c.endswith("ss") & (n > 3), cut(1))))
 
 
 GREEK_NAMES = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi psi omega".split()

@@ -60,12 +60,12 @@ def link_credit(spark: SparkSession, d: str) -> DataFrame:
 def word_cosine(spark: SparkSession, d: str) -> DataFrame:
     """Surfaces whose words are those of a term name in another order."""
     names = L.term_names(table(spark, d, "obo_term"), "MONDO:").select("id", "name")
-    x = L.bag_cosine(_surfaces(spark, d, "DISEASE"), "surface", names, 0.6)
+    x = L.bag_cosine(_surfaces(spark, d, "DISEASE"), "surface", names, 0.99)
     return x.select("surface", "id", "name", F.round("cosine", 6).alias("cosine"))
 
 
 def word_cosine_all(spark: SparkSession, d: str) -> DataFrame:
-    """All surfaces and term names with a word cosine of 0.6 or more; ``word_cosine`` sees those that share a rare word."""
+    """All surfaces and term names with a word cosine of 0.6 or more, found without blocking by rare words."""
     names = L.term_names(table(spark, d, "obo_term"), "MONDO:").select("id", "name")
     x = L.bag_cosine(_surfaces(spark, d, "DISEASE"), "surface", names, 0.6, None)
     return x.select("surface", "id", "name", F.round("cosine", 6).alias("cosine"))
@@ -105,7 +105,8 @@ def _us(c: str) -> str:
 
 
 def _singulars(c: str) -> list[str]:
-    forms = (f"case when {c} like '%ies' and length({c}) > 4 then left({c}, length({c}) - 3) || 'y' end", f"case when {c} like '%es' and length({c}) > 4 then left({c}, length({c}) - 2) end", f"case when {c} like '%s' and {c} not like '%ss' and length({c}) > 3 then left({c}, length({c}) - 1) end")
+    listed = f"case {c} " + " ".join(f"when '{a}' then '{b}'" for a, b in T.IRREGULAR.items()) + " end"
+    forms = (listed, f"case when {c} like '%ies' and length({c}) > 4 then left({c}, length({c}) - 3) || 'y' end", f"case when {c} like '%es' and length({c}) > 4 then left({c}, length({c}) - 2) end", f"case when {c} like '%s' and {c} not like '%ss' and length({c}) > 3 then left({c}, length({c}) - 1) end")
     every = f"list_filter([{', '.join(forms)}], lambda z: z is not null)"
     return [f"({every})[{i}]" for i in (1, 2, 3)]
 
@@ -213,7 +214,7 @@ cand as (select distinct surface, id, name from rare join nw using (word)),
 dots as (select c.surface, c.id, c.name, sum(sw.k * nw.k) as dot from cand c join sw using (surface) join nw on nw.id = c.id and nw.name = c.name and nw.word = sw.word group by all),
 sn as (select surface, sum(k * k) as q from sw group by surface), nn as (select id, name, sum(k * k) as q from nw group by all)
 select surface, id, name, round(dot / sqrt((sn.q * nn.q)::double), 6) as cosine from dots join sn using (surface) join nn using (id, name)
-where dot / sqrt((sn.q * nn.q)::double) >= 0.6::double and {_fold('surface')} <> {_fold('name')}"""
+where dot / sqrt((sn.q * nn.q)::double) >= 0.99::double and {_fold('surface')} <> {_fold('name')}"""
 _COSINE_ALL = f"""
 with s as (select surface, {_WORDS.format(_fold('surface'))} as w from ({_surface_sql('DISEASE')})), s2 as (select * from s where len(w) > 1),
 n as (select id, name, {_WORDS.format(_fold('name'))} as w from (select distinct id, name from ({_terms_sql('MONDO:')}))), n2 as (select * from n where len(w) > 1),

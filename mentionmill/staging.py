@@ -36,7 +36,10 @@ def staged(df: DataFrame, name: str, *by: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/staged/{name}-{uuid.uuid4().hex}"
     df.write.partitionBy(*by).parquet(path)
-    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    app = spark.sparkContext.applicationId
+    if app not in _written:
+        atexit.register(_at_end, spark)  # runs before the context's own end
+    _written.setdefault(app, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -46,3 +49,9 @@ def release(spark: SparkSession) -> None:
     for path in _written.pop(spark.sparkContext.applicationId, []):
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(conf).delete(p, True)
+
+
+def _at_end(spark: SparkSession) -> None:
+    """What a session has staged goes with it; a context that has stopped before leaves its folder behind."""
+    if spark.sparkContext._jsc is not None:
+        release(spark)

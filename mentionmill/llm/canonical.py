@@ -35,6 +35,8 @@ from mentionmill.staging import staged
 UNMATCHED = "unmatched"
 #: Names in one dictionary: about 3 kB each with all their deletes, so at most some 150 MB per task.
 MAX_NAMES = 50_000
+#: Letters of a text up to which its answers are kept for its repeats; longer ones are worked out anew, so that memory stays bounded.
+KEPT = 500
 # Greek letters with their English names.
 _GREEK = "α alpha β beta γ gamma δ delta ε epsilon ζ zeta η eta θ theta ι iota κ kappa λ lambda μ mu ν nu ξ xi ο omicron π pi ρ rho σ sigma ς sigma τ tau υ upsilon φ phi χ chi ψ psi ω omega".split()
 GREEK = dict(zip(_GREEK[::2], _GREEK[1::2], strict=True))
@@ -67,14 +69,20 @@ _WORD = re.compile(r"[^\W_]+")
 _BARE = frozenset(GREEK.values())
 
 
-@lru_cache(10_000)
 def fold(text: str) -> str:
     """Words of the canonical form in lower case, without accents, Greek letters spelled out."""
+    return _kept_fold(text) if len(text) <= KEPT else _fold(text)
+
+
+def _fold(text: str) -> str:
     x = "".join(f" {GREEK[c]} " if c in GREEK else c for c in canonical(text).lower())
     x = "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c))
     return " ".join(_WORD.findall(x))
 
 
+_kept_fold = lru_cache(10_000)(_fold)
+
+
 def singular(w: str) -> str:
     if len(w) > 4 and w.endswith("ies"):
         return w[:-3] + "y"
@@ -285,10 +293,13 @@ def _look_up(shared, keep: list[str]):
             out = []
             known = b["known"] if "known" in b else [None] * len(b)
             for kind, text, words in zip(b["kind"], b["text"], known, strict=True):
-                if (kind, text) not in seen:
+                hit = seen.get((kind, text), seen)  # the dictionary itself stands for what is not in it
+                if hit is seen:
                     names = by_kind.get(kind)
-                    seen[kind, text] = names.closest(text, None if words is None else set(words)) if names and isinstance(text, str) else None
-                out.append(seen[kind, text])
+                    hit = names.closest(text, None if words is None else set(words)) if names and isinstance(text, str) else None
+                    if not isinstance(text, str) or len(text) <= KEPT:
+                        seen[kind, text] = hit
+                out.append(hit)
             x = b[keep].copy()
             x["rank"] = pd.array([h[0] if h else None for h in out], dtype="Int32")
             x["distance"] = pd.array([h[1] if h else None for h in out], dtype="Float64")

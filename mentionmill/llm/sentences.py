@@ -406,6 +406,8 @@ class _Lexicon:
 
     def cut(self, run: str) -> tuple[str, ...]:
         """A run of letters as words: the path through the lattice with the fewest unknown letters, then the fewest words."""
+        if len(run) > 200:
+            return self._cut(run)
         if run not in self.known:
             if len(self.known) > 50_000:
                 self.known.clear()
@@ -431,7 +433,7 @@ class _Lexicon:
 
 
 _THAI_RUN = _RUNS["thai"]
-_LATIN_RUN = re.compile(r"[^\s฀-๿]+(?:[ \t ][^\s฀-๿]+){0,3}[ \t \n\r]*")
+_LATIN_RUN = re.compile(r"[^\s฀-๿]+(?:[ \t ][^\s฀-๿]+)*[ \t \n\r]*")
 
 
 def _predicate(words: tuple[str, ...]) -> bool:
@@ -499,9 +501,9 @@ class _Gaps:
         if left != right or left not in self.lexicons:
             return NEVER
         lexicon, i = self.lexicons[left], m.start()
-        while i > self.a and m.start() - i < 4 * lexicon.longest and _script(t[i - 1]) == left:
-            i -= 1  # the last words are settled by the letters of a few words
-        run = _RUNS[left].match(t, m.end(), min(self.b, m.end() + 4 * lexicon.longest))
+        while i > self.a and _RUNS[left].match(t[i - 1]):
+            i -= 1
+        run = _RUNS[left].match(t, m.end(), self.b)
         if not run or i == m.start():
             return NEVER
         before, words = lexicon.cut(t[i : m.start()]), lexicon.cut(run.group())
